@@ -45,3 +45,129 @@ SELECT user_id, product_id, CAST(SUM({_WEIGHT_SQL}) AS DOUBLE) AS interaction_st
 FROM behavior_events GROUP BY user_id, product_id HAVING SUM({_WEIGHT_SQL}) > 4""")
 def q_interaction_filtered(spark, sf_dir):
     return agg.interaction_strength_sql(spark, behavior_events(spark, sf_dir), min_strength=4.0)
+
+
+# --- B1-B7, D1-D5, B8, B9, B22 ---------------------------------------------------
+from ..operators import features as feat  # noqa: E402
+
+_BASIC_SQL = """
+  CASE WHEN product_price < 50 THEN 'low' WHEN product_price < 200 THEN 'medium' ELSE 'high' END AS price_range,
+  regexp_matches(user_agent, '(?i)mobile|android|iphone') AS is_mobile,
+  CASE WHEN referrer IS NULL THEN 'direct' WHEN contains(referrer, 'google') THEN 'search'
+       WHEN contains(referrer, 'facebook') THEN 'social' ELSE 'other' END AS referrer_type"""
+
+_TEMPORAL_SQL = """
+  CAST(hour("timestamp") AS INTEGER) AS hour_of_day,
+  CAST(dayofweek("timestamp") + 1 AS INTEGER) AS day_of_week,
+  COALESCE(dayofweek("timestamp") IN (0, 6), false) AS is_weekend,
+  CASE WHEN hour("timestamp") BETWEEN 6 AND 11 THEN 'morning'
+       WHEN hour("timestamp") BETWEEN 12 AND 17 THEN 'afternoon'
+       WHEN hour("timestamp") BETWEEN 18 AND 22 THEN 'evening' ELSE 'night' END AS time_segment"""
+
+
+def _window_sql(frame: int) -> str:
+    return f"""
+  CAST(row_number() OVER (PARTITION BY user_id, session_id ORDER BY "timestamp") AS INTEGER) AS action_sequence,
+  count(*) OVER (PARTITION BY user_id, session_id ORDER BY "timestamp"
+                 RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_action_count,
+  CAST(sum(CASE WHEN action_type = 'view' THEN 1 ELSE 0 END) OVER recent AS BIGINT) AS recent_view_count,
+  CAST(sum(CASE WHEN action_type = 'add_to_cart' THEN 1 ELSE 0 END) OVER recent AS BIGINT) AS recent_cart_count,
+  avg(CASE WHEN action_type = 'view' THEN product_price END) OVER recent AS avg_price_viewed"""
+
+# Averages are compared at 6 decimals: both engines sum doubles in their own
+# order, which moves the last bits.
+AVG_DECIMALS = 6
+
+
+def rounded(df, *names):
+    from pyspark.sql import functions as F
+    return df.withColumns({n: F.round(n, AVG_DECIMALS) for n in names})
+
+
+def _window_from(frame: int, source: str = "behavior_events") -> str:
+    return f"""
+FROM (SELECT *, CAST(floor(epoch("timestamp")) AS BIGINT) AS ts_unix FROM {source})
+WINDOW recent AS (PARTITION BY user_id ORDER BY ts_unix RANGE BETWEEN {frame} PRECEDING AND CURRENT ROW)"""
+
+
+_SEGMENT_SQL = """
+  CASE WHEN recent_cart_count > 0 AND action_sequence <= 3 THEN 'quick_buyer'
+       WHEN recent_view_count > 5 THEN 'browser'
+       WHEN action_type = 'purchase' AND session_action_count <= 2 THEN 'direct_buyer'
+       ELSE 'casual_visitor' END AS user_behavior_type,
+  CASE WHEN session_action_count >= 10 THEN 'high' WHEN session_action_count >= 5 THEN 'medium'
+       ELSE 'low' END AS engagement_level"""
+
+_WEEK_SESSIONS_SQL = """
+week_events AS (
+  SELECT * EXCLUDE (session_id),
+         user_id || '_w' || strftime(date_trunc('week', "timestamp"), '%Y%m%d') AS session_id
+  FROM behavior_events)"""
+
+WIDE_FRAME = 7 * 86400
+
+
+def week_sessions(events):
+    """Sessions of one ISO week per user (wide parameter set)."""
+    from pyspark.sql import functions as F
+    return events.withColumn("session_id", F.concat(
+        F.col("user_id"), F.lit("_w"), F.date_format(F.date_trunc("week", "timestamp"), "yyyyMMdd")))
+
+
+@register("basic_features", with_events() + f"""
+SELECT event_id, product_price, user_agent, referrer, {_BASIC_SQL} FROM behavior_events""")
+def q_basic_features(spark, sf_dir):
+    return feat.add_basic_features(behavior_events(spark, sf_dir)) \
+        .select("event_id", "product_price", "user_agent", "referrer",
+                "price_range", "is_mobile", "referrer_type")
+
+
+@register("temporal_features", with_events() + f"""
+SELECT event_id, "timestamp", {_TEMPORAL_SQL} FROM behavior_events""")
+def q_temporal_features(spark, sf_dir):
+    return feat.add_temporal_features(behavior_events(spark, sf_dir)) \
+        .select("event_id", "timestamp", "hour_of_day", "day_of_week", "is_weekend", "time_segment")
+
+
+_WIN_OUT = ["event_id", "user_id", "session_id", "timestamp", "action_sequence", "session_action_count",
+            "recent_view_count", "recent_cart_count", "avg_price_viewed"]
+
+
+@register("window_features", with_events() + f"""
+SELECT * REPLACE (round(avg_price_viewed, 6) AS avg_price_viewed) FROM (
+SELECT event_id, user_id, session_id, "timestamp", {_window_sql(600)} {_window_from(600)})""")
+def q_window_features(spark, sf_dir):
+    return rounded(feat.add_aggregated_features(behavior_events(spark, sf_dir)).select(*_WIN_OUT),
+                   "avg_price_viewed")
+
+
+@register("window_features_wide", with_events(_WEEK_SESSIONS_SQL) + f"""
+SELECT * REPLACE (round(avg_price_viewed, 6) AS avg_price_viewed) FROM (
+SELECT event_id, user_id, session_id, "timestamp", {_window_sql(WIDE_FRAME)}
+{_window_from(WIDE_FRAME, "week_events")})""")
+def q_window_features_wide(spark, sf_dir):
+    ev = week_sessions(behavior_events(spark, sf_dir))
+    return rounded(feat.add_aggregated_features(ev, recent_seconds=WIDE_FRAME).select(*_WIN_OUT),
+                   "avg_price_viewed")
+
+
+def _featured_cte(frame: int, source: str) -> str:
+    return f"""
+featured AS (
+  SELECT *, {_BASIC_SQL}, {_TEMPORAL_SQL}, {_window_sql(frame)} {_window_from(frame, source)})"""
+
+
+_SEGMENTS_SELECT = f"""SELECT * EXCLUDE (ts_unix) REPLACE (round(avg_price_viewed, 6) AS avg_price_viewed),
+  {_SEGMENT_SQL} FROM featured"""
+
+
+@register("user_segments", with_events(_featured_cte(600, "behavior_events")) + _SEGMENTS_SELECT)
+def q_user_segments(spark, sf_dir):
+    return rounded(feat.process_user_behavior(behavior_events(spark, sf_dir)), "avg_price_viewed")
+
+
+@register("user_segments_wide",
+          with_events(_WEEK_SESSIONS_SQL, _featured_cte(WIDE_FRAME, "week_events")) + _SEGMENTS_SELECT)
+def q_user_segments_wide(spark, sf_dir):
+    ev = week_sessions(behavior_events(spark, sf_dir))
+    return rounded(feat.process_user_behavior(ev, recent_seconds=WIDE_FRAME), "avg_price_viewed")
