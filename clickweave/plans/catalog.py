@@ -171,3 +171,174 @@ def q_user_segments(spark, sf_dir):
 def q_user_segments_wide(spark, sf_dir):
     ev = week_sessions(behavior_events(spark, sf_dir))
     return rounded(feat.process_user_behavior(ev, recent_seconds=WIDE_FRAME), "avg_price_viewed")
+
+
+# --- C2-C5, B19 -------------------------------------------------------------------
+
+@register("user_features", with_events() + """
+SELECT user_id,
+       count(*) AS total_events,
+       count(DISTINCT session_id) AS session_count,
+       count(DISTINCT product_id) AS unique_products_viewed,
+       count(DISTINCT product_category) AS categories_explored,
+       round(avg(product_price), 6) AS avg_price_interest,
+       CAST(sum(CASE WHEN action_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS purchase_count,
+       CAST(sum(CASE WHEN action_type = 'add_to_cart' THEN 1 ELSE 0 END) AS BIGINT) AS cart_additions,
+       max("timestamp") AS last_activity,
+       CAST(sum(CASE WHEN action_type = 'purchase' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS conversion_rate,
+       CAST(sum(CASE WHEN action_type = 'purchase' THEN 1 ELSE 0 END) AS DOUBLE)
+         / greatest(sum(CASE WHEN action_type = 'add_to_cart' THEN 1 ELSE 0 END), 1) AS cart_conversion_rate
+FROM behavior_events GROUP BY user_id""")
+def q_user_features(spark, sf_dir):
+    return rounded(agg.user_features(behavior_events(spark, sf_dir)), "avg_price_interest")
+
+
+@register("product_features", with_events() + """
+SELECT product_id, product_category,
+       count(*) AS total_interactions,
+       count(DISTINCT user_id) AS unique_users,
+       CAST(sum(CASE WHEN action_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS view_count,
+       CAST(sum(CASE WHEN action_type = 'add_to_cart' THEN 1 ELSE 0 END) AS BIGINT) AS cart_count,
+       CAST(sum(CASE WHEN action_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS purchase_count,
+       arg_min(product_price, ("timestamp", event_id)) AS price,
+       CAST(count(DISTINCT user_id) AS DOUBLE) / count(*) AS popularity_score,
+       CAST(sum(CASE WHEN action_type = 'purchase' THEN 1 ELSE 0 END) AS DOUBLE)
+         / nullif(sum(CASE WHEN action_type = 'view' THEN 1 ELSE 0 END), 0) AS conversion_rate
+FROM behavior_events GROUP BY product_id, product_category""")
+def q_product_features(spark, sf_dir):
+    return agg.product_features(behavior_events(spark, sf_dir), price_order=("timestamp", "event_id"))
+
+
+# --- C6-C11, H9 -------------------------------------------------------------------
+from ..operators import runs as runs_op  # noqa: E402
+from ..operators import serving  # noqa: E402
+from ..schema import TTL_CATEGORY_INTERESTS, TTL_RECENT_BEHAVIORS  # noqa: E402
+
+
+def _runs_cte(name: str, source: str, key: str, ttl: int) -> str:
+    """Runs of ``key``: a new run when the gap to the key's previous event
+    is >= ttl seconds. Adds run_no (1, 2, ...) and run_start."""
+    return f"""
+{name}_gaps AS (
+  SELECT *, CASE WHEN lag("timestamp") OVER (PARTITION BY {key} ORDER BY "timestamp") IS NULL
+                   OR "timestamp" - lag("timestamp") OVER (PARTITION BY {key} ORDER BY "timestamp")
+                      >= INTERVAL {ttl} SECOND THEN 1 ELSE 0 END AS run_flag
+  FROM {source}),
+{name}_nos AS (
+  SELECT *, sum(run_flag) OVER (PARTITION BY {key} ORDER BY "timestamp" ROWS UNBOUNDED PRECEDING) AS run_no
+  FROM {name}_gaps),
+{name} AS (
+  SELECT * EXCLUDE (run_flag), min("timestamp") OVER (PARTITION BY {key}, run_no) AS run_start
+  FROM {name}_nos)"""
+
+
+def _newest_run_cte(name: str, source: str, key: str, ttl: int) -> str:
+    return _runs_cte(f"{name}_all", source, key, ttl) + f""",
+{name} AS (
+  SELECT * FROM {name}_all QUALIFY run_no = max(run_no) OVER (PARTITION BY {key}))"""
+
+
+_TIME_TEXT = """strftime("timestamp", '%Y-%m-%d %H:%M:%S')"""
+
+
+def _recent_sql(n: int) -> str:
+    return with_events(_newest_run_cte("live", "behavior_events", "user_id", TTL_RECENT_BEHAVIORS)) + f"""
+SELECT user_id, rank, product_id, action_type, product_category AS category, product_price AS price,
+       {_TIME_TEXT} AS "timestamp",
+       CAST(json_object('product_id', product_id, 'action_type', action_type, 'category', product_category,
+                        'price', product_price, 'timestamp', {_TIME_TEXT}) AS VARCHAR) AS behavior_json
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" DESC, event_id DESC) AS rank
+      FROM live)
+WHERE rank <= {n}"""
+
+
+@register("recent_behaviors_100", _recent_sql(100))
+def q_recent_behaviors_100(spark, sf_dir):
+    return serving.recent_behaviors(behavior_events(spark, sf_dir), n=100, tie_break="event_id")
+
+
+@register("recent_behaviors_10", _recent_sql(10))
+def q_recent_behaviors_10(spark, sf_dir):
+    return serving.recent_behaviors(behavior_events(spark, sf_dir), n=10, tie_break="event_id")
+
+
+def _counter_sql(field_sql: str, ranked: bool = False) -> str:
+    body = f"""
+SELECT user_id, {field_sql} AS field, count(*) AS count FROM live GROUP BY user_id, {field_sql}"""
+    if ranked:
+        body = f"""
+SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY count DESC, field ASC) AS INTEGER) AS rank
+FROM ({body})"""
+    return with_events(_newest_run_cte("live", "behavior_events", "user_id", TTL_CATEGORY_INTERESTS)) + body
+
+
+_BAND_SQL = """CASE WHEN product_price < 50 THEN '0-50' WHEN product_price < 100 THEN '50-100'
+     WHEN product_price < 200 THEN '100-200' WHEN product_price < 500 THEN '200-500'
+     WHEN product_price IS NOT NULL THEN '500+' END"""
+
+
+@register("category_interests", _counter_sql("product_category"))
+def q_category_interests(spark, sf_dir):
+    return serving.category_interests(behavior_events(spark, sf_dir))
+
+
+@register("price_preferences", _counter_sql(_BAND_SQL, ranked=True))
+def q_price_preferences(spark, sf_dir):
+    return serving.price_preferences(behavior_events(spark, sf_dir))
+
+
+@register("action_counts", _counter_sql("action_type"))
+def q_action_counts(spark, sf_dir):
+    return serving.action_counts(behavior_events(spark, sf_dir))
+
+
+_SESSION_SELECT = f"""
+SELECT session_id, arg_min(user_id, "timestamp") AS user_id,
+       strftime(min("timestamp"), '%Y-%m-%d %H:%M:%S') AS start_time,
+       strftime(max("timestamp"), '%Y-%m-%d %H:%M:%S') AS last_activity,
+       count(*) AS action_count"""
+
+
+@register("session_summary", with_events() + _SESSION_SELECT + """
+FROM behavior_events GROUP BY session_id""")
+def q_session_summary(spark, sf_dir):
+    return serving.session_summary(behavior_events(spark, sf_dir), ttl_seconds=None)
+
+
+@register("session_summary_runs", with_events(_runs_cte("session_runs", "behavior_events", "session_id", 3600))
+          + _SESSION_SELECT + """
+FROM session_runs GROUP BY session_id, run_no""")
+def q_session_summary_runs(spark, sf_dir):
+    return serving.session_summary(behavior_events(spark, sf_dir), ttl_seconds=3600, all_runs=True)
+
+
+def _expiry_sql(ttl: int) -> str:
+    return with_events(_runs_cte("user_runs", "behavior_events", "user_id", ttl)) + f"""
+SELECT user_id, min("timestamp") AS run_start, max("timestamp") AS last_write, count(*) AS events,
+       max("timestamp") + INTERVAL {ttl} SECOND AS expires_at
+FROM user_runs GROUP BY user_id, run_no"""
+
+
+@register("expiry_1d", _expiry_sql(86400))
+def q_expiry_1d(spark, sf_dir):
+    return runs_op.run_summary(behavior_events(spark, sf_dir), "user_id", 86400)
+
+
+@register("expiry_2d", _expiry_sql(2 * 86400))
+def q_expiry_2d(spark, sf_dir):
+    return runs_op.run_summary(behavior_events(spark, sf_dir), "user_id", 2 * 86400)
+
+
+@register("quarantine", with_events() + """
+SELECT event_id, user_id,
+       CASE WHEN user_id IS NULL THEN 'missing user_id' WHEN session_id IS NULL THEN 'missing session_id'
+            WHEN action_type IS NULL THEN 'missing action_type'
+            WHEN product_category IS NULL THEN 'missing product_category'
+            WHEN product_price IS NULL THEN 'missing product_price'
+            WHEN "timestamp" IS NULL THEN 'missing timestamp' END AS reason
+FROM behavior_events""")
+def q_quarantine(spark, sf_dir):
+    good, bad = serving.split_storable(behavior_events(spark, sf_dir))
+    from pyspark.sql import functions as F
+    return (good.select("event_id", "user_id", F.lit(None).cast("string").alias("reason"))
+            .unionByName(bad.select("event_id", "user_id", "reason")))
