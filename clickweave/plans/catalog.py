@@ -342,3 +342,102 @@ def q_quarantine(spark, sf_dir):
     from pyspark.sql import functions as F
     return (good.select("event_id", "user_id", F.lit(None).cast("string").alias("reason"))
             .unionByName(bad.select("event_id", "user_id", "reason")))
+
+
+# --- A2-A9, A12, B12, B18 ---------------------------------------------------------
+from ..schema import EVENT_COLUMNS  # noqa: E402
+from ..sources import kafka as kafka_src  # noqa: E402
+from ..sources import lake  # noqa: E402
+
+
+def _fresh_lake(spark, sf_dir: str) -> str:
+    """Write the events of ``sf_dir`` to a new lake folder below the shared
+    checkpoint folder and return its path."""
+    import uuid
+    from ..session import scratch_path
+    path = scratch_path(spark, f"lake-{uuid.uuid4().hex}")
+    lake.write_lake(behavior_events(spark, sf_dir), path)
+    return path
+
+
+@register("lake_roundtrip", with_events() + """
+SELECT *, CAST("timestamp" AS DATE) AS event_date FROM behavior_events""")
+def q_lake_roundtrip(spark, sf_dir):
+    return lake.read_lake(spark, _fresh_lake(spark, sf_dir))
+
+
+TARGET_DAY = "2024-01-15"
+
+
+@register("time_range_day", with_events() + """
+SELECT *, CAST("timestamp" AS DATE) AS event_date FROM behavior_events
+WHERE "timestamp" >= TIMESTAMP '2024-01-15 00:00:00' AND "timestamp" < TIMESTAMP '2024-01-16 00:00:00'""")
+def q_time_range_day(spark, sf_dir):
+    events = lake.read_lake(spark, _fresh_lake(spark, sf_dir))
+    return lake.time_range(events, *lake.day_range(TARGET_DAY))
+
+
+@register("decode_roundtrip", with_events() + """
+SELECT user_id, product_id, action_type, "timestamp", session_id, product_category,
+       CAST(CAST(product_price AS FLOAT) AS DOUBLE) AS product_price, user_agent, ip_address, referrer,
+       user_id AS kafka_key
+FROM behavior_events""")
+def q_decode_roundtrip(spark, sf_dir):
+    records = kafka_src.encode_events(behavior_events(spark, sf_dir))
+    decoded = kafka_src.decode_events(records)
+    return kafka_src.fill_event_time(decoded).select(*EVENT_COLUMNS, "kafka_key")
+
+
+# --- C12, E1-E3, F2, F3, G1-G6 ------------------------------------------------------
+from ..operators import recommend as rec  # noqa: E402
+
+_LABELS_SQL = """
+SELECT '{col}' AS "column", label, CAST(row_number() OVER (ORDER BY freq DESC, label ASC) - 1 AS INTEGER) AS idx
+FROM (SELECT {col} AS label, count(*) AS freq FROM scores WHERE {col} IS NOT NULL GROUP BY {col})"""
+
+_SCORES_CTE = f"""
+scores AS (
+  SELECT user_id, product_id, CAST(SUM({_WEIGHT_SQL}) AS DOUBLE) AS interaction_strength
+  FROM behavior_events GROUP BY user_id, product_id HAVING SUM({_WEIGHT_SQL}) > 0)"""
+
+
+@register("label_index", with_events(_SCORES_CTE) + _LABELS_SQL.format(col="user_id")
+          + "\nUNION ALL" + _LABELS_SQL.format(col="product_id"))
+def q_label_index(spark, sf_dir):
+    from pyspark.sql import functions as F
+    scores = agg.interaction_strength(behavior_events(spark, sf_dir))
+    dicts = rec.fit_indexers(scores)
+    return (dicts.users.select(F.lit("user_id").alias("column"), "label", "idx")
+            .unionByName(dicts.products.select(F.lit("product_id").alias("column"), "label", "idx")))
+
+
+@register("encoded_interactions", with_events(
+    _SCORES_CTE,
+    "users AS (" + _LABELS_SQL.format(col="user_id") + ")",
+    "products AS (" + _LABELS_SQL.format(col="product_id") + ")") + """
+SELECT s.user_id, s.product_id, s.interaction_strength, u.idx AS user_idx, p.idx AS product_idx
+FROM scores s JOIN users u ON s.user_id = u.label JOIN products p ON s.product_id = p.label""")
+def q_encoded_interactions(spark, sf_dir):
+    scores = agg.interaction_strength(behavior_events(spark, sf_dir))
+    return rec.encode(scores, rec.fit_indexers(scores)) \
+        .select("user_id", "product_id", "interaction_strength", "user_idx", "product_idx")
+
+
+def _trained(spark, sf_dir):
+    scores = agg.interaction_strength(behavior_events(spark, sf_dir)).checkpoint(eager=True)
+    dicts = rec.fit_indexers(scores)
+    return rec.fit_als(rec.encode(scores, dicts)), dicts
+
+
+@register("recommend_top10")
+def q_recommend_top10(spark, sf_dir):
+    """Top 10 for the users active on TARGET_DAY (a subset derived from the data)."""
+    model, dicts = _trained(spark, sf_dir)
+    day = lake.time_range(behavior_events(spark, sf_dir), *lake.day_range(TARGET_DAY))
+    return rec.recommend(model, dicts, day.select("user_id"), n=10)
+
+
+@register("recommend_all")
+def q_recommend_all(spark, sf_dir):
+    model, dicts = _trained(spark, sf_dir)
+    return rec.recommend_all(model, dicts, n=10)
