@@ -84,10 +84,10 @@ def rounded(df, *names):
     return df.withColumns({n: F.round(n, AVG_DECIMALS) for n in names})
 
 
-def _window_from(frame: int, source: str = "behavior_events") -> str:
+def _window_from(frame: int, source: str = "behavior_events", keys: str = "user_id") -> str:
     return f"""
 FROM (SELECT *, CAST(floor(epoch("timestamp")) AS BIGINT) AS ts_unix FROM {source})
-WINDOW recent AS (PARTITION BY user_id ORDER BY ts_unix RANGE BETWEEN {frame} PRECEDING AND CURRENT ROW)"""
+WINDOW recent AS (PARTITION BY {keys} ORDER BY ts_unix RANGE BETWEEN {frame} PRECEDING AND CURRENT ROW)"""
 
 
 _SEGMENT_SQL = """
@@ -151,10 +151,10 @@ def q_window_features_wide(spark, sf_dir):
                    "avg_price_viewed")
 
 
-def _featured_cte(frame: int, source: str) -> str:
+def _featured_cte(frame: int, source: str, keys: str = "user_id") -> str:
     return f"""
 featured AS (
-  SELECT *, {_BASIC_SQL}, {_TEMPORAL_SQL}, {_window_sql(frame)} {_window_from(frame, source)})"""
+  SELECT *, {_BASIC_SQL}, {_TEMPORAL_SQL}, {_window_sql(frame)} {_window_from(frame, source, keys)})"""
 
 
 _SEGMENTS_SELECT = f"""SELECT * EXCLUDE (ts_unix) REPLACE (round(avg_price_viewed, 6) AS avg_price_viewed),
@@ -441,3 +441,85 @@ def q_recommend_top10(spark, sf_dir):
 def q_recommend_all(spark, sf_dir):
     model, dicts = _trained(spark, sf_dir)
     return rec.recommend_all(model, dicts, n=10)
+
+
+# --- H1-H12, A11, A14, C13 ----------------------------------------------------------
+from ..operators.features import process_user_behavior  # noqa: E402,F401
+from ..streaming import micro_batch as mb  # noqa: E402
+from ..streaming import records as rec_files  # noqa: E402
+from ..streaming import stateful  # noqa: E402
+
+
+def _scratch(spark, name):
+    import uuid
+    from ..session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def _record_dir(spark, sf_dir, copies: int = 1) -> str:
+    """Record files of the events of ``sf_dir``, one folder per day, written
+    in day order (and ``copies`` times, to model producer retries)."""
+    path = _scratch(spark, "records")
+    events = behavior_events(spark, sf_dir)
+    for i in range(copies):
+        rec_files.write_record_files(events, path, suffix="" if i == 0 else f"r{i}")
+    return path
+
+
+_STREAM_EVENTS_CTE = """
+stream_events AS (
+  SELECT * EXCLUDE (event_id) REPLACE (CAST(CAST(product_price AS FLOAT) AS DOUBLE) AS product_price),
+         CAST("timestamp" AS DATE) AS day
+  FROM behavior_events)"""
+
+_STREAM_FEATURE_COLS = EVENT_COLUMNS + feat.BASIC_COLS + feat.TEMPORAL_COLS + feat._FEATURE_COLS \
+    + feat.SEGMENT_COLS
+
+
+@register("stream_features", with_events(_STREAM_EVENTS_CTE, _featured_cte(600, "stream_events", "user_id, day"))
+          + f"""SELECT * EXCLUDE (ts_unix, day) REPLACE (round(avg_price_viewed, 6) AS avg_price_viewed),
+  {_SEGMENT_SQL} FROM featured""")
+def q_stream_features(spark, sf_dir):
+    """Micro-batches of one day each through the full job; per-batch features."""
+    src = _record_dir(spark, sf_dir)
+    out = _scratch(spark, "stream")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=1))
+    q = mb.start_stream(events, checkpoint=f"{out}/checkpoint", lake_path=f"{out}/lake",
+                        serving_path=f"{out}/serving", features_path=f"{out}/features",
+                        available_now=True)
+    q.awaitTermination()
+    feats = spark.read.parquet(f"{out}/features")
+    return rounded(feats.select(*_STREAM_FEATURE_COLS), "avg_price_viewed")
+
+
+@register("stream_stateful", with_events(_STREAM_EVENTS_CTE) + f"""
+SELECT * EXCLUDE (ts_unix, day) REPLACE (round(avg_price_viewed, 6) AS avg_price_viewed) FROM (
+SELECT *, {_window_sql(600)} {_window_from(600, "stream_events")})""")
+def q_stream_stateful(spark, sf_dir):
+    """Cross-batch window features with keyed state; equals the batch result."""
+    stateful.configure(spark)
+    src = _record_dir(spark, sf_dir)
+    out = _scratch(spark, "stateful")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=1)).select(*EVENT_COLUMNS)
+    q = (stateful.stateful_features(events).writeStream.format("parquet")
+         .option("path", f"{out}/features").option("checkpointLocation", f"{out}/checkpoint")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return rounded(spark.read.parquet(f"{out}/features")
+                   .select(*EVENT_COLUMNS, *feat._FEATURE_COLS), "avg_price_viewed")
+
+
+@register("stream_dedup", with_events() + """
+SELECT user_id, product_id, action_type, "timestamp", session_id, product_category,
+       CAST(CAST(product_price AS FLOAT) AS DOUBLE) AS product_price, user_agent, ip_address, referrer,
+       event_id AS "offset", CAST("timestamp" AS DATE) AS event_date
+FROM behavior_events""")
+def q_stream_dedup(spark, sf_dir):
+    """Every record delivered twice; the drop policy keeps each once."""
+    src = _record_dir(spark, sf_dir, copies=2)
+    out = _scratch(spark, "dedup")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=1), late="drop")
+    q = mb.start_stream(events, checkpoint=f"{out}/checkpoint", lake_path=f"{out}/lake",
+                        available_now=True)
+    q.awaitTermination()
+    return lake.read_lake(spark, f"{out}/lake").select(*EVENT_COLUMNS, "offset", "event_date")
