@@ -88,18 +88,3 @@ def run_summary(events: DataFrame, key: str | list[str], ttl_seconds: int,
     return (runs.groupBy(*keys, "run_start")
             .agg(F.max(ts).alias("last_write"), F.count(F.lit(1)).alias("events"))
             .withColumn("expires_at", F.col("last_write") + ttl_interval(ttl_seconds)))
-
-
-def latest_runs(events_with_runs: DataFrame, key: str | list[str], ttl_seconds: int,
-                as_of=None, ts: str = "timestamp") -> DataFrame:
-    """Keep the events of each key's newest run, and only if that run is
-    still alive at ``as_of`` (``as_of < last write + ttl``); ``as_of=None``
-    keeps the newest run regardless of time."""
-    keys = [key] if isinstance(key, str) else list(key)
-    last = events_with_runs.groupBy(*keys).agg(F.max("run_start").alias("_newest"),
-                                               F.max(ts).alias("_last_write"))
-    if as_of is not None:
-        limit = F.col("_last_write") + ttl_interval(ttl_seconds)
-        last = last.where(F.lit(as_of).cast("timestamp") < limit)
-    return (events_with_runs.join(last.select(*keys, "_newest"), keys, "inner")
-            .where(F.col("run_start") == F.col("_newest")).drop("_newest"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import behavior_json, format_time, price_band
 from ..schema import (RECENT_BEHAVIORS_KEEP, TTL_ACTION_COUNTS, TTL_CATEGORY_INTERESTS,
                       TTL_PRICE_PREFERENCES, TTL_RECENT_BEHAVIORS, TTL_SESSION)
-from .runs import assign_runs, latest_runs
+from .runs import assign_runs, ttl_interval
 
 REQUIRED_FOR_SERVING = ["user_id", "session_id", "action_type", "product_category",
                         "product_price", "timestamp"]
@@ -42,11 +42,27 @@ def split_storable(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def _live(events: DataFrame, key: str, ttl_seconds: int | None, as_of) -> DataFrame:
+def _with_runs(events: DataFrame, key: str, ttl_seconds: int | None) -> DataFrame:
+    """``events`` + ``run_start`` (NULL when there is no expiry)."""
     if ttl_seconds is None:
-        return events
-    runs = assign_runs(events, key, ttl_seconds)
-    return latest_runs(runs, key, ttl_seconds, as_of=as_of).drop("run_start")
+        return events.withColumn("run_start", F.lit(None).cast("timestamp"))
+    return assign_runs(events, key, ttl_seconds)
+
+
+def _newest_run(summary: DataFrame, key: str, ttl_seconds: int | None, as_of,
+                last_col: str = "_last") -> DataFrame:
+    """Keep the rows of each key's newest run of an already aggregated
+    summary (small: a bounded number of rows per key and run), and drop keys
+    that have expired at ``as_of``."""
+    if ttl_seconds is None:
+        return summary
+    w = Window.partitionBy(key)
+    out = (summary.withColumn("_newest", F.max("run_start").over(w))
+           .withColumn("_key_last", F.max(last_col).over(w))
+           .where(F.col("run_start") == F.col("_newest")))
+    if as_of is not None:
+        out = out.where(F.lit(as_of).cast("timestamp") < F.col("_key_last") + ttl_interval(ttl_seconds))
+    return out.drop("_newest", "_key_last")
 
 
 def recent_behaviors(events: DataFrame, n: int = RECENT_BEHAVIORS_KEEP,
@@ -57,10 +73,12 @@ def recent_behaviors(events: DataFrame, n: int = RECENT_BEHAVIORS_KEEP,
     Output ``user_id, rank, product_id, action_type, category, price,
     timestamp`` (text) and ``behavior_json``.
     """
-    live = _live(events, "user_id", ttl_seconds, as_of)
+    runs = _with_runs(events, "user_id", ttl_seconds)
     order = [F.col("timestamp").desc()] + ([F.col(tie_break).desc()] if tie_break else [])
-    w = Window.partitionBy("user_id").orderBy(*order)
-    top = live.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    w = Window.partitionBy("user_id", "run_start").orderBy(*order)
+    top = runs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n) \
+        .withColumn("_last", F.col("timestamp"))
+    top = _newest_run(top, "user_id", ttl_seconds, as_of)
     return top.select(
         "user_id", "rank", "product_id", "action_type",
         F.col("product_category").alias("category"),
@@ -71,8 +89,10 @@ def recent_behaviors(events: DataFrame, n: int = RECENT_BEHAVIORS_KEEP,
 
 
 def _counter(events: DataFrame, field, ttl_seconds, as_of) -> DataFrame:
-    live = _live(events, "user_id", ttl_seconds, as_of)
-    return live.groupBy("user_id", field.alias("field")).agg(F.count(F.lit(1)).alias("count"))
+    runs = _with_runs(events, "user_id", ttl_seconds)
+    per_run = runs.groupBy("user_id", "run_start", field.alias("field")).agg(
+        F.count(F.lit(1)).alias("count"), F.max("timestamp").alias("_last"))
+    return _newest_run(per_run, "user_id", ttl_seconds, as_of).select("user_id", "field", "count")
 
 
 def category_interests(events: DataFrame, ttl_seconds: int | None = TTL_CATEGORY_INTERESTS,
@@ -104,17 +124,14 @@ def session_summary(events: DataFrame, ttl_seconds: int | None = TTL_SESSION, as
 
     With ``all_runs`` every run of a session is listed, not only the newest.
     """
-    if ttl_seconds is None:
-        live, keys = events, ["session_id"]
-    elif all_runs:
-        live, keys = assign_runs(events, "session_id", ttl_seconds), ["session_id", "run_start"]
-    else:
-        live, keys = _live(events, "session_id", ttl_seconds, as_of), ["session_id"]
-    out = live.groupBy(*keys).agg(
+    runs = _with_runs(events, "session_id", ttl_seconds)
+    out = runs.groupBy("session_id", "run_start").agg(
         F.min("timestamp").alias("_start"),
         F.min_by("user_id", "timestamp").alias("user_id"),
         F.max("timestamp").alias("_last"),
         F.count(F.lit(1)).alias("action_count"),
     )
+    if not all_runs:
+        out = _newest_run(out, "session_id", ttl_seconds, as_of)
     return out.select("session_id", "user_id", format_time("_start").alias("start_time"),
                       format_time("_last").alias("last_activity"), "action_count")
