@@ -15,9 +15,16 @@ Plan (no task ever holds a whole key)
 2. Per (key, bucket) the latest run start is kept; a window over that small
    table (at most ``span / W`` rows per key, runs are ``>= ttl`` apart)
    gives the run open at the start of every bucket.
-3. That value is joined back on ``(key, bucket)`` -- the events are already
-   partitioned that way, so only the small side moves -- and a running max
-   of starts inside the bucket gives each event's run start.
+3. That value is joined back on ``(key, bucket)`` and a running max of
+   starts inside the bucket gives each event's run start.
+
+Summaries (``run_summary``, the serving tables) do not need a label per
+event, and take a cheaper path with a single shuffle of the events:
+``local_runs`` marks each event with the latest run start *inside its
+bucket* (NULL when its run began in an earlier bucket), the caller
+aggregates per ``(key, bucket, local run)`` right there (same partitioning,
+no new shuffle), and ``resolve_runs`` fills the NULLs on that small
+aggregate with a window over the key ordered by bucket.
 """
 
 from __future__ import annotations
@@ -37,18 +44,8 @@ def _micros(ts: str = "timestamp"):
     return F.unix_micros(F.col(ts))
 
 
-def assign_runs(events: DataFrame, key: str | list[str], ttl_seconds: int,
-                bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp") -> DataFrame:
-    """``events`` + ``run_start`` (timestamp of the first event of the run).
-
-    Keys must be non-NULL (serving tables are built from ``split_storable``
-    output). Events with a NULL time form no run (``run_start`` NULL).
-    """
-    keys = [key] if isinstance(key, str) else list(key)
+def _spread(events: DataFrame, keys: list[str], ttl_us: int, width_us: int, ts: str) -> DataFrame:
     cols = events.columns
-    ttl_us = int(ttl_seconds) * 1_000_000
-    width_us = max(int(bucket_seconds), int(ttl_seconds), 1) * 1_000_000
-
     base = events.withColumn("_t", _micros(ts)).withColumn("_tb", F.floor(F.col("_t") / F.lit(width_us)))
     spread = base.withColumn(
         "_buckets",
@@ -56,27 +53,57 @@ def assign_runs(events: DataFrame, key: str | list[str], ttl_seconds: int,
                F.array("_tb", F.col("_tb") + 1)).otherwise(F.array("_tb")))
     rows = spread.select(*cols, "_t", F.posexplode("_buckets").alias("_kind", "_bucket"))
     home = F.col("_kind") == _HOME
-    rows = rows.select(*[F.col(c) if c in keys else F.when(home, F.col(c)).alias(c) for c in cols],
+    return rows.select(*[F.col(c) if c in keys else F.when(home, F.col(c)).alias(c) for c in cols],
                        "_t", "_kind", "_bucket")
 
-    # 1. run starts: no event of the key in [t - ttl, t) ... exactly: a gap of
-    #    ttl or more before t. Equal times are one write.
+
+def local_runs(events: DataFrame, key: str | list[str], ttl_seconds: int,
+               bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp") -> DataFrame:
+    """Events partitioned by ``(key, _bucket)`` with ``_local``: the latest
+    run start (epoch micros) at or before the event within its bucket, NULL
+    if the event's run started in an earlier bucket. One shuffle."""
+    keys = [key] if isinstance(key, str) else list(key)
+    ttl_us = int(ttl_seconds) * 1_000_000
+    width_us = max(int(bucket_seconds), int(ttl_seconds), 1) * 1_000_000
+    rows = _spread(events, keys, ttl_us, width_us, ts)
     before = Window.partitionBy(*keys, "_bucket").orderBy("_t").rangeBetween(-(ttl_us - 1), -1)
+    upto = Window.partitionBy(*keys, "_bucket").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
     flagged = (rows.repartition(*keys, "_bucket")
                .withColumn("_prev", F.count(F.lit(1)).over(before))
-               .where(home)
+               .where(F.col("_kind") == _HOME)
                .withColumn("_start", F.when((F.col("_prev") == 0) & F.col("_t").isNotNull(), F.col("_t"))))
+    return flagged.withColumn("_local", F.max("_start").over(upto)).drop("_prev", "_start", "_kind")
 
-    # 2. run open when each bucket begins (small: one row per key and bucket)
-    per_bucket = flagged.groupBy(*keys, "_bucket").agg(F.max("_start").alias("_last_start"))
-    w = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_bucket.select(*keys, "_bucket",
-                                F.max("_last_start").over(w).alias("_carried"))
 
-    # 3. each event: latest start at or before it in its bucket, else carried
-    upto = Window.partitionBy(*keys, "_bucket").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
-    joined = flagged.join(carried, [*keys, "_bucket"], "left")
-    out = joined.withColumn("_run", F.coalesce(F.max("_start").over(upto), F.col("_carried")))
+def resolve_runs(partials: DataFrame, key: str | list[str]) -> DataFrame:
+    """Rows carrying ``key, _bucket, _local`` (aggregated per bucket and local
+    run) + ``run_start`` (timestamp). The window runs over the key's
+    aggregated rows only, ordered by bucket."""
+    keys = [key] if isinstance(key, str) else list(key)
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rangeBetween(Window.unboundedPreceding, -1)
+    run = F.coalesce(F.col("_local"), F.max("_local").over(earlier))
+    return partials.withColumn("run_start", F.timestamp_micros(run))
+
+
+def assign_runs(events: DataFrame, key: str | list[str], ttl_seconds: int,
+                bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp") -> DataFrame:
+    """``events`` + ``run_start`` (timestamp of the first event of the run).
+
+    A label per event needs the per-bucket starts next to every event, so
+    the (key, time) columns are read twice; summaries should aggregate on
+    ``local_runs`` instead (see ``run_summary``). Keys must be non-NULL (serving tables are built from ``split_storable``
+    output). Events with a NULL time form no run (``run_start`` NULL).
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = events.columns
+    loc = local_runs(events, keys, ttl_seconds, bucket_seconds, ts)
+    # run open when each bucket begins (small: one row per key and bucket)
+    per_bucket = loc.groupBy(*keys, "_bucket").agg(F.max("_local").alias("_last_start"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_bucket.select(*keys, "_bucket", F.max("_last_start").over(earlier).alias("_carried"))
+    # events whose run began in an earlier bucket take the carried start
+    out = loc.join(carried, [*keys, "_bucket"], "left") \
+        .withColumn("_run", F.coalesce(F.col("_local"), F.col("_carried")))
     return out.select(*cols, F.timestamp_micros("_run").alias("run_start"))
 
 
@@ -84,7 +111,8 @@ def run_summary(events: DataFrame, key: str | list[str], ttl_seconds: int,
                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp") -> DataFrame:
     """One row per run: ``key, run_start, last_write, events, expires_at``."""
     keys = [key] if isinstance(key, str) else list(key)
-    runs = assign_runs(events, keys, ttl_seconds, bucket_seconds, ts)
-    return (runs.groupBy(*keys, "run_start")
-            .agg(F.max(ts).alias("last_write"), F.count(F.lit(1)).alias("events"))
+    partials = local_runs(events, keys, ttl_seconds, bucket_seconds, ts) \
+        .groupBy(*keys, "_bucket", "_local").agg(F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    return (resolve_runs(partials, keys).groupBy(*keys, "run_start")
+            .agg(F.max("_last").alias("last_write"), F.sum("_n").alias("events"))
             .withColumn("expires_at", F.col("last_write") + ttl_interval(ttl_seconds)))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import behavior_json, format_time, price_band
 from ..schema import (RECENT_BEHAVIORS_KEEP, TTL_ACTION_COUNTS, TTL_CATEGORY_INTERESTS,
                       TTL_PRICE_PREFERENCES, TTL_RECENT_BEHAVIORS, TTL_SESSION)
-from .runs import assign_runs, ttl_interval
+from .runs import local_runs, resolve_runs, ttl_interval
 
 REQUIRED_FOR_SERVING = ["user_id", "session_id", "action_type", "product_category",
                         "product_price", "timestamp"]
@@ -42,13 +42,6 @@ def split_storable(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def _with_runs(events: DataFrame, key: str, ttl_seconds: int | None) -> DataFrame:
-    """``events`` + ``run_start`` (NULL when there is no expiry)."""
-    if ttl_seconds is None:
-        return events.withColumn("run_start", F.lit(None).cast("timestamp"))
-    return assign_runs(events, key, ttl_seconds)
-
-
 def _newest_run(summary: DataFrame, key: str, ttl_seconds: int | None, as_of,
                 last_col: str = "_last") -> DataFrame:
     """Keep the rows of each key's newest run of an already aggregated
@@ -73,12 +66,20 @@ def recent_behaviors(events: DataFrame, n: int = RECENT_BEHAVIORS_KEEP,
     Output ``user_id, rank, product_id, action_type, category, price,
     timestamp`` (text) and ``behavior_json``.
     """
-    runs = _with_runs(events, "user_id", ttl_seconds)
     order = [F.col("timestamp").desc()] + ([F.col(tie_break).desc()] if tie_break else [])
-    w = Window.partitionBy("user_id", "run_start").orderBy(*order)
-    top = runs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n) \
-        .withColumn("_last", F.col("timestamp"))
-    top = _newest_run(top, "user_id", ttl_seconds, as_of)
+    if ttl_seconds is None:
+        w = Window.partitionBy("user_id").orderBy(*order)
+        top = events.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    else:
+        # newest n of every (bucket, local run), then of every run, then the
+        # newest run: each step keeps at most n rows per group
+        loc = local_runs(events, "user_id", ttl_seconds)
+        w1 = Window.partitionBy("user_id", "_bucket", "_local").orderBy(*order)
+        part = loc.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= n)
+        w2 = Window.partitionBy("user_id", "run_start").orderBy(*order)
+        top = (resolve_runs(part, "user_id").withColumn("rank", F.row_number().over(w2))
+               .where(F.col("rank") <= n).withColumn("_last", F.col("timestamp")))
+        top = _newest_run(top, "user_id", ttl_seconds, as_of)
     return top.select(
         "user_id", "rank", "product_id", "action_type",
         F.col("product_category").alias("category"),
@@ -89,9 +90,13 @@ def recent_behaviors(events: DataFrame, n: int = RECENT_BEHAVIORS_KEEP,
 
 
 def _counter(events: DataFrame, field, ttl_seconds, as_of) -> DataFrame:
-    runs = _with_runs(events, "user_id", ttl_seconds)
-    per_run = runs.groupBy("user_id", "run_start", field.alias("field")).agg(
-        F.count(F.lit(1)).alias("count"), F.max("timestamp").alias("_last"))
+    if ttl_seconds is None:
+        return events.groupBy("user_id", field.alias("field")).agg(F.count(F.lit(1)).alias("count"))
+    part = local_runs(events, "user_id", ttl_seconds).groupBy(
+        "user_id", "_bucket", "_local", field.alias("field")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("timestamp").alias("_last"))
+    per_run = resolve_runs(part, "user_id").groupBy("user_id", "run_start", "field").agg(
+        F.sum("_n").alias("count"), F.max("_last").alias("_last"))
     return _newest_run(per_run, "user_id", ttl_seconds, as_of).select("user_id", "field", "count")
 
 
@@ -124,14 +129,24 @@ def session_summary(events: DataFrame, ttl_seconds: int | None = TTL_SESSION, as
 
     With ``all_runs`` every run of a session is listed, not only the newest.
     """
-    runs = _with_runs(events, "session_id", ttl_seconds)
-    out = runs.groupBy("session_id", "run_start").agg(
-        F.min("timestamp").alias("_start"),
-        F.min_by("user_id", "timestamp").alias("user_id"),
-        F.max("timestamp").alias("_last"),
-        F.count(F.lit(1)).alias("action_count"),
-    )
-    if not all_runs:
-        out = _newest_run(out, "session_id", ttl_seconds, as_of)
+    if ttl_seconds is None:
+        out = events.groupBy("session_id").agg(
+            F.min("timestamp").alias("_start"),
+            F.min_by("user_id", "timestamp").alias("user_id"),
+            F.max("timestamp").alias("_last"),
+            F.count(F.lit(1)).alias("action_count"))
+    else:
+        part = local_runs(events, "session_id", ttl_seconds).groupBy("session_id", "_bucket", "_local").agg(
+            F.min("timestamp").alias("_start"),
+            F.min_by("user_id", "timestamp").alias("_user"),
+            F.max("timestamp").alias("_last"),
+            F.count(F.lit(1)).alias("_n"))
+        out = resolve_runs(part, "session_id").groupBy("session_id", "run_start").agg(
+            F.min("_start").alias("_start"),
+            F.min_by("_user", "_start").alias("user_id"),
+            F.max("_last").alias("_last"),
+            F.sum("_n").alias("action_count"))
+        if not all_runs:
+            out = _newest_run(out, "session_id", ttl_seconds, as_of)
     return out.select("session_id", "user_id", format_time("_start").alias("start_time"),
                       format_time("_last").alias("last_activity"), "action_count")
