@@ -21,7 +21,7 @@ from clickweave.operators import aggregates as agg  # noqa: E402
 from clickweave.operators import features as feat  # noqa: E402
 from clickweave.operators import recommend as rec  # noqa: E402
 from clickweave.operators import runs, serving  # noqa: E402
-from clickweave.session import get_session  # noqa: E402
+from clickweave.session import checkpoint, get_session  # noqa: E402
 from clickweave.sources.fixtures import behavior_events  # noqa: E402
 
 
@@ -37,7 +37,7 @@ def main():
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
 
     def als(events):
-        scores = agg.interaction_strength(events).checkpoint(eager=True)
+        scores = checkpoint(agg.interaction_strength(events))
         dicts = rec.fit_indexers(scores)
         model = rec.fit_als(rec.encode(scores, dicts))
         return rec.recommend_all(model, dicts, n=10)

@@ -20,6 +20,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 
 
@@ -31,7 +33,7 @@ def index_labels(counts: DataFrame, label: str = "label", freq: str = "freq") ->
                              F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos"))
     # The positions are read twice (sizes and join); a second sort could cut
     # different range boundaries, so they are materialised once.
-    ordered = ordered.checkpoint(eager=True)
+    ordered = checkpoint(ordered)
     sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # one row per sort partition: a bounded table, safe to broadcast

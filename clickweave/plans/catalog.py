@@ -390,6 +390,7 @@ def q_decode_roundtrip(spark, sf_dir):
 
 # --- C12, E1-E3, F2, F3, G1-G6 ------------------------------------------------------
 from ..operators import recommend as rec  # noqa: E402
+from ..session import checkpoint  # noqa: E402
 
 _LABELS_SQL = """
 SELECT '{col}' AS "column", label, CAST(row_number() OVER (ORDER BY freq DESC, label ASC) - 1 AS INTEGER) AS idx
@@ -424,7 +425,7 @@ def q_encoded_interactions(spark, sf_dir):
 
 
 def _trained(spark, sf_dir):
-    scores = agg.interaction_strength(behavior_events(spark, sf_dir)).checkpoint(eager=True)
+    scores = checkpoint(agg.interaction_strength(behavior_events(spark, sf_dir)))
     dicts = rec.fit_indexers(scores)
     return rec.fit_als(rec.encode(scores, dicts)), dicts
 

@@ -7,6 +7,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import checkpoint
 from ..operators.aggregates import interaction_strength_sql
 from ..operators.recommend import encode, fit_als, fit_indexers
 from ..sources.lake import day_range, read_lake, time_range
@@ -22,7 +23,7 @@ def interactions_for_range(spark: SparkSession, events: DataFrame, start: str |
     re-scanning the lake per job.
     """
     scored = interaction_strength_sql(spark, time_range(events, start, end))
-    return scored.checkpoint(eager=True)
+    return checkpoint(scored)
 
 
 def train(spark: SparkSession, lake_path: str, start: str | None, end: str | None, out: str,

@@ -66,3 +66,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub folder of the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
+
+
+def checkpoint(df, eager: bool = True):
+    """``df.checkpoint()`` into the session's shared checkpoint folder
+    (resolved first, so it also works on a session built elsewhere)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
