@@ -263,8 +263,7 @@ def q_recent_behaviors_10(spark, sf_dir):
 
 
 def _counter_sql(field_sql: str, ranked: bool = False) -> str:
-    body = f"""
-SELECT user_id, {field_sql} AS field, count(*) AS count FROM live GROUP BY user_id, {field_sql}"""
+    body = _counter_body(field_sql)
     if ranked:
         body = f"""
 SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY count DESC, field ASC) AS INTEGER) AS rank
@@ -272,6 +271,12 @@ FROM ({body})"""
     return with_events(_newest_run_cte("live", "behavior_events", "user_id", TTL_CATEGORY_INTERESTS)) + body
 
 
+def _counter_body(field_sql: str, kind: str | None = None) -> str:
+    k = f"'{kind}' AS kind, " if kind else ""
+    return f"""
+SELECT user_id, {k}{field_sql} AS field, count(*) AS count FROM live GROUP BY user_id, {field_sql}"""
+
+
 _BAND_SQL = """CASE WHEN product_price < 50 THEN '0-50' WHEN product_price < 100 THEN '50-100'
      WHEN product_price < 200 THEN '100-200' WHEN product_price < 500 THEN '200-500'
      WHEN product_price IS NOT NULL THEN '500+' END"""
@@ -524,3 +529,35 @@ def q_stream_dedup(spark, sf_dir):
                         available_now=True)
     q.awaitTermination()
     return lake.read_lake(spark, f"{out}/lake").select(*EVENT_COLUMNS, "offset", "event_date")
+
+
+from ..streaming import live_serving  # noqa: E402
+
+LIVE_TTL = 86400
+
+
+@register("stream_serving_live", with_events(_STREAM_EVENTS_CTE, _newest_run_cte(
+    "live", "stream_events", "user_id", LIVE_TTL)) + _counter_body("product_category", "category_interests")
+    + "\nUNION ALL" + _counter_body(_BAND_SQL, "price_preferences")
+    + "\nUNION ALL" + _counter_body("action_type", "action_counts"))
+def q_stream_serving_live(spark, sf_dir):
+    """Live counters with a 1-day sliding expiry, kept in keyed state across
+    day-sized micro-batches; the newest emission per user is the summary."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    stateful.configure(spark)
+    src = _record_dir(spark, sf_dir)
+    out = _scratch(spark, "live")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=1)).select(*EVENT_COLUMNS)
+    good, _bad = serving.split_storable(events)
+
+    def sink(batch, batch_id):
+        (batch.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out}/counters"))
+
+    q = (live_serving.live_counters(good, LIVE_TTL).writeStream.outputMode("update").foreachBatch(sink)
+         .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    emitted = spark.read.parquet(f"{out}/counters")
+    newest = emitted.withColumn("_b", F.max("batch_id").over(Window.partitionBy("user_id")))
+    return newest.where(F.col("batch_id") == F.col("_b")).select("user_id", "kind", "field", "count")

@@ -46,3 +46,29 @@ def test_file_stream_end_to_end(spark):
     assert len(q.sink_counts) == 3 and sum(q.sink_counts.values()) == events.count()
     assert lake.read_lake(spark, f"{out}/lake").select(*EVENT_COLUMNS).count() == events.count()
     assert mb.status(spark).count() == 0 and mb.stop_all(spark) == 0
+
+
+def test_live_counters_restart_after_ttl(spark, make_events):
+    from datetime import datetime, timedelta
+
+    from conftest import ev
+
+    from clickweave.streaming import live_serving, stateful
+    stateful.configure(spark)
+    base = datetime(2024, 1, 5)
+    rows = [ev(ts=base, category="Books", event_id=1),
+            ev(ts=base + timedelta(hours=1), category="Books", event_id=2),
+            ev(ts=base + timedelta(days=1, hours=1), category="Toys", event_id=3),   # gap == TTL
+            ev(ts=base + timedelta(days=1, hours=2), category="Toys", event_id=4)]
+    src = scratch_path(spark, f"rec-{uuid.uuid4().hex}")
+    records.write_record_files(make_events(rows), src)
+    out = scratch_path(spark, f"live-{uuid.uuid4().hex}")
+    events = mb.decode_stream(records.read_record_stream(spark, src, max_files=1)).select(*EVENT_COLUMNS)
+    q = (live_serving.live_counters(events, 86400).writeStream.outputMode("update")
+         .foreachBatch(lambda df, b: df.withColumn("b", F.lit(b)).write.mode("append").parquet(f"{out}/o"))
+         .option("checkpointLocation", f"{out}/c").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(f"{out}/o")
+    last = got.where(F.col("b") == got.agg(F.max("b")).first()[0])
+    cats = {r.field: r["count"] for r in last.where("kind = 'category_interests'").collect()}
+    assert cats == {"Toys": 2}
