@@ -60,3 +60,26 @@ def test_lake_pruning_and_replay(spark):
 def test_day_range_and_preview(spark):
     assert lake.day_range("2025-08-27") == ("2025-08-27T00:00:00+00:00", "2025-08-28T00:00:00+00:00")
     assert lake.preview(behavior_events(spark, SF_SMALL), 5).count() == 5
+
+
+def test_codec_property(spark):
+    from datetime import datetime
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    text = st.one_of(st.none(), st.text(max_size=12))
+    event = st.tuples(text, text, text,
+                      st.datetimes(min_value=datetime(2000, 1, 1), max_value=datetime(2100, 1, 1)),
+                      text, text, st.one_of(st.none(), st.floats(-1e6, 1e6, width=32)), text, text, text)
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(event, min_size=1, max_size=20))
+    def roundtrip(rows):
+        ddl = ", ".join(f"{c} {t}" for c, t in zip(EVENT_COLUMNS, ["string"] * 3 + ["timestamp"] + ["string"] * 2
+                                                    + ["double"] + ["string"] * 3))
+        df = spark.createDataFrame([tuple(r) for r in rows], ddl)
+        back = kafka.decode_events(kafka.encode_events(df)).select(*EVENT_COLUMNS)
+        assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+
+    roundtrip()
