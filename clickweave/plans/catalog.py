@@ -561,3 +561,32 @@ def q_stream_serving_live(spark, sf_dir):
     emitted = spark.read.parquet(f"{out}/counters")
     newest = emitted.withColumn("_b", F.max("batch_id").over(Window.partitionBy("user_id")))
     return newest.where(F.col("batch_id") == F.col("_b")).select("user_id", "kind", "field", "count")
+
+
+@register("stream_sessions_live", with_events(_newest_run_cte("live", "behavior_events", "session_id", 3600))
+          + _SESSION_SELECT + """
+FROM live GROUP BY session_id""")
+def q_stream_sessions_live(spark, sf_dir):
+    """Session records with a 1-hour sliding expiry in keyed state; the
+    newest emission per session is the record."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from ..functions import format_time
+    stateful.configure(spark)
+    src = _record_dir(spark, sf_dir)
+    out = _scratch(spark, "sessions")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=1)).select(*EVENT_COLUMNS)
+    good, _bad = serving.split_storable(events)
+
+    def sink(batch, batch_id):
+        (batch.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out}/sessions"))
+
+    q = (live_serving.live_sessions(good, 3600).writeStream.outputMode("update").foreachBatch(sink)
+         .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    emitted = spark.read.parquet(f"{out}/sessions")
+    newest = emitted.withColumn("_b", F.max("batch_id").over(Window.partitionBy("session_id")))
+    return (newest.where(F.col("batch_id") == F.col("_b"))
+            .select("session_id", "user_id", format_time("start_time").alias("start_time"),
+                    format_time("last_activity").alias("last_activity"), "action_count"))

@@ -1,4 +1,4 @@
-"""Live serving counters with sliding expiry (H9, streaming form).
+"""Live serving state with sliding expiry (H9, streaming form).
 
 Per user the state holds the current run (start, last write) and the
 counters of that run: events per category, per 5-band price class and per
@@ -8,6 +8,15 @@ expired key restarts from zero -- then adds the batch's events and emits
 the user's full current counters. The newest emission per user is the
 live summary; on input in time order it equals ``operators.serving`` with
 the same TTL. State per user is bounded (a few dozen counters).
+
+``live_sessions`` does the same for the session record (C10): start time
+and user are set by the first event of a run, the last activity and the
+count follow every event, and a session idle for ``ttl`` restarts.
+
+Both run in event-time mode: after each write an event-time timer is set at
+``last write + ttl``, and when the watermark passes it the key's state is
+deleted. State thus only holds keys that are still alive, as the store's
+expiry would.
 """
 
 from __future__ import annotations
@@ -19,13 +28,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..schema import TTL_CATEGORY_INTERESTS
+from ..schema import TTL_CATEGORY_INTERESTS, TTL_SESSION
 
 OUTPUT_SCHEMA = ("user_id string, kind string, field string, count long, "
                  "run_start timestamp, last_write timestamp")
 KINDS = ("category_interests", "price_preferences", "action_counts")
 
 
+def _expire_at(handle: StatefulProcessorHandle, last_us: int, ttl_us: int) -> None:
+    """One event-time timer per key, at the key's expiry."""
+    for old in list(handle.listTimers()):
+        handle.deleteTimer(old)
+    handle.registerTimer((last_us + ttl_us) // 1000)
+
+
 def _bands(price: np.ndarray) -> np.ndarray:
     return np.select([price < 50, price < 100, price < 200, price < 500, ~np.isnan(price)],
                      ["0-50", "50-100", "100-200", "200-500", "500+"], default=None).astype(object)
@@ -36,6 +52,7 @@ class UserCounters(StatefulProcessor):
         self.ttl_us = int(ttl_seconds) * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.run = handle.getValueState("run", "run_start long, last_write long")
         self.counts = handle.getMapState("counts", "kind string, field string", "count long")
 
@@ -67,6 +84,7 @@ class UserCounters(StatefulProcessor):
                 self.counts.updateValue(k, (old + int(n),))
         last = int(t[-1])
         self.run.update((run_start, last))
+        _expire_at(self.handle, last, self.ttl_us)
 
         out = [(key[0], k[0], k[1], int(v[0])) for k, v in self.counts.iterator()]
         frame = pd.DataFrame(out, columns=["user_id", "kind", "field", "count"])
@@ -74,13 +92,68 @@ class UserCounters(StatefulProcessor):
         frame["last_write"] = pd.to_datetime(last, unit="us")
         yield frame
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.run.clear()
+        self.counts.clear()
+        yield from ()
+
     def close(self) -> None:
         pass
 
 
 def live_counters(events: DataFrame, ttl_seconds: int = TTL_CATEGORY_INTERESTS) -> DataFrame:
-    """Streaming frame of storable events -> updated counters per user and
-    micro-batch (``OUTPUT_SCHEMA``). Call ``stateful.configure(spark)`` first."""
+    """Streaming frame of storable events with an event-time watermark ->
+    updated counters per user and micro-batch (``OUTPUT_SCHEMA``). Call
+    ``stateful.configure(spark)`` first."""
     return events.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=UserCounters(ttl_seconds), outputStructType=OUTPUT_SCHEMA,
-        outputMode="Update", timeMode="None")
+        outputMode="Update", timeMode="EventTime")
+
+
+SESSION_OUTPUT_SCHEMA = ("session_id string, user_id string, start_time timestamp, "
+                         "last_activity timestamp, action_count long")
+
+
+class SessionRecord(StatefulProcessor):
+    def __init__(self, ttl_seconds: int = TTL_SESSION):
+        self.ttl_us = int(ttl_seconds) * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rec = handle.getValueState("record", "start long, user_id string, last long, n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        cur = pd.concat(list(rows), ignore_index=True)
+        t = pd.to_datetime(cur["timestamp"]).astype("int64").to_numpy() // 1000
+        order = np.argsort(t, kind="stable")
+        users, t = cur["user_id"].to_numpy(object)[order], t[order]
+        state = self.rec.get() if self.rec.exists() else None
+        prev = np.concatenate([[state[2]] if state else [np.iinfo("int64").min // 2], t[:-1]])
+        starts = np.flatnonzero(t - prev >= self.ttl_us)
+        if len(starts):
+            first = int(starts[-1])
+            start, user, n = int(t[first]), users[first], len(t) - first
+        else:
+            start, user, n = int(state[0]), state[1], int(state[3]) + len(t)
+        last = int(t[-1])
+        self.rec.update((start, user, last, n))
+        _expire_at(self.handle, last, self.ttl_us)
+        yield pd.DataFrame({"session_id": [key[0]], "user_id": [user],
+                            "start_time": [pd.to_datetime(start, unit="us")],
+                            "last_activity": [pd.to_datetime(last, unit="us")],
+                            "action_count": [n]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.rec.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def live_sessions(events: DataFrame, ttl_seconds: int = TTL_SESSION) -> DataFrame:
+    """Streaming frame of storable events -> the current session record per
+    session touched in a micro-batch (``SESSION_OUTPUT_SCHEMA``)."""
+    return events.groupBy("session_id").transformWithStateInPandas(
+        statefulProcessor=SessionRecord(ttl_seconds), outputStructType=SESSION_OUTPUT_SCHEMA,
+        outputMode="Update", timeMode="EventTime")
