@@ -81,7 +81,7 @@ def add_aggregated_features(df: DataFrame, recent_seconds: int = RECENT_WINDOW_S
     frame = int(recent_seconds)
     cols = df.columns
     if bucket_seconds is None:
-        return _plain_windows(df, frame, tie_break).select(*cols, *_FEATURE_COLS)
+        return _plain_windows(df, frame, tie_break).select(*cols, *WINDOW_COLS)
 
     width = max(int(bucket_seconds), frame, 1)
     ts_unix = epoch_seconds("timestamp")
@@ -131,11 +131,11 @@ def add_aggregated_features(df: DataFrame, recent_seconds: int = RECENT_WINDOW_S
                "session_action_count": F.sum("_weight").over(running),
            })
            .where(F.col("_kind") == _HOME))
-    return out.select(*cols, *_FEATURE_COLS)
+    return out.select(*cols, *WINDOW_COLS)
 
 
 _WINDOW_INPUTS = {"user_id", "session_id", "timestamp", "action_type", "product_price"}
-_FEATURE_COLS = ["action_sequence", "session_action_count", "recent_view_count",
+WINDOW_COLS = ["action_sequence", "session_action_count", "recent_view_count",
                  "recent_cart_count", "avg_price_viewed"]
 
 
@@ -186,7 +186,7 @@ def process_user_behavior(df: DataFrame, recent_seconds: int = RECENT_WINDOW_SEC
                                        bucket_seconds=bucket_seconds)
     out = windowed.transform(add_basic_features).transform(add_temporal_features) \
         .transform(add_user_segments)
-    return out.select(*cols, *BASIC_COLS, *TEMPORAL_COLS, *_FEATURE_COLS, *SEGMENT_COLS)
+    return out.select(*cols, *BASIC_COLS, *TEMPORAL_COLS, *WINDOW_COLS, *SEGMENT_COLS)
 
 
 BASIC_COLS = ["price_range", "is_mobile", "referrer_type"]

@@ -12,7 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import aggregates as agg
+from ..operators import features as feat
+from ..operators import recommend as rec
+from ..operators import runs as runs_op
+from ..operators import serving
+from ..schema import EVENT_COLUMNS
+from ..schema import TTL_CATEGORY_INTERESTS, TTL_RECENT_BEHAVIORS
+from ..session import checkpoint
+from ..sources import kafka as kafka_src
+from ..sources import lake
 from ..sources.fixtures import behavior_events, with_events
+from ..streaming import live_serving
+from ..streaming import micro_batch as mb
+from ..streaming import records as rec_files
+from ..streaming import stateful
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,7 +61,6 @@ def q_interaction_filtered(spark, sf_dir):
 
 
 # --- B1-B7, D1-D5, B8, B9, B22 ---------------------------------------------------
-from ..operators import features as feat  # noqa: E402
 
 _BASIC_SQL = """
   CASE WHEN product_price < 50 THEN 'low' WHEN product_price < 200 THEN 'medium' ELSE 'high' END AS price_range,
@@ -210,9 +222,6 @@ def q_product_features(spark, sf_dir):
 
 
 # --- C6-C11, H9 -------------------------------------------------------------------
-from ..operators import runs as runs_op  # noqa: E402
-from ..operators import serving  # noqa: E402
-from ..schema import TTL_CATEGORY_INTERESTS, TTL_RECENT_BEHAVIORS  # noqa: E402
 
 
 def _runs_cte(name: str, source: str, key: str, ttl: int) -> str:
@@ -350,9 +359,6 @@ def q_quarantine(spark, sf_dir):
 
 
 # --- A2-A9, A12, B12, B18 ---------------------------------------------------------
-from ..schema import EVENT_COLUMNS  # noqa: E402
-from ..sources import kafka as kafka_src  # noqa: E402
-from ..sources import lake  # noqa: E402
 
 
 def _fresh_lake(spark, sf_dir: str) -> str:
@@ -394,8 +400,6 @@ def q_decode_roundtrip(spark, sf_dir):
 
 
 # --- C12, E1-E3, F2, F3, G1-G6 ------------------------------------------------------
-from ..operators import recommend as rec  # noqa: E402
-from ..session import checkpoint  # noqa: E402
 
 _LABELS_SQL = """
 SELECT '{col}' AS "column", label, CAST(row_number() OVER (ORDER BY freq DESC, label ASC) - 1 AS INTEGER) AS idx
@@ -450,10 +454,6 @@ def q_recommend_all(spark, sf_dir):
 
 
 # --- H1-H12, A11, A14, C13 ----------------------------------------------------------
-from ..operators.features import process_user_behavior  # noqa: E402,F401
-from ..streaming import micro_batch as mb  # noqa: E402
-from ..streaming import records as rec_files  # noqa: E402
-from ..streaming import stateful  # noqa: E402
 
 
 def _scratch(spark, name):
@@ -478,7 +478,7 @@ stream_events AS (
          CAST("timestamp" AS DATE) AS day
   FROM behavior_events)"""
 
-_STREAM_FEATURE_COLS = EVENT_COLUMNS + feat.BASIC_COLS + feat.TEMPORAL_COLS + feat._FEATURE_COLS \
+_STREAM_FEATURE_COLS = EVENT_COLUMNS + feat.BASIC_COLS + feat.TEMPORAL_COLS + feat.WINDOW_COLS \
     + feat.SEGMENT_COLS
 
 
@@ -512,7 +512,7 @@ def q_stream_stateful(spark, sf_dir):
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return rounded(spark.read.parquet(f"{out}/features")
-                   .select(*EVENT_COLUMNS, *feat._FEATURE_COLS), "avg_price_viewed")
+                   .select(*EVENT_COLUMNS, *feat.WINDOW_COLS), "avg_price_viewed")
 
 
 @register("stream_dedup", with_events() + """
@@ -531,8 +531,6 @@ def q_stream_dedup(spark, sf_dir):
     return lake.read_lake(spark, f"{out}/lake").select(*EVENT_COLUMNS, "offset", "event_date")
 
 
-from ..streaming import live_serving  # noqa: E402
-
 LIVE_TTL = 86400
 
 

@@ -85,3 +85,13 @@ def test_segments_order(make_events):
         .select("user_behavior_type", "engagement_level").collect()
     assert [r[0] for r in out] == ["casual_visitor", "quick_buyer", "quick_buyer"]
     assert {r[1] for r in out} == {"low"}
+
+
+def test_null_times_match_plain_windows(make_events):
+    base = datetime(2024, 1, 5, 23, 50, 0)
+    rows = [ev(ts=None if i % 4 == 0 else base + timedelta(seconds=97 * i), session="s" + str(i % 2),
+               action=["view", "add_to_cart"][i % 2], event_id=i) for i in range(60)]
+    df = make_events(rows)
+    split = _rows(feat.add_aggregated_features(df, tie_break="event_id", bucket_seconds=600))
+    plain = _rows(feat.add_aggregated_features(df, tie_break="event_id", bucket_seconds=None))
+    assert split == plain
