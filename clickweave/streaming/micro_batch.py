@@ -4,7 +4,7 @@
 
 1. lake append, idempotent per ``batch_id`` (A4 / H10);
 2. per-batch features (H7: windows see only the current micro-batch, as in
-   the reference; ``operators.stateful`` has the cross-batch form);
+   the reference; ``streaming.stateful`` has the cross-batch form);
 3. serving deltas of the storable rows, idempotent per ``batch_id`` (A11);
 4. an optional features table, idempotent per ``batch_id``.
 
@@ -139,3 +139,32 @@ def status(spark: SparkSession) -> DataFrame:
     rows = [(str(q.id), q.name, bool(q.isActive), json.dumps(q.lastProgress) if q.lastProgress else None)
             for q in spark.streams.active]
     return spark.createDataFrame(rows, "id string, name string, is_active boolean, last_progress string")
+
+
+def main(argv=None):
+    """``python -m clickweave.streaming.micro_batch --servers host:9092 --lake …``"""
+    import argparse
+
+    from ..session import get_session
+    from ..sources.kafka import DEFAULT_TOPIC, read_kafka
+    p = argparse.ArgumentParser(description="stream events into the lake and the serving tables")
+    p.add_argument("--servers", required=True)
+    p.add_argument("--topics", default=DEFAULT_TOPIC)
+    p.add_argument("--starting", default="latest")
+    p.add_argument("--checkpoint", required=True)
+    p.add_argument("--lake")
+    p.add_argument("--serving")
+    p.add_argument("--features")
+    p.add_argument("--trigger", default="10 seconds")
+    p.add_argument("--late", choices=["keep", "drop"], default="keep")
+    p.add_argument("--duration", type=float, help="seconds to run, default until stopped")
+    a = p.parse_args(argv)
+    spark = get_session()
+    events = decode_stream(read_kafka(spark, a.servers, a.topics, a.starting), late=a.late)
+    query = start_stream(events, a.checkpoint, a.lake, a.serving, a.features, trigger=a.trigger,
+                         name="clickweave-stream")
+    run_for(query, a.duration)
+
+
+if __name__ == "__main__":
+    main()

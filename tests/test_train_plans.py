@@ -39,3 +39,15 @@ def test_runs_shuffle_events_once(spark):
     assert plan.count("REPARTITION_BY_COL") == 1
     plan = _plan(runs.run_summary(behavior_events(spark, SF_SMALL), "user_id", 86400))
     assert plan.count("FileScan parquet") == 1
+
+
+def test_recommend_jobs(spark):
+    from clickweave.plans.recommend_job import recommend_everyone, recommend_users
+    path = scratch_path(spark, f"lake-{uuid.uuid4().hex}")
+    lake.write_lake(behavior_events(spark, SF_SMALL), path)
+    models = scratch_path(spark, f"models-{uuid.uuid4().hex}")
+    root = train(spark, path, None, None, models, max_iter=2, version="all")
+    got = recommend_users(spark, root, ["user_000001", "user_000002", "nobody"], n=4)
+    assert sorted({r.user_id for r in got.collect()}) == ["user_000001", "user_000002"]
+    out = recommend_everyone(spark, root, scratch_path(spark, f"recs-{uuid.uuid4().hex}"), n=3)
+    assert spark.read.parquet(out).groupBy("user_id").count().agg({"count": "max"}).first()[0] == 3
