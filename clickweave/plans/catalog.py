@@ -478,18 +478,30 @@ stream_events AS (
          CAST("timestamp" AS DATE) AS day
   FROM behavior_events)"""
 
+# Days (record files) per micro-batch. Per-batch features depend on it (the
+# oracle groups its windows the same way); the stateful results do not.
+FEATURE_DAYS_PER_BATCH = 3
+STATE_DAYS_PER_BATCH = 5
+
+_STREAM_BATCHES_CTE = f"""
+stream_batches AS (
+  SELECT * EXCLUDE (day), (dense_rank() OVER (ORDER BY day) - 1) // {FEATURE_DAYS_PER_BATCH} AS day
+  FROM stream_events)"""
+
 _STREAM_FEATURE_COLS = EVENT_COLUMNS + feat.BASIC_COLS + feat.TEMPORAL_COLS + feat.WINDOW_COLS \
     + feat.SEGMENT_COLS
 
 
-@register("stream_features", with_events(_STREAM_EVENTS_CTE, _featured_cte(600, "stream_events", "user_id, day"))
+@register("stream_features", with_events(_STREAM_EVENTS_CTE, _STREAM_BATCHES_CTE,
+                                         _featured_cte(600, "stream_batches", "user_id, day"))
           + f"""SELECT * EXCLUDE (ts_unix, day) REPLACE (round(avg_price_viewed, 6) AS avg_price_viewed),
   {_SEGMENT_SQL} FROM featured""")
 def q_stream_features(spark, sf_dir):
-    """Micro-batches of one day each through the full job; per-batch features."""
+    """Micro-batches of three days each through the full job; per-batch
+    features (windows restart every micro-batch, H7)."""
     src = _record_dir(spark, sf_dir)
     out = _scratch(spark, "stream")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=1))
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=FEATURE_DAYS_PER_BATCH))
     q = mb.start_stream(events, checkpoint=f"{out}/checkpoint", lake_path=f"{out}/lake",
                         serving_path=f"{out}/serving", features_path=f"{out}/features",
                         available_now=True)
@@ -506,7 +518,8 @@ def q_stream_stateful(spark, sf_dir):
     stateful.configure(spark)
     src = _record_dir(spark, sf_dir)
     out = _scratch(spark, "stateful")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=1)).select(*EVENT_COLUMNS)
+    records = rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH)
+    events = mb.decode_stream(records).select(*EVENT_COLUMNS)
     q = (stateful.stateful_features(events).writeStream.format("parquet")
          .option("path", f"{out}/features").option("checkpointLocation", f"{out}/checkpoint")
          .outputMode("append").trigger(availableNow=True).start())
@@ -524,7 +537,7 @@ def q_stream_dedup(spark, sf_dir):
     """Every record delivered twice; the drop policy keeps each once."""
     src = _record_dir(spark, sf_dir, copies=2)
     out = _scratch(spark, "dedup")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=1), late="drop")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH), late="drop")
     q = mb.start_stream(events, checkpoint=f"{out}/checkpoint", lake_path=f"{out}/lake",
                         available_now=True)
     q.awaitTermination()
@@ -546,7 +559,8 @@ def q_stream_serving_live(spark, sf_dir):
     stateful.configure(spark)
     src = _record_dir(spark, sf_dir)
     out = _scratch(spark, "live")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=1)).select(*EVENT_COLUMNS)
+    records = rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH)
+    events = mb.decode_stream(records).select(*EVENT_COLUMNS)
     good, _bad = serving.split_storable(events)
 
     def sink(batch, batch_id):
@@ -573,7 +587,8 @@ def q_stream_sessions_live(spark, sf_dir):
     stateful.configure(spark)
     src = _record_dir(spark, sf_dir)
     out = _scratch(spark, "sessions")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=1)).select(*EVENT_COLUMNS)
+    records = rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH)
+    events = mb.decode_stream(records).select(*EVENT_COLUMNS)
     good, _bad = serving.split_storable(events)
 
     def sink(batch, batch_id):
