@@ -26,6 +26,7 @@ EVENT_COLUMNS = [f.name for f in BEHAVIOR_SCHEMA.fields]
 RECORD_METADATA = ["kafka_key", "topic", "partition", "offset", "kafka_timestamp"]
 
 # --- fixed values that must equal the reference's -------------------------
+# Known actions (others are kept and weigh 1.0).
 ACTIONS = ["view", "click", "add_to_cart", "purchase"]
 
 # Interaction weight per action; any other (or null) action weighs 1.0.

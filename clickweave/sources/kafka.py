@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import BEHAVIOR_SCHEMA, EVENT_COLUMNS
+from ..schema import BEHAVIOR_SCHEMA, EVENT_COLUMNS, RECORD_METADATA
 
 DEFAULT_TOPIC = "user-behavior-events"
 # Event times are written as ISO-8601 text with microseconds and a +hh:mm
@@ -46,7 +46,7 @@ def decode_events(records: DataFrame, widen_price: bool = True) -> DataFrame:
         *[F.col(c) for c in ("topic", "partition", "offset") if c in records.columns],
         *([F.col("timestamp").alias("kafka_timestamp")] if "timestamp" in records.columns else []),
     )
-    meta = [c for c in ("kafka_key", "topic", "partition", "offset", "kafka_timestamp") if c in parsed.columns]
+    meta = [c for c in RECORD_METADATA if c in parsed.columns]
     out = parsed.select(*[F.col("data." + c).alias(c) for c in EVENT_COLUMNS], *meta)
     if widen_price:
         out = out.withColumn("product_price", F.col("product_price").cast("double"))

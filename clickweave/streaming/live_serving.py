@@ -73,9 +73,8 @@ class UserCounters(StatefulProcessor):
             first, run_start = 0, int(state[0])
         live = cur.iloc[first:]
         price = live["product_price"].astype("float64").to_numpy()
-        fields = {"category_interests": live["product_category"].to_numpy(object),
-                  "price_preferences": _bands(price),
-                  "action_counts": live["action_type"].to_numpy(object)}
+        fields = dict(zip(KINDS, [live["product_category"].to_numpy(object), _bands(price),
+                                  live["action_type"].to_numpy(object)]))
         for kind, vals in fields.items():
             vals = pd.Series(vals).dropna()
             for field, n in vals.value_counts(sort=False).items():

@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.features import process_user_behavior
 from ..operators.serving import split_storable
+from ..schema import RECORD_METADATA
 from ..sources.kafka import decode_events, fill_event_time
 from ..sources.lake import write_lake
 from ..sources.serving_store import batch_tables, write_serving
@@ -78,8 +79,7 @@ class BatchSink:
             if self.lake_path:
                 write_lake(observed, self.lake_path, batch_id=batch_id)
                 self.counts[batch_id] = obs.get["rows"]
-            events = batch.drop(*[c for c in ("kafka_key", "topic", "partition", "offset", "kafka_timestamp")
-                                  if c in batch.columns])
+            events = batch.drop(*[c for c in RECORD_METADATA if c in batch.columns])
             if self.features_path:
                 feats = process_user_behavior(events, **self.feature_args)
                 (feats.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
