@@ -26,6 +26,24 @@ DEFAULT_CONF = {
 }
 
 
+# Settings meant for a large cluster reading ~100 TB (pass as ``extra`` or in
+# spark-defaults). Shuffles start wide and AQE merges them down to ~256 MB
+# reducers, so a task's window / aggregation input fits in executor memory
+# and spills gracefully; skewed join partitions are split at run time; scans
+# read 256 MB splits. The streaming state lives in RocksDB (off-heap, spills
+# to local disk, snapshots to the checkpoint folder).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "clickweave", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
