@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import behavior_json, format_time, price_band
+from ..functions import behavior_json, format_time, price_band, serving_key
 from ..schema import (RECENT_BEHAVIORS_KEEP, TTL_ACTION_COUNTS, TTL_CATEGORY_INTERESTS,
                       TTL_PRICE_PREFERENCES, TTL_RECENT_BEHAVIORS, TTL_SESSION)
 from .runs import local_runs, resolve_runs, ttl_interval
@@ -150,3 +150,19 @@ def session_summary(events: DataFrame, ttl_seconds: int | None = TTL_SESSION, as
             out = _newest_run(out, "session_id", ttl_seconds, as_of)
     return out.select("session_id", "user_id", format_time("_start").alias("start_time"),
                       format_time("_last").alias("last_activity"), "action_count")
+
+
+# key layout of the keyed store the summaries replace (optional export column)
+_KEYS = {
+    "recent_behaviors": ("user", "user_id", "recent_behaviors"),
+    "category_interests": ("user", "user_id", "category_interests"),
+    "price_preferences": ("user", "user_id", "price_preferences"),
+    "action_counts": ("user", "user_id", "action_counts"),
+    "session_summary": ("session", "session_id", None),
+}
+
+
+def with_serving_key(summary: DataFrame, table: str) -> DataFrame:
+    """Add ``key`` (e.g. ``user:<id>:category_interests``, ``session:<id>``)."""
+    kind, col, suffix = _KEYS[table]
+    return summary.withColumn("key", serving_key(kind, col, suffix))

@@ -21,21 +21,20 @@ def write_lake(events: DataFrame, path: str, batch_id: int | None = None,
     """Append events to the lake, partitioned by UTC event day.
 
     Errors are raised, not swallowed. ``files_per_day`` optionally clusters
-    the rows by day first (one shuffle) so each day gets that many files
-    instead of one file per input partition and day.
+    the rows by (day, salt) first -- one shuffle -- so each day is written as
+    about that many even files instead of one file per input partition and
+    day; the salt is a hash of the row, so a retried task places rows the
+    same way and a heavy day is still spread over many tasks.
     """
     out = events.withColumn("event_date", event_date("timestamp"))
-    parts = ["event_date"]
     if files_per_day:
-        out = out.repartition(files_per_day, "event_date")
-    writer = out
-    if batch_id is not None:
-        out = out.withColumn("batch_id", F.lit(int(batch_id)))
-        parts.append("batch_id")
-        (out.write.partitionBy(*parts).mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").parquet(path))
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]), F.lit(int(files_per_day)))
+        out = out.repartition("event_date", salt.alias("_salt"))
+    if batch_id is None:
+        out.write.partitionBy("event_date").mode("append").parquet(path)
         return
-    writer.write.partitionBy(*parts).mode("append").parquet(path)
+    (out.withColumn("batch_id", F.lit(int(batch_id))).write.partitionBy("event_date", "batch_id")
+     .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:

@@ -110,3 +110,14 @@ def test_quarantine(make_events):
     reasons = {r.event_id: r.reason for r in bad.collect()}
     assert reasons == {2: "missing product_price", 3: "missing user_id", 4: "missing session_id",
                        5: "missing product_category", 6: "missing action_type"}
+
+
+def test_serving_keys_and_position_property(spark):
+    from clickweave.operators import features as feat
+    events = behavior_events(spark, SF_SMALL)
+    keyed = serving.with_serving_key(serving.session_summary(events, ttl_seconds=None), "session_summary")
+    assert keyed.where(~F.col("key").startswith("session:s_")).count() == 0
+    keyed = serving.with_serving_key(serving.action_counts(events), "action_counts")
+    assert keyed.first().key.endswith(":action_counts")
+    f = feat.add_aggregated_features(events)
+    assert f.where(F.col("session_action_count") < F.col("action_sequence")).count() == 0

@@ -83,3 +83,14 @@ def test_codec_property(spark):
         assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
 
     roundtrip()
+
+
+def test_lake_files_per_day(spark):
+    path = scratch_path(spark, f"lake-files-{uuid.uuid4().hex}")
+    events = behavior_events(spark, SF_SMALL)
+    lake.write_lake(events, path, files_per_day=3)
+    back = lake.read_lake(spark, path)
+    assert back.count() == events.count()
+    per_day = back.select("event_date", F.input_file_name().alias("f")).distinct() \
+        .groupBy("event_date").count().agg(F.max("count")).first()[0]
+    assert per_day <= 3
