@@ -8,26 +8,41 @@ sliding frame of ``recent_seconds`` and two segment labels.
 Window plan
 -----------
 The reference partitions its windows by ``user_id`` (recent activity) and by
-``(user_id, session_id)`` (position in session). A single heavy user -- a
-bot, or all rows whose user is NULL -- would then sit in one task. Here the
-unit of work is ``(user_id, time bucket)`` instead:
-
-* every event is assigned to bucket ``floor(epoch / W)``, ``W >= frame``;
-* an event in the last ``frame`` seconds of its bucket is also copied, as a
-  *halo* row, into the next bucket, so the sliding frame of every event lies
-  entirely inside its own bucket;
-* for the session position, one *offset* row per (user, session, bucket)
-  carries the number of that session's events in earlier buckets (a small
-  aggregate); the position is then a running sum inside the bucket.
-
-All three windows are partitioned by keys that contain ``(user_id, bucket)``,
-so the plan has one Exchange of the event rows, and the results equal the
-unsplit windows exactly (ties keep the reference's peer semantics).
+``(user_id, session_id)`` (position in session). A single heavy key -- a bot,
+a session that never ends, or all rows whose user is NULL -- would then sit
+in one task. Two facts let the work be split much finer:
+
+* the recent frame is measured in *whole seconds*, so events of a user in
+  the same second are peers and can be summed before any window runs;
+* a position in a session is "events of the session in earlier seconds"
+  plus a position inside the event's own second.
+
+So the plan works on per-second aggregates and touches each event row once:
+
+1. ``recent``: events summed per ``(user, second)`` (map-side combine before
+   the shuffle) and windowed over ``(user, time bucket)``, bucket width
+   ``W >= frame``; the rows of the last ``frame`` seconds of a bucket are
+   copied into the next bucket as *halo* rows, so every sliding frame lies
+   inside one partition. A partition holds at most ``W + frame`` rows per
+   user, whatever the user's event rate.
+2. ``before``: events counted per ``(user, session, second)`` (map-side
+   combine), then the session's events in earlier seconds: a running sum
+   inside ``(user, session, bucket)`` plus one *offset* row per bucket
+   carrying the earlier buckets' count (a window over one row per bucket).
+3. The events, the ``recent`` rows and the ``before`` rows are shuffled
+   together on ``(user, second)``; inside a second the event's position and
+   running count (peers by exact timestamp) are added to ``before``. The
+   largest group any task sees is one user's events of one second.
+
+Only step 3 moves whole event rows; steps 1 and 2 read the four key and
+value columns and move per-second sums.
+The results equal the unsplit windows exactly (tests compare both on the
+fixture, a hot user, NULL users and NULL times).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (day_of_week, epoch_seconds, hour_of_day, is_mobile, is_weekend,
@@ -35,7 +50,6 @@ from ..functions import (day_of_week, epoch_seconds, hour_of_day, is_mobile, is_
 from ..schema import RECENT_WINDOW_SECONDS
 
 DEFAULT_BUCKET_SECONDS = 3600
-_HOME, _HALO, _OFFSET = 0, 1, 2
 
 
 def add_basic_features(df: DataFrame) -> DataFrame:
@@ -57,10 +71,6 @@ def add_temporal_features(df: DataFrame) -> DataFrame:
     })
 
 
-def _view(kind_ok: Column, action: str) -> Column:
-    return kind_ok & (F.col("action_type") == action)
-
-
 def add_aggregated_features(df: DataFrame, recent_seconds: int = RECENT_WINDOW_SECONDS,
                             tie_break: str | None = None,
                             bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
@@ -76,67 +86,106 @@ def add_aggregated_features(df: DataFrame, recent_seconds: int = RECENT_WINDOW_S
       price of those views (NULL without views).
 
     ``bucket_seconds=None`` runs the plain windows (one task per user);
-    otherwise the time-bucketed plan of the module docstring.
+    otherwise the per-second plan of the module docstring.
     """
     frame = int(recent_seconds)
     cols = df.columns
     if bucket_seconds is None:
         return _plain_windows(df, frame, tie_break).select(*cols, *WINDOW_COLS)
-
     width = max(int(bucket_seconds), frame, 1)
-    ts_unix = epoch_seconds("timestamp")
-    tb = F.floor(ts_unix / F.lit(width))
-    # Each event: its home bucket, plus the next bucket when the event lies
-    # within the last `frame` seconds of its own bucket.
-    homes = df.withColumns({"_ts_unix": ts_unix, "_tb": tb})
-    spread = homes.withColumn(
-        "_buckets",
-        F.when(F.col("_ts_unix") >= (F.col("_tb") + 1) * width - frame,
-               F.array(F.col("_tb"), F.col("_tb") + 1)).otherwise(F.array(F.col("_tb"))))
-    rows = spread.select(*cols, "_ts_unix", F.posexplode("_buckets").alias("_kind", "_bucket"))
-    # Halo copies only feed the windows: blank every other column so they add
-    # little to the shuffle.
-    home = F.col("_kind") == _HOME
-    rows = rows.select(
-        *[F.col(c) if c in _WINDOW_INPUTS else F.when(home, F.col(c)).alias(c) for c in cols],
-        "_ts_unix", "_kind", "_bucket",
-        F.when(home, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("_weight"))
-
-    # Offsets: events of the same session in earlier buckets (nulls first,
-    # as in an ascending time order).
-    per_bucket = homes.groupBy("user_id", "session_id", F.col("_tb").alias("_bucket")).count()
-    earlier = Window.partitionBy("user_id", "session_id").orderBy(F.col("_bucket").asc_nulls_first()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (per_bucket.withColumn("_weight", F.sum("count").over(earlier))
-               .where(F.col("_weight") > 0)
-               .select("user_id", "session_id", "_bucket",
-                       F.lit(_OFFSET).alias("_kind"), "_weight"))
-    rows = rows.unionByName(offsets, allowMissingColumns=True)
-
-    is_event = F.col("_kind") != _OFFSET
-    recent = Window.partitionBy("user_id", "_bucket").orderBy("_ts_unix").rangeBetween(-frame, 0)
+    recent = _recent_by_second(df, frame, width)
+    before = _session_before(df, width)
+
+    events = df.withColumns({"_sec": epoch_seconds("timestamp"), "_kind": F.lit(_EVENT)})
+    rows = (events.unionByName(recent.withColumn("_kind", F.lit(_RECENT)), allowMissingColumns=True)
+            .unionByName(before.withColumn("_kind", F.lit(_BEFORE)), allowMissingColumns=True))
+    # Every spec sorts by (user, second, session, time[, tie]) or a prefix of
+    # it, so the stage sorts once; the whole-partition frames ignore order.
     order = [F.col("timestamp").asc_nulls_first()] + ([F.col(tie_break).asc_nulls_first()] if tie_break else [])
-    in_session = Window.partitionBy("user_id", "session_id", "_bucket")
-    seq = in_session.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = in_session.orderBy(F.col("timestamp").asc_nulls_first()) \
+    per_sec = Window.partitionBy("user_id", "_sec").orderBy(F.col("session_id").asc_nulls_first(), *order) \
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    in_sec = Window.partitionBy("user_id", "_sec", "session_id")
+    seq = in_sec.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = in_sec.orderBy(F.col("timestamp").asc_nulls_first()) \
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    is_event = F.when(F.col("_kind") == _EVENT, F.lit(1)).otherwise(F.lit(0)).cast("long")
+    out = (rows.repartition("user_id", "_sec")
+           .withColumns({"_seq": F.sum(is_event).over(seq), "_run": F.sum(is_event).over(running)})
+           .withColumns({"_base": F.coalesce(F.max("_before").over(in_sec), F.lit(0).cast("long")),
+                         "_rv": F.max("recent_view_count").over(per_sec),
+                         "_rc": F.max("recent_cart_count").over(per_sec),
+                         "_ra": F.max("avg_price_viewed").over(per_sec)})
+           .where(F.col("_kind") == _EVENT))
+    return out.select(*cols,
+                      (F.col("_base") + F.col("_seq")).cast("int").alias("action_sequence"),
+                      (F.col("_base") + F.col("_run")).alias("session_action_count"),
+                      F.col("_rv").alias("recent_view_count"),
+                      F.col("_rc").alias("recent_cart_count"),
+                      F.col("_ra").alias("avg_price_viewed"))
 
-    out = (rows.repartition("user_id", "_bucket")
-           .withColumns({
-               "recent_view_count": F.sum(F.when(_view(is_event, "view"), 1).otherwise(0)).over(recent),
-               "recent_cart_count": F.sum(F.when(_view(is_event, "add_to_cart"), 1).otherwise(0)).over(recent),
-               "avg_price_viewed": F.avg(F.when(_view(is_event, "view"),
-                                                F.col("product_price").cast("double"))).over(recent),
-               "action_sequence": F.sum("_weight").over(seq).cast("int"),
-               "session_action_count": F.sum("_weight").over(running),
-           })
-           .where(F.col("_kind") == _HOME))
-    return out.select(*cols, *WINDOW_COLS)
 
-
-_WINDOW_INPUTS = {"user_id", "session_id", "timestamp", "action_type", "product_price"}
 WINDOW_COLS = ["action_sequence", "session_action_count", "recent_view_count",
-                 "recent_cart_count", "avg_price_viewed"]
+               "recent_cart_count", "avg_price_viewed"]
+_EVENT, _RECENT, _BEFORE = 0, 1, 2
+_HOME, _HALO = 0, 1
+
+
+def _recent_by_second(df: DataFrame, frame: int, width: int) -> DataFrame:
+    """``(user_id, _sec, recent_view_count, recent_cart_count,
+    avg_price_viewed)`` over ``[_sec - frame, _sec]``. The events are summed
+    per (user, second) with a map-side combine; the sums are windowed in time
+    buckets with halo rows, so no partition holds more than
+    ``width + frame`` rows of a user, whatever the user's event rate."""
+    action = F.col("action_type")
+    view_price = F.when(action == "view", F.col("product_price").cast("double"))
+    per_user = (df.select("user_id", epoch_seconds("timestamp").alias("_sec"),
+                          F.when(action == "view", 1).otherwise(0).alias("_v"),
+                          F.when(action == "add_to_cart", 1).otherwise(0).alias("_c"),
+                          view_price.alias("_p"))
+                .groupBy("user_id", "_sec")
+                .agg(F.sum("_v").alias("_v"), F.sum("_c").alias("_c"),
+                     F.count("_p").alias("_pn"), F.sum("_p").alias("_ps")))
+    tb = F.floor(F.col("_sec") / F.lit(width))
+    spread = per_user.withColumn("_tb", tb).withColumn(
+        "_buckets",
+        F.when(F.col("_sec") >= (F.col("_tb") + 1) * width - frame,
+               F.array(F.col("_tb"), F.col("_tb") + 1)).otherwise(F.array(F.col("_tb"))))
+    rows = spread.select("user_id", "_sec", "_v", "_c", "_pn", "_ps",
+                         F.posexplode("_buckets").alias("_kind", "_bucket"))
+    w = Window.partitionBy("user_id", "_bucket").orderBy("_sec").rangeBetween(-frame, 0)
+    pn = F.sum("_pn").over(w)
+    return (rows.repartition("user_id", "_bucket")
+            .select("user_id", "_sec", "_kind",
+                    F.sum("_v").over(w).alias("recent_view_count"),
+                    F.sum("_c").over(w).alias("recent_cart_count"),
+                    F.when(pn > 0, F.sum("_ps").over(w) / pn).alias("avg_price_viewed"))
+            .where(F.col("_kind") == _HOME).drop("_kind"))
+
+
+def _session_before(df: DataFrame, width: int) -> DataFrame:
+    """``(user_id, session_id, _sec, _before)``: events of the session in
+    earlier seconds (NULL times first). Events are counted per (user,
+    session, second) with a map-side combine; running sums inside
+    ``(user, session, bucket)``; one offset row per bucket carries the
+    earlier buckets' count, from a window over one row per bucket."""
+    seconds = (df.select("user_id", "session_id", epoch_seconds("timestamp").alias("_sec"))
+               .groupBy("user_id", "session_id", "_sec").agg(F.count(F.lit(1)).alias("_n")))
+    rows = seconds.select("user_id", "session_id", "_sec", "_n",
+                          F.floor(F.col("_sec") / F.lit(width)).alias("_bucket"))
+    per_bucket = rows.groupBy("user_id", "session_id", "_bucket").agg(F.sum("_n").alias("_cnt"))
+    earlier = Window.partitionBy("user_id", "session_id").orderBy(F.col("_bucket").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (per_bucket.withColumn("_n", F.sum("_cnt").over(earlier)).where(F.col("_n") > 0)
+               .select("user_id", "session_id", "_bucket", "_n", F.lit(True).alias("_offset")))
+    home = rows.withColumn("_offset", F.lit(False))
+    prior = Window.partitionBy("user_id", "session_id", "_bucket") \
+        .orderBy(F.col("_offset").desc(), F.col("_sec").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    return (home.unionByName(offsets, allowMissingColumns=True)
+            .repartition("user_id", "session_id", "_bucket")
+            .withColumn("_before", F.coalesce(F.sum("_n").over(prior), F.lit(0).cast("long")))
+            .where(~F.col("_offset"))
+            .select("user_id", "session_id", "_sec", "_before"))
 
 
 def _plain_windows(df: DataFrame, frame: int, tie_break: str | None) -> DataFrame:

@@ -95,3 +95,36 @@ def test_null_times_match_plain_windows(make_events):
     split = _rows(feat.add_aggregated_features(df, tie_break="event_id", bucket_seconds=600))
     plain = _rows(feat.add_aggregated_features(df, tie_break="event_id", bucket_seconds=None))
     assert split == plain
+
+
+def test_dense_seconds_and_sessions_match_plain(make_events):
+    """A bot: many events per second, equal timestamps, two sessions of one
+    user interleaved, a NULL session; the per-second plan equals the plain
+    windows."""
+    base = datetime(2024, 1, 5, 23, 59, 50)
+    rows = []
+    for i in range(300):
+        t = base + timedelta(microseconds=250_000 * (i // 3))   # 3 events per timestamp, 4 per second
+        rows.append(ev(user="bot", session=["a", "b", None][i % 3], ts=t,
+                       action=["view", "add_to_cart", "click", "view"][i % 4],
+                       price=None if i % 7 == 0 else float(i % 13), event_id=i))
+    df = make_events(rows)
+    for frame in (1, 5, 600):
+        split = _rows(feat.add_aggregated_features(df, recent_seconds=frame, tie_break="event_id",
+                                                   bucket_seconds=60))
+        plain = _rows(feat.add_aggregated_features(df, recent_seconds=frame, tie_break="event_id",
+                                                   bucket_seconds=None))
+        assert [r[:5] for r in split] == [r[:5] for r in plain]
+        for x, y in zip(split, plain):
+            assert (x[5] is None and y[5] is None) or abs(x[5] - y[5]) < 1e-9
+
+
+def test_event_rows_move_once_by_user_second(spark):
+    df = feat.add_aggregated_features(behavior_events(spark, SF_SMALL))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # the only exchange of whole event rows is keyed by (user, second); the
+    # others move per-second sums
+    assert plan.count("Exchange hashpartitioning(user_id") >= 1
+    assert "Exchange hashpartitioning(user_id#" in plan and "_sec" in plan
+    final = plan.split("Union")[0]
+    assert final.count("Sort [") == 1
