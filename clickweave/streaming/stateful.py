@@ -2,7 +2,9 @@
 ``operators.features`` computed across micro-batches with keyed state.
 
 Per-batch windows (H7) restart every trigger. Here each user keeps, in the
-state store, the events of their last ``recent_seconds`` and a counter per
+state store, per-second sums of their last ``recent_seconds`` (the frame is
+in whole seconds, so events of one second merge: at most ``frame + 1``
+entries per user, whatever the user's event rate) and a counter per
 session, so a micro-batch continues where the previous one stopped. On
 input that arrives in time order the result equals the batch computation
 over all rows. The per-key work is vectorised with numpy on the key's rows
@@ -24,9 +26,9 @@ from ..schema import RECENT_WINDOW_SECONDS
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Session counters are dropped from the state a week (processing time) after
-# their last update; the recent-event list never outgrows the frame.
+# their last update; the recent list holds one entry per second of the frame.
 SESSION_STATE_TTL_MS = 7 * 86400 * 1000
-_RECENT_SCHEMA = "ts_unix long, is_view int, is_cart int, price double"
+_RECENT_SCHEMA = "ts_unix long, views long, carts long, priced long, price_sum double"
 _SESSION_SCHEMA = "seen long"
 FEATURE_FIELDS = [
     T.StructField("action_sequence", T.IntegerType()),
@@ -58,25 +60,27 @@ class RecentActivity(StatefulProcessor):
         c_cart = (cur["action_type"] == "add_to_cart").to_numpy().astype("int64")
         c_price = cur["product_price"].astype("float64").to_numpy()
 
+        # per-second sums: the state's seconds plus this batch's events
         prev = list(self.recent.get()) if self.recent.exists() else []
-        p = np.array(prev, dtype="float64").reshape(-1, 4)
-        ts = np.concatenate([p[:, 0].astype("int64"), c_ts])
-        view = np.concatenate([p[:, 1].astype("int64"), c_view])
-        cart = np.concatenate([p[:, 2].astype("int64"), c_cart])
-        price = np.concatenate([p[:, 3], c_price])
-        order = np.argsort(ts, kind="stable")
-        ts, view, cart, price = ts[order], view[order], cart[order], price[order]
+        p = np.array(prev, dtype="float64").reshape(-1, 5)
+        c_priced = (c_view == 1) & ~np.isnan(c_price)
+        secs, inv = np.unique(np.concatenate([p[:, 0].astype("int64"), c_ts]), return_inverse=True)
 
-        # sums over [t - frame, t] (whole seconds, both ends, equal seconds included)
-        priced_view = (view == 1) & ~np.isnan(price)
+        def per_second(state_col, batch_col):
+            return np.bincount(inv, weights=np.concatenate([state_col, batch_col]), minlength=len(secs))
+
+        view = per_second(p[:, 1], c_view).astype("int64")
+        cart = per_second(p[:, 2], c_cart).astype("int64")
+        priced = per_second(p[:, 3], c_priced.astype("int64")).astype("int64")
+        price = per_second(p[:, 4], np.where(c_priced, c_price, 0.0))
 
+        # sums over [t - frame, t] (whole seconds, both ends, equal seconds included)
         def prefix(a):
             return np.concatenate([[0], np.cumsum(a)])
 
-        pv, pc = prefix(view), prefix(cart)
-        pn, ps = prefix(priced_view.astype("int64")), prefix(np.where(priced_view, price, 0.0))
-        lo = np.searchsorted(ts, c_ts - self.frame, side="left")
-        hi = np.searchsorted(ts, c_ts, side="right")
+        pv, pc, pn, ps = prefix(view), prefix(cart), prefix(priced), prefix(price)
+        lo = np.searchsorted(secs, c_ts - self.frame, side="left")
+        hi = np.searchsorted(secs, c_ts, side="right")
         n_priced = pn[hi] - pn[lo]
         avg = np.where(n_priced > 0, (ps[hi] - ps[lo]) / np.maximum(n_priced, 1), np.nan)
 
@@ -97,9 +101,9 @@ class RecentActivity(StatefulProcessor):
                 self.sessions.updateValue((sid,), (seen + len(idx),))
 
         # keep only what a later event can still see
-        keep = ts >= ts[-1] - self.frame
-        self.recent.put([(int(a), int(b), int(c), float(d))
-                         for a, b, c, d in zip(ts[keep], view[keep], cart[keep], price[keep])])
+        keep = secs >= secs[-1] - self.frame
+        self.recent.put([(int(a), int(b), int(c), int(d), float(e)) for a, b, c, d, e
+                         in zip(secs[keep], view[keep], cart[keep], priced[keep], price[keep])])
 
         out = cur.copy()
         out["action_sequence"] = seq.astype("int32")
