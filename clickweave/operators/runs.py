@@ -8,28 +8,33 @@ from zero. ``assign_runs`` labels every event with the start of its run.
 
 Plan (no task ever holds a whole key)
 -------------------------------------
-1. Events go to ``(key, bucket)`` partitions, bucket = ``floor(t / W)`` with
-   ``W >= ttl``. Events in the last ``ttl`` of a bucket are also copied into
-   the next bucket (halo), so "is there an event of the key in the ``ttl``
-   before me" is a bounded range window inside one partition: a run start.
-2. Per (key, bucket) the latest run start is kept; a window over that small
-   table (at most ``span / W`` rows per key, runs are ``>= ttl`` apart)
-   gives the run open at the start of every bucket.
-3. That value is joined back on ``(key, bucket)`` and a running max of
-   starts inside the bucket gives each event's run start.
-
-Summaries (``run_summary``, the serving tables) do not need a label per
-event, and take a cheaper path with a single shuffle of the events:
-``local_runs`` marks each event with the latest run start *inside its
-bucket* (NULL when its run began in an earlier bucket), the caller
-aggregates per ``(key, bucket, local run)`` right there (same partitioning,
-no new shuffle), and ``resolve_runs`` fills the NULLs on that small
-aggregate with a window over the key ordered by bucket.
+The TTL is at least one second, so two events of the same second are never
+a TTL apart: only the *first* event of a second can start a run, and only
+the key's *last* event of a second can be the one before it. So:
+
+1. Events are reduced to one row per ``(key, second)``: first and last time
+   (micros) plus whatever the caller wants summed per second (map-side
+   combine before the shuffle).
+2. Those rows go to ``(key, bucket)`` partitions, bucket = ``floor(s / W)``
+   with ``W >= ttl``; the rows of the last ``ttl`` seconds of a bucket are
+   copied into the next bucket as halo rows, so the previous event of any
+   second, if it is less than a TTL back, is in the same partition. ``lag``
+   gives it; a second whose first event is ``>= ttl`` after it starts a run.
+   A running max gives the run open at every second of the bucket.
+3. Seconds whose run began in an earlier bucket take the run carried over
+   from a window on one row per ``(key, bucket)`` (runs are ``>= ttl``
+   apart, so a key has few of them).
+
+A partition holds at most ``W + ttl`` rows per key, whatever the key's event
+rate. Summaries aggregate their values per ``(key, second)`` too, join the
+runs on ``(key, second)`` and aggregate by run (``per_second_runs``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _HOME, _HALO = 0, 1
@@ -40,79 +45,96 @@ def ttl_interval(ttl_seconds: int):
     return F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS")
 
 
-def _micros(ts: str = "timestamp"):
-    return F.unix_micros(F.col(ts))
+def second_of(ts: str = "timestamp") -> Column:
+    """Whole second (epoch) of a timestamp; NULL for a NULL time."""
+    return F.floor(F.unix_micros(F.col(ts)) / F.lit(1_000_000))
 
 
-def _spread(events: DataFrame, keys: list[str], ttl_us: int, width_us: int, ts: str) -> DataFrame:
-    cols = events.columns
-    base = events.withColumn("_t", _micros(ts)).withColumn("_tb", F.floor(F.col("_t") / F.lit(width_us)))
-    spread = base.withColumn(
-        "_buckets",
-        F.when(F.col("_t") >= (F.col("_tb") + 1) * width_us - ttl_us,
-               F.array("_tb", F.col("_tb") + 1)).otherwise(F.array("_tb")))
-    rows = spread.select(*cols, "_t", F.posexplode("_buckets").alias("_kind", "_bucket"))
+def _keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def second_runs(events: DataFrame, key: str | Sequence[str], ttl_seconds: int,
+                bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp") -> DataFrame:
+    """One row per ``(key, _sec)`` with ``run_start`` (timestamp of the run
+    the second's events belong to; NULL for NULL times) and ``_lastu`` (last
+    event time of the second, micros). Keys must be non-NULL (serving tables
+    are built from ``split_storable`` output).
+
+    The carried-over runs branch off the per-bucket rows and are joined back;
+    both branches read the same columns, so Spark reuses one shuffle for
+    them. (Callers therefore aggregate their own values per second and join
+    on ``(key, _sec)`` instead of passing extra columns through here.)"""
+    keys = _keys(key)
+    ttl_s = max(int(ttl_seconds), 1)
+    ttl_us = ttl_s * 1_000_000
+    width = max(int(bucket_seconds), ttl_s)
+    micros = F.unix_micros(F.col(ts))
+    per_sec = events.groupBy(*keys, second_of(ts).alias("_sec")).agg(
+        F.min(micros).alias("_first"), F.max(micros).alias("_lastu"))
+
+    tb = F.floor(F.col("_sec") / F.lit(width))
+    spread = per_sec.withColumn("_buckets", F.when(
+        F.col("_sec") >= (tb + 1) * width - ttl_s, F.array(tb, tb + 1)).otherwise(F.array(tb)))
+    rows = spread.select(*keys, "_sec", "_first", "_lastu",
+                         F.posexplode("_buckets").alias("_kind", "_bucket"))
     home = F.col("_kind") == _HOME
-    return rows.select(*[F.col(c) if c in keys else F.when(home, F.col(c)).alias(c) for c in cols],
-                       "_t", "_kind", "_bucket")
-
-
-def local_runs(events: DataFrame, key: str | list[str], ttl_seconds: int,
-               bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp") -> DataFrame:
-    """Events partitioned by ``(key, _bucket)`` with ``_local``: the latest
-    run start (epoch micros) at or before the event within its bucket, NULL
-    if the event's run started in an earlier bucket. One shuffle."""
-    keys = [key] if isinstance(key, str) else list(key)
-    ttl_us = int(ttl_seconds) * 1_000_000
-    width_us = max(int(bucket_seconds), int(ttl_seconds), 1) * 1_000_000
-    rows = _spread(events, keys, ttl_us, width_us, ts)
-    before = Window.partitionBy(*keys, "_bucket").orderBy("_t").rangeBetween(-(ttl_us - 1), -1)
-    upto = Window.partitionBy(*keys, "_bucket").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
-    flagged = (rows.repartition(*keys, "_bucket")
-               .withColumn("_prev", F.count(F.lit(1)).over(before))
-               .where(F.col("_kind") == _HOME)
-               .withColumn("_start", F.when((F.col("_prev") == 0) & F.col("_t").isNotNull(), F.col("_t"))))
-    return flagged.withColumn("_local", F.max("_start").over(upto)).drop("_prev", "_start", "_kind")
-
-
-def resolve_runs(partials: DataFrame, key: str | list[str]) -> DataFrame:
-    """Rows carrying ``key, _bucket, _local`` (aggregated per bucket and local
-    run) + ``run_start`` (timestamp). The window runs over the key's
-    aggregated rows only, ordered by bucket."""
-    keys = [key] if isinstance(key, str) else list(key)
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rangeBetween(Window.unboundedPreceding, -1)
-    run = F.coalesce(F.col("_local"), F.max("_local").over(earlier))
-    return partials.withColumn("run_start", F.timestamp_micros(run))
-
-
-def assign_runs(events: DataFrame, key: str | list[str], ttl_seconds: int,
+
+    w = Window.partitionBy(*keys, "_bucket").orderBy("_sec")
+    prev = F.lag("_lastu").over(w)
+    starts = (rows.repartition(*keys, "_bucket")
+              .withColumn("_prev", prev)
+              .where(home)
+              .withColumn("_head", F.when(
+                  F.col("_first").isNotNull()
+                  & (F.col("_prev").isNull() | (F.col("_first") - F.col("_prev") >= ttl_us)),
+                  F.col("_first"))))
+    local = starts.withColumn(
+        "_local", F.max("_head").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    # the run open when each bucket begins: one row per (key, bucket)
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (local.groupBy(*keys, "_bucket").agg(F.max("_local").alias("_m"))
+               .select(*keys, "_bucket", F.max("_m").over(earlier).alias("_carried")))
+    out = local.join(carried, [*keys, "_bucket"], "left")
+    return out.select(*keys, "_sec",
+                      F.timestamp_micros(F.coalesce(F.col("_local"), F.col("_carried"))).alias("run_start"),
+                      "_lastu")
+
+
+def per_second_runs(events: DataFrame, key: str | Sequence[str], ttl_seconds: int, aggs: Sequence[Column],
+                    by: Sequence[Column] = (), bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                    ts: str = "timestamp") -> DataFrame:
+    """``aggs`` of the events per ``(key, second, *by)`` (map-side combined),
+    with the ``run_start`` of that second. NULL times get a NULL run."""
+    keys = _keys(key)
+    runs = second_runs(events, keys, ttl_seconds, bucket_seconds, ts).select(*keys, "_sec", "run_start")
+    part = events.groupBy(*keys, second_of(ts).alias("_sec"), *by).agg(*aggs)
+    return part.join(runs, [*keys, "_sec"], "left")
+
+
+def assign_runs(events: DataFrame, key: str | Sequence[str], ttl_seconds: int,
                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp") -> DataFrame:
     """``events`` + ``run_start`` (timestamp of the first event of the run).
 
-    A label per event needs the per-bucket starts next to every event, so
-    the (key, time) columns are read twice; summaries should aggregate on
-    ``local_runs`` instead (see ``run_summary``). Keys must be non-NULL (serving tables are built from ``split_storable``
-    output). Events with a NULL time form no run (``run_start`` NULL).
+    The per-second runs are joined back on ``(key, second)``, a key no hotter
+    than one second of one key. Keys must be non-NULL. Events with a NULL
+    time form no run (``run_start`` NULL).
     """
-    keys = [key] if isinstance(key, str) else list(key)
+    keys = _keys(key)
     cols = events.columns
-    loc = local_runs(events, keys, ttl_seconds, bucket_seconds, ts)
-    # run open when each bucket begins (small: one row per key and bucket)
-    per_bucket = loc.groupBy(*keys, "_bucket").agg(F.max("_local").alias("_last_start"))
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_bucket.select(*keys, "_bucket", F.max("_last_start").over(earlier).alias("_carried"))
-    # events whose run began in an earlier bucket take the carried start
-    out = loc.join(carried, [*keys, "_bucket"], "left") \
-        .withColumn("_run", F.coalesce(F.col("_local"), F.col("_carried")))
-    return out.select(*cols, F.timestamp_micros("_run").alias("run_start"))
+    runs = second_runs(events, keys, ttl_seconds, bucket_seconds, ts).select(*keys, "_sec", "run_start")
+    out = events.withColumn("_sec", second_of(ts)).join(runs, [*keys, "_sec"], "left")
+    return out.select(*cols, "run_start")
 
 
-def run_summary(events: DataFrame, key: str | list[str], ttl_seconds: int,
+def run_summary(events: DataFrame, key: str | Sequence[str], ttl_seconds: int,
                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp") -> DataFrame:
     """One row per run: ``key, run_start, last_write, events, expires_at``."""
-    keys = [key] if isinstance(key, str) else list(key)
-    partials = local_runs(events, keys, ttl_seconds, bucket_seconds, ts) \
-        .groupBy(*keys, "_bucket", "_local").agg(F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n"))
-    return (resolve_runs(partials, keys).groupBy(*keys, "run_start")
+    keys = _keys(key)
+    secs = per_second_runs(events, keys, ttl_seconds,
+                           [F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n")],
+                           bucket_seconds=bucket_seconds, ts=ts)
+    return (secs.groupBy(*keys, "run_start")
             .agg(F.max("_last").alias("last_write"), F.sum("_n").alias("events"))
             .withColumn("expires_at", F.col("last_write") + ttl_interval(ttl_seconds)))

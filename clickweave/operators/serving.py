@@ -10,7 +10,10 @@ that time. ``ttl_seconds=None`` summarises the whole history.
 
 All summaries are partial-aggregated before their shuffle or use a
 per-group limit (``row_number() <= n`` becomes a map-side top-n), so a hot
-user contributes a bounded number of rows to any one task.
+user contributes a bounded number of rows to any one task. Runs are found
+on one row per (key, second) (``operators.runs``); counters join their
+per-second counts to them on (key, second), and the newest behaviours are
+the key's newest ``n`` overall that fall in its newest run.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import behavior_json, format_time, price_band, serving_key
 from ..schema import (RECENT_BEHAVIORS_KEEP, TTL_ACTION_COUNTS, TTL_CATEGORY_INTERESTS,
                       TTL_PRICE_PREFERENCES, TTL_RECENT_BEHAVIORS, TTL_SESSION)
-from .runs import local_runs, resolve_runs, ttl_interval
+from .runs import per_second_runs, second_runs, ttl_interval
 
 REQUIRED_FOR_SERVING = ["user_id", "session_id", "action_type", "product_category",
                         "product_price", "timestamp"]
@@ -67,19 +70,17 @@ def recent_behaviors(events: DataFrame, n: int = RECENT_BEHAVIORS_KEEP,
     timestamp`` (text) and ``behavior_json``.
     """
     order = [F.col("timestamp").desc()] + ([F.col(tie_break).desc()] if tie_break else [])
-    if ttl_seconds is None:
-        w = Window.partitionBy("user_id").orderBy(*order)
-        top = events.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-    else:
-        # newest n of every (bucket, local run), then of every run, then the
-        # newest run: each step keeps at most n rows per group
-        loc = local_runs(events, "user_id", ttl_seconds)
-        w1 = Window.partitionBy("user_id", "_bucket", "_local").orderBy(*order)
-        part = loc.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= n)
-        w2 = Window.partitionBy("user_id", "run_start").orderBy(*order)
-        top = (resolve_runs(part, "user_id").withColumn("rank", F.row_number().over(w2))
-               .where(F.col("rank") <= n).withColumn("_last", F.col("timestamp")))
-        top = _newest_run(top, "user_id", ttl_seconds, as_of)
+    # newest n overall (a per-group limit, applied map-side before the shuffle)
+    w = Window.partitionBy("user_id").orderBy(*order)
+    top = events.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    if ttl_seconds is not None:
+        # the newest run holds the key's newest events: keep the top rows at
+        # or after its start; ranks stay as they are
+        runs = second_runs(events, "user_id", ttl_seconds).groupBy("user_id").agg(
+            F.max("run_start").alias("_newest"), F.timestamp_micros(F.max("_lastu")).alias("_key_last"))
+        top = top.join(runs, "user_id", "inner").where(F.col("timestamp") >= F.col("_newest"))
+        if as_of is not None:
+            top = top.where(F.lit(as_of).cast("timestamp") < F.col("_key_last") + ttl_interval(ttl_seconds))
     return top.select(
         "user_id", "rank", "product_id", "action_type",
         F.col("product_category").alias("category"),
@@ -92,10 +93,10 @@ def recent_behaviors(events: DataFrame, n: int = RECENT_BEHAVIORS_KEEP,
 def _counter(events: DataFrame, field, ttl_seconds, as_of) -> DataFrame:
     if ttl_seconds is None:
         return events.groupBy("user_id", field.alias("field")).agg(F.count(F.lit(1)).alias("count"))
-    part = local_runs(events, "user_id", ttl_seconds).groupBy(
-        "user_id", "_bucket", "_local", field.alias("field")).agg(
-        F.count(F.lit(1)).alias("_n"), F.max("timestamp").alias("_last"))
-    per_run = resolve_runs(part, "user_id").groupBy("user_id", "run_start", "field").agg(
+    part = per_second_runs(events, "user_id", ttl_seconds,
+                           [F.count(F.lit(1)).alias("_n"), F.max("timestamp").alias("_last")],
+                           by=[field.alias("field")])
+    per_run = part.groupBy("user_id", "run_start", "field").agg(
         F.sum("_n").alias("count"), F.max("_last").alias("_last"))
     return _newest_run(per_run, "user_id", ttl_seconds, as_of).select("user_id", "field", "count")
 
@@ -136,12 +137,12 @@ def session_summary(events: DataFrame, ttl_seconds: int | None = TTL_SESSION, as
             F.max("timestamp").alias("_last"),
             F.count(F.lit(1)).alias("action_count"))
     else:
-        part = local_runs(events, "session_id", ttl_seconds).groupBy("session_id", "_bucket", "_local").agg(
+        part = per_second_runs(events, "session_id", ttl_seconds, [
             F.min("timestamp").alias("_start"),
             F.min_by("user_id", "timestamp").alias("_user"),
             F.max("timestamp").alias("_last"),
-            F.count(F.lit(1)).alias("_n"))
-        out = resolve_runs(part, "session_id").groupBy("session_id", "run_start").agg(
+            F.count(F.lit(1)).alias("_n")])
+        out = part.groupBy("session_id", "run_start").agg(
             F.min("_start").alias("_start"),
             F.min_by("_user", "_start").alias("user_id"),
             F.max("_last").alias("_last"),

@@ -121,3 +121,20 @@ def test_serving_keys_and_position_property(spark):
     assert keyed.first().key.endswith(":action_counts")
     f = feat.add_aggregated_features(events)
     assert f.where(F.col("session_action_count") < F.col("action_sequence")).count() == 0
+
+
+def test_runs_dense_seconds_sub_second_gaps(make_events):
+    """Many events per second, gaps of exactly TTL and TTL +- 100 us across
+    bucket edges: per-second run detection equals the brute force."""
+    base = datetime(2024, 1, 5, 0, 0, 0)
+    offsets_us, t = [], 0
+    pattern = [0, 250_000, 250_000, 2_000_000, 1_999_900, 2_000_100, 100, 0, 3_999_999, 2_000_000]
+    for i in range(120):
+        t += pattern[i % len(pattern)]
+        offsets_us.append(t)
+    rows = [ev(ts=base + timedelta(microseconds=u), event_id=i) for i, u in enumerate(offsets_us)]
+    df = make_events(rows)
+    for bucket in (2, 3, 7, 86400):
+        got = [r[0] for r in runs.assign_runs(df, "user_id", 2, bucket_seconds=bucket)
+               .orderBy("timestamp", "event_id").select("run_start").collect()]
+        assert got == _brute_runs(sorted(r[3] for r in rows), 2), bucket
