@@ -30,16 +30,22 @@ REQUIRED_FOR_SERVING = ["user_id", "session_id", "action_type", "product_categor
                         "product_price", "timestamp"]
 
 
+def tag_storable(events: DataFrame) -> DataFrame:
+    """``events`` + ``reason``: the first missing field that keeps the row
+    out of the serving tables, NULL for a storable row (C11, one pass)."""
+    reason = F.lit(None).cast("string")
+    for c in reversed(REQUIRED_FOR_SERVING):
+        reason = F.when(F.col(c).isNull(), F.lit(f"missing {c}")).otherwise(reason)
+    return events.withColumn("reason", reason)
+
+
 def split_storable(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(storable rows, quarantined rows + ``reason``) (C11).
 
     A row can be stored only with a user, session, action, category, price
     and time; the quarantine keeps the others with the first missing field.
     """
-    reason = F.lit(None).cast("string")
-    for c in reversed(REQUIRED_FOR_SERVING):
-        reason = F.when(F.col(c).isNull(), F.lit(f"missing {c}")).otherwise(reason)
-    tagged = events.withColumn("reason", reason)
+    tagged = tag_storable(events)
     good = tagged.where(F.col("reason").isNull()).drop("reason")
     bad = tagged.where(F.col("reason").isNotNull())
     return good, bad

@@ -352,10 +352,7 @@ SELECT event_id, user_id,
             WHEN "timestamp" IS NULL THEN 'missing timestamp' END AS reason
 FROM behavior_events""")
 def q_quarantine(spark, sf_dir):
-    good, bad = serving.split_storable(behavior_events(spark, sf_dir))
-    from pyspark.sql import functions as F
-    return (good.select("event_id", "user_id", F.lit(None).cast("string").alias("reason"))
-            .unionByName(bad.select("event_id", "user_id", "reason")))
+    return serving.tag_storable(behavior_events(spark, sf_dir)).select("event_id", "user_id", "reason")
 
 
 # --- A2-A9, A12, B12, B18 ---------------------------------------------------------
