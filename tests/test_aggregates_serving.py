@@ -138,3 +138,28 @@ def test_runs_dense_seconds_sub_second_gaps(make_events):
         got = [r[0] for r in runs.assign_runs(df, "user_id", 2, bucket_seconds=bucket)
                .orderBy("timestamp", "event_id").select("run_start").collect()]
         assert got == _brute_runs(sorted(r[3] for r in rows), 2), bucket
+
+
+def test_runs_property(make_events):
+    """Random dense times (ties, sub-second gaps, NULL times) for two users,
+    random TTL and bucket: run labels equal the brute force."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    base = datetime(2024, 1, 5, 23, 59, 0)
+    event = st.tuples(st.sampled_from(["u1", "u2"]), st.one_of(st.none(), st.integers(0, 200_000)))
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(event, min_size=1, max_size=40), st.sampled_from([1, 2, 5]), st.sampled_from([1, 3, 86400]))
+    def check(evs, ttl, bucket):
+        rows = [ev(user=u, ts=None if o is None else base + timedelta(microseconds=250 * o), event_id=i)
+                for i, (u, o) in enumerate(evs)]
+        got = {r.event_id: r.run_start
+               for r in runs.assign_runs(make_events(rows), "user_id", ttl, bucket_seconds=bucket).collect()}
+        for user in ("u1", "u2"):
+            mine = sorted((r[3], r[10]) for r in rows if r[0] == user and r[3] is not None)
+            want = _brute_runs([t for t, _ in mine], ttl)
+            assert [got[i] for _, i in mine] == want
+        assert all(got[r[10]] is None for r in rows if r[3] is None)
+
+    check()

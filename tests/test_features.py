@@ -128,3 +128,33 @@ def test_event_rows_move_once_by_user_second(spark):
     assert "Exchange hashpartitioning(user_id#" in plan and "_sec" in plan
     final = plan.split("Union")[0]
     assert final.count("Sort [") == 1
+
+
+def test_per_second_plan_property(make_events):
+    """Random events (dense times with ties, NULL users / sessions / actions
+    / prices / times), random frame and bucket: equal to the plain windows."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    base = datetime(2024, 1, 5, 23, 58, 0)
+    event = st.tuples(st.sampled_from(["u1", "u2", None]), st.sampled_from(["s1", "s2", None]),
+                      st.one_of(st.none(), st.integers(0, 3000)),
+                      st.sampled_from(["view", "add_to_cart", "click", None]),
+                      st.one_of(st.none(), st.integers(1, 500).map(lambda x: x / 4)))
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(event, min_size=1, max_size=40), st.sampled_from([1, 7, 120]),
+           st.sampled_from([2, 30, 3600]))
+    def check(evs, frame, bucket):
+        rows = [ev(user=u, session=s, ts=None if o is None else base + timedelta(milliseconds=100 * o),
+                   action=a, price=p, event_id=i) for i, (u, s, o, a, p) in enumerate(evs)]
+        df = make_events(rows)
+        split = _rows(feat.add_aggregated_features(df, recent_seconds=frame, tie_break="event_id",
+                                                   bucket_seconds=bucket))
+        plain = _rows(feat.add_aggregated_features(df, recent_seconds=frame, tie_break="event_id",
+                                                   bucket_seconds=None))
+        assert [r[:5] for r in split] == [r[:5] for r in plain]
+        for x, y in zip(split, plain):
+            assert (x[5] is None and y[5] is None) or abs(x[5] - y[5]) < 1e-9
+
+    check()
