@@ -13,6 +13,12 @@ the same TTL. State per user is bounded (a few dozen counters).
 and user are set by the first event of a run, the last activity and the
 count follow every event, and a session idle for ``ttl`` restarts.
 
+A key's rows of a micro-batch arrive as Arrow chunks; each chunk is
+reduced at once to per-second first / last times and per-(second, field)
+counts (a TTL is at least a second, so only the first event of a second can
+start a run). Memory per key then grows with the seconds and fields the
+batch covers, not with the key's event count.
+
 Both run in event-time mode: after each write an event-time timer is set at
 ``last write + ttl``, and when the watermark passes it the key's state is
 deleted. State thus only holds keys that are still alive, as the store's
@@ -47,6 +53,52 @@ def _bands(price: np.ndarray) -> np.ndarray:
                      ["0-50", "50-100", "100-200", "200-500", "500+"], default=None).astype(object)
 
 
+def _micros(frame: pd.DataFrame) -> np.ndarray:
+    return pd.to_datetime(frame["timestamp"]).astype("int64").to_numpy() // 1000
+
+
+def _reduce_counter_chunks(rows) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """A key's rows of one micro-batch, reduced chunk by chunk (Arrow batches)
+    to ``secs`` (sec, first, last micros; sorted) and ``fields`` (sec, kind,
+    field, n): memory grows with the seconds and fields, not the events."""
+    sec_parts, field_parts = [], []
+    for chunk in rows:
+        t = _micros(chunk)
+        sec = t // 1_000_000
+        sec_parts.append(pd.DataFrame({"sec": sec, "first": t, "last": t})
+                         .groupby("sec").agg({"first": "min", "last": "max"}))
+        price = chunk["product_price"].astype("float64").to_numpy()
+        for kind, vals in zip(KINDS, [chunk["product_category"].to_numpy(object), _bands(price),
+                                      chunk["action_type"].to_numpy(object)]):
+            f = pd.DataFrame({"sec": sec, "field": vals}).dropna()
+            field_parts.append(f.groupby(["sec", "field"]).size().rename("n").reset_index().assign(kind=kind))
+    secs = (pd.concat(sec_parts).groupby(level=0).agg({"first": "min", "last": "max"})
+            .sort_index().rename_axis("sec").reset_index())
+    fields = pd.concat(field_parts, ignore_index=True)
+    return secs, fields
+
+
+def _reduce_session_chunks(rows) -> pd.DataFrame:
+    """A session's rows of one micro-batch reduced chunk by chunk to one row
+    per second: first / last time, the user of the earliest event (arrival
+    order breaks ties) and the event count; sorted by second."""
+    parts = []
+    for i, chunk in enumerate(rows):
+        t = _micros(chunk)
+        f = pd.DataFrame({"sec": t // 1_000_000, "t": t, "user_id": chunk["user_id"].to_numpy(object),
+                          "chunk": i, "pos": np.arange(len(t))})
+        f = f.sort_values(["sec", "t", "chunk", "pos"], kind="stable")
+        g = f.groupby("sec", sort=True)
+        parts.append(pd.DataFrame({"first": g["t"].first(), "user_id": g["user_id"].first(),
+                                   "chunk": g["chunk"].first(), "pos": g["pos"].first(),
+                                   "last": g["t"].max(), "n": g.size()}))
+    both = pd.concat(parts).rename_axis("sec").reset_index()
+    both = both.sort_values(["sec", "first", "chunk", "pos"], kind="stable")
+    g = both.groupby("sec", sort=True)
+    return pd.DataFrame({"first": g["first"].first(), "user_id": g["user_id"].first(),
+                         "last": g["last"].max(), "n": g["n"].sum()}).reset_index()
+
+
 class UserCounters(StatefulProcessor):
     def __init__(self, ttl_seconds: int = TTL_CATEGORY_INTERESTS):
         self.ttl_us = int(ttl_seconds) * 1_000_000
@@ -57,31 +109,24 @@ class UserCounters(StatefulProcessor):
         self.counts = handle.getMapState("counts", "kind string, field string", "count long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        cur = pd.concat(list(rows), ignore_index=True)
-        t = pd.to_datetime(cur["timestamp"]).astype("int64").to_numpy() // 1000   # micros
-        order = np.argsort(t, kind="stable")
-        cur, t = cur.iloc[order].reset_index(drop=True), t[order]
-
+        secs, fields = _reduce_counter_chunks(rows)
         state = self.run.get() if self.run.exists() else None
-        prev = np.concatenate([[state[1]] if state else [np.iinfo("int64").min // 2], t[:-1]])
-        starts = np.flatnonzero(t - prev >= self.ttl_us)     # a gap of ttl or more: key restarts
+        # only the first event of a second can follow a gap of ttl or more
+        prev = np.concatenate([[state[1]] if state else [np.iinfo("int64").min // 2],
+                               secs["last"].to_numpy()[:-1]])
+        starts = np.flatnonzero(secs["first"].to_numpy() - prev >= self.ttl_us)
         if len(starts):
             first = int(starts[-1])
             self.counts.clear()
-            run_start = int(t[first])
+            run_start = int(secs["first"].iloc[first])
         else:
             first, run_start = 0, int(state[0])
-        live = cur.iloc[first:]
-        price = live["product_price"].astype("float64").to_numpy()
-        fields = dict(zip(KINDS, [live["product_category"].to_numpy(object), _bands(price),
-                                  live["action_type"].to_numpy(object)]))
-        for kind, vals in fields.items():
-            vals = pd.Series(vals).dropna()
-            for field, n in vals.value_counts(sort=False).items():
-                k = (kind, str(field))
-                old = int(self.counts.getValue(k)[0]) if self.counts.containsKey(k) else 0
-                self.counts.updateValue(k, (old + int(n),))
-        last = int(t[-1])
+        live = fields[fields["sec"] >= secs["sec"].iloc[first]]
+        for (kind, field), n in live.groupby(["kind", "field"], sort=False)["n"].sum().items():
+            k = (kind, str(field))
+            old = int(self.counts.getValue(k)[0]) if self.counts.containsKey(k) else 0
+            self.counts.updateValue(k, (old + int(n),))
+        last = int(secs["last"].iloc[-1])
         self.run.update((run_start, last))
         _expire_at(self.handle, last, self.ttl_us)
 
@@ -122,19 +167,18 @@ class SessionRecord(StatefulProcessor):
         self.rec = handle.getValueState("record", "start long, user_id string, last long, n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        cur = pd.concat(list(rows), ignore_index=True)
-        t = pd.to_datetime(cur["timestamp"]).astype("int64").to_numpy() // 1000
-        order = np.argsort(t, kind="stable")
-        users, t = cur["user_id"].to_numpy(object)[order], t[order]
+        secs = _reduce_session_chunks(rows)
         state = self.rec.get() if self.rec.exists() else None
-        prev = np.concatenate([[state[2]] if state else [np.iinfo("int64").min // 2], t[:-1]])
-        starts = np.flatnonzero(t - prev >= self.ttl_us)
+        prev = np.concatenate([[state[2]] if state else [np.iinfo("int64").min // 2],
+                               secs["last"].to_numpy()[:-1]])
+        starts = np.flatnonzero(secs["first"].to_numpy() - prev >= self.ttl_us)
         if len(starts):
             first = int(starts[-1])
-            start, user, n = int(t[first]), users[first], len(t) - first
+            start, user = int(secs["first"].iloc[first]), secs["user_id"].iloc[first]
+            n = int(secs["n"].iloc[first:].sum())
         else:
-            start, user, n = int(state[0]), state[1], int(state[3]) + len(t)
-        last = int(t[-1])
+            start, user, n = int(state[0]), state[1], int(state[3]) + int(secs["n"].sum())
+        last = int(secs["last"].iloc[-1])
         self.rec.update((start, user, last, n))
         _expire_at(self.handle, last, self.ttl_us)
         yield pd.DataFrame({"session_id": [key[0]], "user_id": [user],

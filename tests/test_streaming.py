@@ -103,3 +103,48 @@ def test_stateful_dense_bot_across_midnight_equals_batch(spark, make_events):
     for g, w in zip(got, want):
         assert g[:6] == w[:6]
         assert (g[6] is None and w[6] is None) or abs(g[6] - w[6]) < 1e-9
+
+
+def test_live_serving_dense_seconds_equal_batch(spark, make_events):
+    """Several events a second, gaps of exactly TTL and TTL +- 100 us, ties,
+    across midnight (two micro-batches): live counters and session records
+    equal the batch serving tables with the same 2 s TTL."""
+    from datetime import datetime, timedelta
+
+    from conftest import ev
+
+    from clickweave.functions import format_time
+    from clickweave.streaming import live_serving, stateful
+    stateful.configure(spark)
+    steps = [0, 100_000, 2_000_000, 300_000, 1_999_900, 2_000_100, 0, 50_000]
+    t, rows = datetime(2024, 1, 5, 23, 59, 50), []
+    for i in range(64):
+        t = t + timedelta(microseconds=steps[i % len(steps)])
+        rows.append(ev(user="bot", session="s", ts=t, category=["Books", "Toys", "Food"][i % 3],
+                       price=float(10 + 37 * (i % 5)), action=["view", "click", "purchase"][i % 3],
+                       event_id=i))
+    df = make_events(rows)
+    src = scratch_path(spark, f"rec-{uuid.uuid4().hex}")
+    assert len(records.write_record_files(df, src)) == 2
+    out = scratch_path(spark, f"live-{uuid.uuid4().hex}")
+
+    def run(build, name):
+        events = mb.decode_stream(records.read_record_stream(spark, src, max_files=1)).select(*EVENT_COLUMNS)
+        q = (build(events).writeStream.outputMode("update")
+             .foreachBatch(lambda b, i: b.withColumn("b", F.lit(i)).write.mode("append").parquet(f"{out}/{name}"))
+             .option("checkpointLocation", f"{out}/c-{name}").trigger(availableNow=True).start())
+        q.awaitTermination()
+        got = spark.read.parquet(f"{out}/{name}")
+        return got.where(F.col("b") == got.agg(F.max("b")).first()[0])
+
+    counters = run(lambda e: live_serving.live_counters(e, 2), "counters")
+    for kind, batch in (("category_interests", serving.category_interests(df, ttl_seconds=2)),
+                        ("price_preferences", serving.price_preferences(df, ttl_seconds=2).drop("rank")),
+                        ("action_counts", serving.action_counts(df, ttl_seconds=2))):
+        live = counters.where(F.col("kind") == kind).select("user_id", "field", "count")
+        assert sorted(map(tuple, live.collect())) == sorted(map(tuple, batch.collect())), kind
+    sessions = run(lambda e: live_serving.live_sessions(e, 2), "sessions").select(
+        "session_id", "user_id", format_time("start_time").alias("start_time"),
+        format_time("last_activity").alias("last_activity"), "action_count")
+    assert sorted(map(tuple, sessions.collect())) == \
+        sorted(map(tuple, serving.session_summary(df, ttl_seconds=2).collect()))
