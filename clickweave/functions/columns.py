@@ -43,7 +43,7 @@ def referrer_type(referrer="referrer") -> Column:
 
 
 def price_band(price="product_price") -> Column:
-    """5-band price class used by the price preference summary."""
+    """5-band price class used by the price preference summary."""
     p = _c(price)
     return (F.when(p < 50, "0-50").when(p < 100, "50-100").when(p < 200, "100-200")
             .when(p < 500, "200-500").when(p.isNotNull(), "500+"))

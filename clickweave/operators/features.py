@@ -127,7 +127,7 @@ def add_aggregated_features(df: DataFrame, recent_seconds: int = RECENT_WINDOW_S
 WINDOW_COLS = ["action_sequence", "session_action_count", "recent_view_count",
                "recent_cart_count", "avg_price_viewed"]
 _EVENT, _RECENT, _BEFORE = 0, 1, 2
-_HOME, _HALO = 0, 1
+_HOME = 0
 
 
 def _recent_by_second(df: DataFrame, frame: int, width: int) -> DataFrame:

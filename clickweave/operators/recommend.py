@@ -85,7 +85,7 @@ def fit_als(encoded: DataFrame, rank: int = 10, max_iter: int = 10, reg: float =
 
 def _decode(recs: DataFrame, dicts: Dictionaries) -> DataFrame:
     """``(user_idx, recommendations)`` -> ``user_id, rank, product_id,
-    rating`` (G5, E1); ``rank`` 1 = best."""
+    rating`` (G5, E1, B17: array explode); ``rank`` 1 = best."""
     flat = recs.select("user_idx", F.posexplode("recommendations").alias("_pos", "rec"))
     flat = flat.select("user_idx", (F.col("_pos") + 1).alias("rank"),
                        F.col("rec.product_idx").alias("product_idx"),
