@@ -20,8 +20,10 @@ TABLES = ("recent_behaviors", "category_interests", "price_preferences", "action
 
 
 def batch_tables(events: DataFrame) -> dict[str, DataFrame]:
-    """Summary deltas of one batch of storable events (no expiry inside a
-    batch: the deltas are merged, and expiry applied, when read)."""
+    """Summary deltas of one batch of storable events, merged when read.
+    The deltas carry no expiry; the expiring forms are the live state
+    (``streaming.live_serving``) and the batch summaries with a TTL over the
+    lake (``operators.serving``)."""
     return {
         "recent_behaviors": serving.recent_behaviors(events, ttl_seconds=None)
         .withColumn("_ts", F.to_timestamp("timestamp")),
