@@ -51,18 +51,21 @@ def test_ttl_edges(make_events):
     for i, g in enumerate(gaps):
         t = t + timedelta(seconds=g)
         rows.append(ev(ts=t, event_id=i))
-    out = runs.assign_runs(make_events(rows), "user_id", 3600, bucket_seconds=3600) \
-        .orderBy("timestamp").select("run_start").collect()
-    assert [r[0] for r in out] == _brute_runs([r[3] for r in rows], 3600)
+    for plain in (None, runs.PLAIN_MAX_KEY_ROWS):
+        out = runs.assign_runs(make_events(rows), "user_id", 3600, bucket_seconds=3600,
+                               plain_max_key_rows=plain).orderBy("timestamp").select("run_start").collect()
+        assert [r[0] for r in out] == _brute_runs([r[3] for r in rows], 3600)
     summary = runs.run_summary(make_events(rows), "user_id", 3600).orderBy("run_start").collect()
     assert [r.events for r in summary] == [1, 2, 1, 1]
 
 
 def test_runs_match_brute_force_on_fixture(spark):
     events = behavior_events(spark, SF_SMALL)
-    for ttl, bucket in [(86400, 86400), (3600, 86400), (7200, 3600)]:
+    for ttl, bucket, plain in [(86400, 86400, None), (3600, 86400, None), (7200, 3600, None),
+                               (3600, 86400, runs.PLAIN_MAX_KEY_ROWS)]:
         got = {(r.user_id, r.timestamp): r.run_start
-               for r in runs.assign_runs(events, "user_id", ttl, bucket_seconds=bucket).collect()}
+               for r in runs.assign_runs(events, "user_id", ttl, bucket_seconds=bucket,
+                                         plain_max_key_rows=plain).collect()}
         by_user = {}
         for (u, t) in got:
             by_user.setdefault(u, []).append(t)
@@ -134,8 +137,8 @@ def test_runs_dense_seconds_sub_second_gaps(make_events):
         offsets_us.append(t)
     rows = [ev(ts=base + timedelta(microseconds=u), event_id=i) for i, u in enumerate(offsets_us)]
     df = make_events(rows)
-    for bucket in (2, 3, 7, 86400):
-        got = [r[0] for r in runs.assign_runs(df, "user_id", 2, bucket_seconds=bucket)
+    for bucket, plain in ((2, None), (3, None), (7, None), (86400, None), (86400, runs.PLAIN_MAX_KEY_ROWS)):
+        got = [r[0] for r in runs.assign_runs(df, "user_id", 2, bucket_seconds=bucket, plain_max_key_rows=plain)
                .orderBy("timestamp", "event_id").select("run_start").collect()]
         assert got == _brute_runs(sorted(r[3] for r in rows), 2), bucket
 
@@ -150,12 +153,14 @@ def test_runs_property(make_events):
     event = st.tuples(st.sampled_from(["u1", "u2"]), st.one_of(st.none(), st.integers(0, 200_000)))
 
     @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
-    @given(st.lists(event, min_size=1, max_size=40), st.sampled_from([1, 2, 5]), st.sampled_from([1, 3, 86400]))
-    def check(evs, ttl, bucket):
+    @given(st.lists(event, min_size=1, max_size=40), st.sampled_from([1, 2, 5]), st.sampled_from([1, 3, 86400]),
+           st.sampled_from([None, runs.PLAIN_MAX_KEY_ROWS]))
+    def check(evs, ttl, bucket, plain):
         rows = [ev(user=u, ts=None if o is None else base + timedelta(microseconds=250 * o), event_id=i)
                 for i, (u, o) in enumerate(evs)]
         got = {r.event_id: r.run_start
-               for r in runs.assign_runs(make_events(rows), "user_id", ttl, bucket_seconds=bucket).collect()}
+               for r in runs.assign_runs(make_events(rows), "user_id", ttl, bucket_seconds=bucket,
+                                         plain_max_key_rows=plain).collect()}
         for user in ("u1", "u2"):
             mine = sorted((r[3], r[10]) for r in rows if r[0] == user and r[3] is not None)
             want = _brute_runs([t for t, _ in mine], ttl)
