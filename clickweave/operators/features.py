@@ -252,7 +252,7 @@ def process_user_behavior(df: DataFrame, recent_seconds: int = RECENT_WINDOW_SEC
     columns. The output column order is the reference's.
     """
     cols = df.columns
-    if (bucket_seconds is not None and plain_max_user_rows is not None
+    if (bucket_seconds is not None and plain_max_user_rows is not None and not df.isStreaming
             and busiest_user_rows(df) <= plain_max_user_rows):
         bucket_seconds = None
     windowed = add_aggregated_features(df, recent_seconds=recent_seconds, tie_break=tie_break,

@@ -84,7 +84,8 @@ def second_runs(events: DataFrame, key: str | Sequence[str], ttl_seconds: int,
     micros = F.unix_micros(F.col(ts))
     per_sec = events.groupBy(*keys, second_of(ts).alias("_sec")).agg(
         F.min(micros).alias("_first"), F.max(micros).alias("_lastu"))
-    if plain_max_key_rows is not None and busiest_key_rows(events, keys) <= plain_max_key_rows:
+    if (plain_max_key_rows is not None and not events.isStreaming
+            and busiest_key_rows(events, keys) <= plain_max_key_rows):
         w = Window.partitionBy(*keys).orderBy("_sec")
         prev = F.lag("_lastu").over(w)
         head = F.when(F.col("_first").isNotNull() & (prev.isNull() | (F.col("_first") - prev >= ttl_us)),
