@@ -82,6 +82,9 @@ def main():
         "windows_per_second": lambda df: feat.add_aggregated_features(df),
         "runs_plain": plain_runs,
         "runs_per_second": lambda df: runs.run_summary(df, "user_id", 86400, plain_max_key_rows=None),
+        # the size-checked plain path: one lag per key over per-second rows
+        "runs_plain_per_second_rows": lambda df: runs.run_summary(df, "user_id", 86400,
+                                                                  plain_max_key_rows=10 ** 12),
     }
     results = {}
     for scenario, frame in (("spread", spread_out), ("burst", burst)):
