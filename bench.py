@@ -5,7 +5,9 @@ The events of the folder are first written to the event lake (timed as
 ``lake_write``, not summed); the batch queries then read the lake, as the
 training and summary jobs do. Every query is run to completion with the
 ``noop`` sink (full execution, nothing collected); the value is the sum of
-the per-query wall times. The stream job is reported separately.
+the per-query wall times. The feature pipeline and the TTL summaries include
+their size-check job (busiest key), which picks the plain or the per-second
+plan. The stream job is reported separately.
 """
 
 from __future__ import annotations
