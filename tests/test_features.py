@@ -175,3 +175,16 @@ def test_pipeline_picks_plan_from_busiest_user(spark):
     for x, y in zip(a, b):
         assert x[:5] == y[:5] and x[6:] == y[6:]
         assert (x[5] is None and y[5] is None) or abs(x[5] - y[5]) < 1e-9
+
+
+def test_size_check_skipped_on_streaming_frames(spark):
+    """On a streaming frame no size-check job is started while the plan is
+    built (the library applies these operators inside foreachBatch)."""
+    from clickweave.operators import runs
+    src = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    stream = spark.readStream.schema(src.schema).parquet(SF_SMALL)
+    events = stream.selectExpr("format_string('user_%06d', user_id) AS user_id", "cast(ts AS timestamp) AS timestamp",
+                               "'s1' AS session_id", "event_type AS action_type", "value AS product_price",
+                               "CAST(NULL AS STRING) AS user_agent", "CAST(NULL AS STRING) AS referrer")
+    assert feat.process_user_behavior(events).isStreaming
+    assert runs.second_runs(events, "user_id", 3600).isStreaming
