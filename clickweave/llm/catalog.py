@@ -8,10 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import bpe, decontaminate, line_dedup, simhash
+from clickweave.llm import bpe, decontaminate, embedding_join, language, line_dedup, quality, simhash, toxicity, urls, warc
 from clickweave.llm.common import table
 
 
+def op1_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -20,6 +24,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -33,7 +45,21 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a replica with known damage, so that there is something to find
+    return warc.audit_damaged_copy(table(spark, sf_dir, "pages"), F.expr("page_id % 97 = 13"), F.expr("page_id % 97 = 29"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash, op3_bpe, op6_line_dedup, op7_decontaminate)}
+    f.__name__: f for f in (op1_embedding_join, op2_simhash, op3_bpe, op4_toxicity, op5_quality, op6_line_dedup,
+                              op7_decontaminate, op8_warc, op9_language, op10_urls)}
 
 ORACLE: dict[str, str] = {}

@@ -36,7 +36,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bounded_sample(df: DataFrame, label: str, ident: str, per_label: int, labels: list) -> DataFrame:
+def bounded_sample(df: DataFrame, label: str, ident: list[str], per_label: int, labels: list) -> DataFrame:
     """About ``per_label`` rows of every value in ``labels``, chosen by a hash of
     ``ident``: the same rows on every run, whatever the partitioning. A label
     with fewer rows keeps them all."""
@@ -45,7 +45,7 @@ def bounded_sample(df: DataFrame, label: str, ident: str, per_label: int, labels
     for v, n in counts.items():
         share = F.when(F.col(label) == v, F.lit(min(1.0, per_label / n))).otherwise(share)
     # 53 bits of the hash as a fraction of one
-    u = F.shiftrightunsigned(F.xxhash64(F.lit(7), F.col(ident)), 11) / F.lit(float(1 << 53))
+    u = F.shiftrightunsigned(F.xxhash64(F.lit(7), *ident), 11) / F.lit(float(1 << 53))
     return df.where(u < share)
 
 

@@ -89,3 +89,16 @@ def leak_rows(docs, items):
                     ids |= by[k]
         out.append((d, len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit)))
     return sorted(out)
+
+
+def vector_rows(rows, threshold=0.9):
+    """[(vec_id, vector)] -> [(vec_id, n_links, component_id, kept)]"""
+    import numpy as np
+    good = {v: np.array(x, float) for v, x in rows if x and all(c is not None and np.isfinite(c) for c in x) and any(x)}
+    ids = sorted(good)
+    unit = np.array([good[i] / np.linalg.norm(good[i]) for i in ids])
+    near = unit @ unit.T >= threshold
+    np.fill_diagonal(near, False)
+    comp = components([v for v, _ in rows], [(ids[i], ids[j]) for i, j in np.argwhere(near).tolist() if i < j])
+    n = dict(zip(ids, near.sum(axis=1).tolist()))
+    return sorted((v, n.get(v, 0), comp[v], comp[v] == v) for v, _ in rows)
