@@ -4,8 +4,8 @@ Edges are first thinned inside each partition to a spanning star (union-find
 on that partition's edges only), then large-star and small-star rounds run as
 joins and aggregations until the edge set stays the same. Every round is
 written with ``checkpoint()``; nothing but a row count and a checksum reaches
-the driver. A node with many neighbours is an aggregate with map-side combine
-and the large side of an equi-join, which adaptive execution may split.
+the driver. A node with many neighbours is an aggregate with map-side combine,
+and its edges are dealt out by a salt when they meet its smallest neighbour.
 """
 
 from __future__ import annotations
@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from clickweave.llm.common import checkpoint, shuffle_partitions
 
 
+# Partitions that the edges of one node are dealt to.
+SALTS = 16
+
+
 def _thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The edges of one partition -> (node, smallest node of its piece)."""
     parent: dict[int, int] = {}
@@ -71,7 +75,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # large star: every larger neighbour hangs on the smallest neighbour
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        salted = both.where("v > u").withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+        low = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        large = salted.join(low, ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: a node and its smaller neighbours hang on the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(
