@@ -26,8 +26,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 400_000
-BLOCK_CHARS = 1 << 20
+CACHE_WORDS = 250_000
+CACHE_PAIRS = 300_000
+BLOCK_CHARS = 1 << 18
 # Words of more characters are compared as they are, not by their hash.
 LONG_WORD = 200
 # An odd multiplier and its inverse modulo 2**64.
@@ -132,7 +133,7 @@ class Codec:
                 limit, y = ry + 1, self.made[y][0]
             else:
                 limit, y = ry + 1, self.made[y][0]
-        if len(self.fits) > 2_000_000:
+        if len(self.fits) > CACHE_PAIRS:
             self.fits.clear()
         self.fits[key] = ok
         return ok
@@ -210,7 +211,7 @@ class Codec:
     def _hashes(self, cp: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """A 64-bit polynomial hash of each word."""
         if len(self.powers[0]) < len(cp) + 1:
-            n = 2 * len(cp) + 1
+            n = len(cp) + (len(cp) >> 3) + 1
             self.powers = [np.cumprod(np.where(np.arange(n + 1) == 0, np.uint64(1), np.uint64(r))) for r in HASH_BASE]
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((cp + np.uint64(1)) * self.powers[0][:len(cp)])])
         return (total[end] - total[start]) * self.powers[1][start] + (end - start).astype(np.uint64)

@@ -65,7 +65,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     e = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
          .where("u is not null and v is not null and u <> v"))
     parts = max(2, shuffle_partitions(spark) // 16)
-    e = checkpoint(thin(thin(e).coalesce(parts)).where("u <> v"))
+    e = checkpoint(thin(e.coalesce(parts)).where("u <> v"))
     seen = None
     while True:
         state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

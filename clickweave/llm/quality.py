@@ -47,7 +47,7 @@ class Hasher:
         raw = np.frombuffer(b"\n".join(texts).lower() + b"\n", np.uint8)
         n = len(raw)
         if len(self.powers[0]) < n + 1:
-            self.powers = [np.cumprod(np.where(np.arange(2 * n + 1) == 0, np.uint64(1), np.uint64(r))) for r in (BASE, INVERSE)]
+            self.powers = [np.cumprod(np.where(np.arange(n + (n >> 3) + 1) == 0, np.uint64(1), np.uint64(r))) for r in (BASE, INVERSE)]
         word = ~((raw == 32) | (raw >= 9) & (raw <= 13))
         edge = np.diff(np.concatenate([[0], word.astype(np.int8)]))
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)

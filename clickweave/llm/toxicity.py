@@ -42,7 +42,8 @@ SAMPLE = {1: 4000, 0: 6000}
 MAX_FEATURES = 2000
 MIN_SUPPORT, MIN_SHARE, MIN_PRECISION = 4, 0.01, 0.985
 PREFIXES = (4, 5)
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
+CACHE_SPANS = 50_000
 MAX_SPAN = 200  # characters decoded at a time; longer spans are decoded in pieces
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -180,7 +181,7 @@ class Decoder:
         if got is None:
             pieces = [span[i:i + MAX_SPAN] for i in range(0, len(span), MAX_SPAN)]
             got = "".join(self._decode(p, spaced) for p in pieces)
-            if len(self.known) > 200_000:
+            if len(self.known) > CACHE_SPANS:
                 self.known.clear()
             self.known[(span, spaced)] = got
         return got
