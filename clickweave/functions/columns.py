@@ -122,7 +122,7 @@ def behavior_json(product="product_id", action="action_type", category="product_
         _c(category).alias("category"),
         _c(price).cast("double").alias("price"),
         format_time(ts).alias("timestamp"),
-    ))
+    ), {"ignoreNullFields": "false"})
 
 
 def serving_key(kind: str, ident, suffix: str | None = None) -> Column:

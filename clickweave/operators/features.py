@@ -221,40 +221,18 @@ def add_user_segments(df: DataFrame) -> DataFrame:
     })
 
 
-# The plain per-user windows are used only when the busiest user (NULL users
-# count as one key) has at most this many events: that bounds the largest
-# window task, as a size check bounds a broadcast.
-PLAIN_MAX_USER_ROWS = 1_000_000
-
-
-def busiest_user_rows(df: DataFrame) -> int:
-    """Events of the busiest user: one aggregate job (a scan of ``user_id``,
-    counts combined map-side); only the maximum reaches the driver."""
-    top = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(top or 0)
-
-
 def process_user_behavior(df: DataFrame, recent_seconds: int = RECENT_WINDOW_SECONDS,
                           tie_break: str | None = None,
-                          bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-                          plain_max_user_rows: int | None = PLAIN_MAX_USER_ROWS) -> DataFrame:
+                          bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Full feature set: basic, temporal, windows, segments.
 
-    The window plan is chosen from the data: when ``plain_max_user_rows`` is
-    set and no user has more events than that (``busiest_user_rows``, one
-    small job), the plain per-user windows run -- fewer stages, and no task
-    holds more than that bound. Otherwise the per-second plan runs. Both give
-    equal results. ``plain_max_user_rows=None`` skips the check and keeps
-    ``bucket_seconds`` as given.
+    The windows run on per-second rows at every size (``add_aggregated_features``).
 
     The per-row classes do not depend on the windows, so they are computed
     after the window shuffle: the shuffle then carries only the input
     columns. The output column order is the reference's.
     """
     cols = df.columns
-    if (bucket_seconds is not None and plain_max_user_rows is not None and not df.isStreaming
-            and busiest_user_rows(df) <= plain_max_user_rows):
-        bucket_seconds = None
     windowed = add_aggregated_features(df, recent_seconds=recent_seconds, tie_break=tie_break,
                                        bucket_seconds=bucket_seconds)
     out = windowed.transform(add_basic_features).transform(add_temporal_features) \

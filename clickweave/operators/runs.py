@@ -26,9 +26,7 @@ the key's *last* event of a second can be the one before it. So:
    apart, so a key has few of them).
 
 A partition holds at most ``W + ttl`` rows per key, whatever the key's event
-rate. When no key has more than ``PLAIN_MAX_KEY_ROWS`` events (one small
-job counts them), steps 2-3 are replaced by one ``lag`` per key over its
-per-second rows: fewer stages, and no task above that bound. Summaries aggregate their values per ``(key, second)`` too, join the
+rate. Summaries aggregate their values per ``(key, second)`` too, join the
 runs on ``(key, second)`` and aggregate by run (``per_second_runs``).
 """
 
@@ -41,8 +39,6 @@ from pyspark.sql import functions as F
 
 _HOME = 0
 DEFAULT_BUCKET_SECONDS = 86400
-# Keys with at most this many events take the plain per-key lag (see above).
-PLAIN_MAX_KEY_ROWS = 1_000_000
 
 
 def ttl_interval(ttl_seconds: int):
@@ -58,16 +54,8 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def busiest_key_rows(events: DataFrame, key: str | Sequence[str]) -> int:
-    """Events of the busiest key: one aggregate job (counts combined
-    map-side); only the maximum reaches the driver."""
-    top = events.groupBy(*_keys(key)).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(top or 0)
-
-
 def second_runs(events: DataFrame, key: str | Sequence[str], ttl_seconds: int,
-                bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp",
-                plain_max_key_rows: int | None = PLAIN_MAX_KEY_ROWS) -> DataFrame:
+                bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp") -> DataFrame:
     """One row per ``(key, _sec)`` with ``run_start`` (timestamp of the run
     the second's events belong to; NULL for NULL times) and ``_lastu`` (last
     event time of the second, micros). Keys must be non-NULL (serving tables
@@ -84,17 +72,6 @@ def second_runs(events: DataFrame, key: str | Sequence[str], ttl_seconds: int,
     micros = F.unix_micros(F.col(ts))
     per_sec = events.groupBy(*keys, second_of(ts).alias("_sec")).agg(
         F.min(micros).alias("_first"), F.max(micros).alias("_lastu"))
-    if (plain_max_key_rows is not None and not events.isStreaming
-            and busiest_key_rows(events, keys) <= plain_max_key_rows):
-        w = Window.partitionBy(*keys).orderBy("_sec")
-        prev = F.lag("_lastu").over(w)
-        head = F.when(F.col("_first").isNotNull() & (prev.isNull() | (F.col("_first") - prev >= ttl_us)),
-                      F.col("_first"))
-        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return (per_sec.withColumn("_head", head)
-                .select(*keys, "_sec", F.timestamp_micros(F.max("_head").over(upto)).alias("run_start"),
-                        "_lastu"))
-
     tb = F.floor(F.col("_sec") / F.lit(width))
     spread = per_sec.withColumn("_buckets", F.when(
         F.col("_sec") >= (tb + 1) * width - ttl_s, F.array(tb, tb + 1)).otherwise(F.array(tb)))
@@ -126,19 +103,18 @@ def second_runs(events: DataFrame, key: str | Sequence[str], ttl_seconds: int,
 
 def per_second_runs(events: DataFrame, key: str | Sequence[str], ttl_seconds: int, aggs: Sequence[Column],
                     by: Sequence[Column] = (), bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                    ts: str = "timestamp", plain_max_key_rows: int | None = PLAIN_MAX_KEY_ROWS) -> DataFrame:
+                    ts: str = "timestamp") -> DataFrame:
     """``aggs`` of the events per ``(key, second, *by)`` (map-side combined),
     with the ``run_start`` of that second. NULL times get a NULL run."""
     keys = _keys(key)
-    runs = second_runs(events, keys, ttl_seconds, bucket_seconds, ts, plain_max_key_rows) \
+    runs = second_runs(events, keys, ttl_seconds, bucket_seconds, ts) \
         .select(*keys, "_sec", "run_start")
     part = events.groupBy(*keys, second_of(ts).alias("_sec"), *by).agg(*aggs)
     return part.join(runs, [*keys, "_sec"], "left")
 
 
 def assign_runs(events: DataFrame, key: str | Sequence[str], ttl_seconds: int,
-                bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp",
-                plain_max_key_rows: int | None = PLAIN_MAX_KEY_ROWS) -> DataFrame:
+                bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp") -> DataFrame:
     """``events`` + ``run_start`` (timestamp of the first event of the run).
 
     The per-second runs are joined back on ``(key, second)``, a key no hotter
@@ -147,20 +123,19 @@ def assign_runs(events: DataFrame, key: str | Sequence[str], ttl_seconds: int,
     """
     keys = _keys(key)
     cols = events.columns
-    runs = second_runs(events, keys, ttl_seconds, bucket_seconds, ts, plain_max_key_rows) \
+    runs = second_runs(events, keys, ttl_seconds, bucket_seconds, ts) \
         .select(*keys, "_sec", "run_start")
     out = events.withColumn("_sec", second_of(ts)).join(runs, [*keys, "_sec"], "left")
     return out.select(*cols, "run_start")
 
 
 def run_summary(events: DataFrame, key: str | Sequence[str], ttl_seconds: int,
-                bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp",
-                plain_max_key_rows: int | None = PLAIN_MAX_KEY_ROWS) -> DataFrame:
+                bucket_seconds: int = DEFAULT_BUCKET_SECONDS, ts: str = "timestamp") -> DataFrame:
     """One row per run: ``key, run_start, last_write, events, expires_at``."""
     keys = _keys(key)
     secs = per_second_runs(events, keys, ttl_seconds,
                            [F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n")],
-                           bucket_seconds=bucket_seconds, ts=ts, plain_max_key_rows=plain_max_key_rows)
+                           bucket_seconds=bucket_seconds, ts=ts)
     return (secs.groupBy(*keys, "run_start")
             .agg(F.max("_last").alias("last_write"), F.sum("_n").alias("events"))
             .withColumn("expires_at", F.col("last_write") + ttl_interval(ttl_seconds)))

@@ -57,7 +57,7 @@ def time_range(events: DataFrame, start: str | None, end: str | None) -> DataFra
     s, e = parse_iso(start), parse_iso(end)
     cond = (F.col("timestamp") >= s) & (F.col("timestamp") < e)
     if "event_date" in events.columns:
-        cond = cond & (F.col("event_date") >= F.to_date(s)) & (F.col("event_date") <= F.to_date(e))
+        cond = cond & (F.col("event_date") >= F.to_date(s)) & (F.col("event_date") <= F.to_date(e - F.expr("INTERVAL 1 MICROSECOND")))
     return events.where(cond)
 
 

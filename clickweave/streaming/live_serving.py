@@ -120,13 +120,14 @@ class UserCounters(StatefulProcessor):
             self.counts.clear()
             run_start = int(secs["first"].iloc[first])
         else:
-            first, run_start = 0, int(state[0])
+            # rows a little late may open the run earlier than its state says
+            first, run_start = 0, min(int(state[0]), int(secs["first"].iloc[0]))
         live = fields[fields["sec"] >= secs["sec"].iloc[first]]
         for (kind, field), n in live.groupby(["kind", "field"], sort=False)["n"].sum().items():
             k = (kind, str(field))
             old = int(self.counts.getValue(k)[0]) if self.counts.containsKey(k) else 0
             self.counts.updateValue(k, (old + int(n),))
-        last = int(secs["last"].iloc[-1])
+        last = max(int(secs["last"].iloc[-1]), state[1] if state else 0)
         self.run.update((run_start, last))
         _expire_at(self.handle, last, self.ttl_us)
 
@@ -177,8 +178,10 @@ class SessionRecord(StatefulProcessor):
             start, user = int(secs["first"].iloc[first]), secs["user_id"].iloc[first]
             n = int(secs["n"].iloc[first:].sum())
         else:
-            start, user, n = int(state[0]), state[1], int(state[3]) + int(secs["n"].sum())
-        last = int(secs["last"].iloc[-1])
+            early = int(secs["first"].iloc[0])
+            start, user = (early, secs["user_id"].iloc[0]) if early < state[0] else (int(state[0]), state[1])
+            n = int(state[3]) + int(secs["n"].sum())
+        last = max(int(secs["last"].iloc[-1]), state[2] if state else 0)
         self.rec.update((start, user, last, n))
         _expire_at(self.handle, last, self.ttl_us)
         yield pd.DataFrame({"session_id": [key[0]], "user_id": [user],

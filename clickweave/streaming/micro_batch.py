@@ -48,8 +48,9 @@ def apply_late_policy(events: DataFrame, late: str = "keep", delay: str = "1 min
     if late == "keep":
         return watermarked
     if late == "drop":
-        keys = [c for c in RECORD_KEYS if c in events.columns] or ["user_id", "timestamp", "product_id"]
-        return watermarked.dropDuplicatesWithinWatermark(keys)
+        if missing := [c for c in RECORD_KEYS if c not in events.columns]:
+            raise ValueError(f"late='drop' needs the record columns {missing}")
+        return watermarked.dropDuplicatesWithinWatermark(RECORD_KEYS)
     raise ValueError("late must be 'keep' or 'drop'")
 
 
@@ -59,13 +60,6 @@ def decode_stream(records: DataFrame, late: str = "keep", delay: str = "1 minute
     return apply_late_policy(fill_event_time(decode_events(records), now=now), late, delay)
 
 
-# A micro-batch of at most this many rows gets the plain per-user windows:
-# no task can then hold more rows than the (counted) batch, and the plain
-# plan has fewer stages. Larger batches use the per-second plan, whose
-# largest group is one user's events of one second. Both give equal results.
-PLAIN_WINDOW_MAX_ROWS = 1_000_000
-
-
 @dataclass
 class BatchSink:
     """The ``foreachBatch`` body. Any of the outputs may be switched off
@@ -75,13 +69,12 @@ class BatchSink:
     features_path: str | None = None
     feature_args: dict = field(default_factory=dict)
     counts: dict = field(default_factory=dict)
-    plain_window_max_rows: int = PLAIN_WINDOW_MAX_ROWS
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         batch = batch.persist()
         try:
+            if batch.isEmpty():
+                return
             obs = Observation(f"batch_{batch_id}")
             observed = batch.observe(obs, F.count(F.lit(1)).alias("rows"))
             if self.lake_path:
@@ -89,12 +82,7 @@ class BatchSink:
                 self.counts[batch_id] = obs.get["rows"]
             events = batch.drop(*[c for c in RECORD_METADATA if c in batch.columns])
             if self.features_path:
-                args = dict(self.feature_args)
-                if "bucket_seconds" not in args:
-                    rows = self.counts[batch_id] if batch_id in self.counts else batch.count()
-                    if rows <= self.plain_window_max_rows:
-                        args["bucket_seconds"] = None
-                feats = process_user_behavior(events, **args)
+                feats = process_user_behavior(events, **self.feature_args)
                 (feats.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
                  .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
                  .parquet(self.features_path))

@@ -160,27 +160,15 @@ def test_per_second_plan_property(make_events):
     check()
 
 
-def test_pipeline_picks_plan_from_busiest_user(spark):
-    events = behavior_events(spark, SF_SMALL)
-    assert feat.busiest_user_rows(events) == 88
-    plain = feat.process_user_behavior(events, tie_break="event_id")                 # 88 <= 1M
-    split = feat.process_user_behavior(events, tie_break="event_id", plain_max_user_rows=50)
-    p_plain = plain._jdf.queryExecution().executedPlan().toString()
-    p_split = split._jdf.queryExecution().executedPlan().toString()
-    assert "_bucket" not in p_plain and "_bucket" in p_split
-    cols = ["event_id", *COLS, "user_behavior_type", "engagement_level"]
-    a = [tuple(r) for r in plain.orderBy("event_id").select(*cols).collect()]
-    b = [tuple(r) for r in split.orderBy("event_id").select(*cols).collect()]
-    assert len(a) == 1000
-    for x, y in zip(a, b):
-        assert x[:5] == y[:5] and x[6:] == y[6:]
-        assert (x[5] is None and y[5] is None) or abs(x[5] - y[5]) < 1e-9
-
-
-def test_size_check_skipped_on_streaming_frames(spark):
-    """On a streaming frame no size-check job is started while the plan is
-    built (the library applies these operators inside foreachBatch)."""
+def test_pipeline_runs_no_job_while_it_is_built(spark):
+    """One plan at every size: building the frame starts no job, also on a stream."""
     from clickweave.operators import runs
+    tracker = spark.sparkContext.statusTracker()
+    events = behavior_events(spark, SF_SMALL)
+    before = set(tracker.getJobIdsForGroup(None))
+    spark_plan = feat.process_user_behavior(events, tie_break="event_id")
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    assert "_bucket" in spark_plan._jdf.queryExecution().executedPlan().toString()
     src = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     stream = spark.readStream.schema(src.schema).parquet(SF_SMALL)
     events = stream.selectExpr("format_string('user_%06d', user_id) AS user_id", "cast(ts AS timestamp) AS timestamp",

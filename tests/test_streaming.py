@@ -1,3 +1,4 @@
+import pytest
 import uuid
 
 from conftest import SF_SMALL
@@ -150,19 +151,7 @@ def test_live_serving_dense_seconds_equal_batch(spark, make_events):
         sorted(map(tuple, serving.session_summary(df, ttl_seconds=2).collect()))
 
 
-def test_batch_sink_window_plan_by_batch_size(spark):
-    """A counted small batch takes the plain windows, a large one the
-    per-second plan; both write the same features."""
-    from clickweave.operators import features as feat
-    events = behavior_events(spark, SF_SMALL).drop("event_id")
-    out = {}
-    for label, limit in (("plain", 10_000_000), ("per_second", 0)):
-        path = scratch_path(spark, f"feat-{label}-{uuid.uuid4().hex}")
-        sink = mb.BatchSink(features_path=path, plain_window_max_rows=limit)
-        sink(events, 0)
-        cols = ["user_id", "session_id", "timestamp", "action_type", *feat.WINDOW_COLS]
-        out[label] = sorted(tuple(r) for r in spark.read.parquet(path).select(*cols).collect())
-    assert len(out["plain"]) == 1000
-    for a, b in zip(out["plain"], out["per_second"]):
-        assert a[:8] == b[:8]
-        assert (a[8] is None and b[8] is None) or abs(a[8] - b[8]) < 1e-9
+def test_drop_policy_needs_the_record_columns(spark):
+    events = behavior_events(spark, SF_SMALL)
+    with pytest.raises(ValueError, match="offset"):
+        mb.apply_late_policy(events, "drop")

@@ -63,14 +63,14 @@ def test_serving_summaries_reduce_events_before_any_shuffle(spark):
     events = behavior_events(spark, SF_SMALL)
     for df in (serving.category_interests(events), serving.recent_behaviors(events),
                serving.session_summary(events), runs.run_summary(events, "user_id", 86400),
-               runs.run_summary(events, "user_id", 86400, plain_max_key_rows=None)):
+               runs.run_summary(events, "user_id", 86400)):
         hits = _first_reducer_above_scans(_plan(df))
         assert hits and all(h == "reduce" for h in hits), hits
     # the runs and the summary's per-second values: two scans; the branch
     # that carries runs across buckets reuses the runs' shuffle
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = runs.run_summary(events, "user_id", 86400, plain_max_key_rows=None) \
+        plan = runs.run_summary(events, "user_id", 86400) \
             ._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
