@@ -74,6 +74,11 @@ def variants(distinct: DataFrame) -> DataFrame:
         "& ~shiftleft(1L, p % 32)) as key", "fp")
 
 
+def _bits(x: np.ndarray) -> np.ndarray:
+    """Bits set; of a signed number numpy would count those of its absolute value."""
+    return np.bitwise_count(x.view(np.uint64))
+
+
 def forest(fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links of one group, by breadth-first search:
     every step compares one reached fingerprint with those not reached yet."""
@@ -83,7 +88,7 @@ def forest(fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             x = queue.pop()
-            near = np.bitwise_count(rest ^ x) <= distance
+            near = _bits(rest ^ x) <= distance
             if near.any():
                 found = rest[near]
                 left.append(np.full(len(found), x))
@@ -106,7 +111,7 @@ def _links(fp: np.ndarray, starts: np.ndarray, ends: np.ndarray, distance: int):
         for d in range(1, 8 - i):
             at = s[n > i + d] + i
             if len(at):
-                ok = np.bitwise_count(fp[at] ^ fp[at + d]) <= distance
+                ok = _bits(fp[at] ^ fp[at + d]) <= distance
                 left.append(fp[at][ok])
                 right.append(fp[at + d][ok])
     for a, b in zip(starts[size > 8].tolist(), ends[size > 8].tolist()):
