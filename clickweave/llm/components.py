@@ -55,7 +55,7 @@ def thin(edges: DataFrame) -> DataFrame:
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``edges``: two long columns. Returns (node, component), one row per node
-    that has an edge to another node; component is the smallest node reachable.
+    that can reach a smaller one; component is the smallest node reachable.
 
     Self-loops and rows with a null are left out; repeated edges count once;
     an empty edge table gives an empty result.
