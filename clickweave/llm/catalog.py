@@ -62,4 +62,74 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_embedding_join, op2_simhash, op3_bpe, op4_toxicity, op5_quality, op6_line_dedup,
                               op7_decontaminate, op8_warc, op9_language, op10_urls)}
 
-ORACLE: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _lower_sql(text: str) -> str:
+    return f"translate({text}, '{_UPPER}', '{_UPPER.lower()}')"
+
+
+# Every pair is compared, which only small tables allow.
+_EMBEDDINGS_SQL = """
+WITH RECURSIVE vec AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+usable AS (
+  SELECT vec_id, v FROM vec
+  WHERE v IS NOT NULL AND len(v) > 0 AND len([x for x in v if x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x for x in v if x <> 0]) > 0),
+link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (
+  SELECT x, y FROM link
+  UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+lowest AS (SELECT x AS vec_id, min(y) AS low FROM reach GROUP BY x),
+degree AS (SELECT x AS vec_id, count(*) AS n FROM link GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+       vec_id <= coalesce(low, vec_id) AS kept
+FROM vec LEFT JOIN lowest USING (vec_id) LEFT JOIN degree USING (vec_id)"""
+
+_LINES_SQL = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, {_lower_sql("trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM lines),
+repeated AS (
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCUMENTS})
+SELECT doc_id, count(*) AS n_lines, count(repeated.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE repeated.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN repeated ON keyed.key = repeated.key GROUP BY doc_id"""
+
+
+def _words_sql(text: str) -> str:
+    return f"[x for x in string_split_regex({_lower_sql(text)}, '{decontaminate.NO_WORD}') if x <> '']"
+
+
+_LEAKS_SQL = f"""
+WITH item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {_words_sql("coalesce(text, '')")} AS w FROM benchmark),
+placed AS (
+  SELECT item, w, unnest(range(1, greatest(1, len(w) - {decontaminate.WINDOW_WORDS - 1}) + 1)) AS s
+  FROM item WHERE len(w) > 0),
+wanted AS (
+  SELECT DISTINCT item, w[s:s + {decontaminate.WINDOW_WORDS - 1}] AS words FROM placed),
+lengths AS (SELECT DISTINCT len(words) AS n FROM wanted),
+doc AS (SELECT doc_id, {_words_sql("coalesce(text, '')")} AS w FROM documents),
+place AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS s, w FROM doc JOIN lengths ON len(w) >= n),
+found AS (
+  SELECT doc_id, s, n, item FROM place JOIN wanted ON w[s:s + n - 1] = words),
+inside AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + n)) AS pos FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM found WHERE item IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN inside USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+ORACLE: dict[str, str] = {
+    "op1_embedding_join": _EMBEDDINGS_SQL, "op6_line_dedup": _LINES_SQL, "op7_decontaminate": _LEAKS_SQL}
