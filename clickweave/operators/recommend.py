@@ -73,13 +73,17 @@ def encode(interactions: DataFrame, dicts: Dictionaries, user_col: str = "user_i
 
 def fit_als(encoded: DataFrame, rank: int = 10, max_iter: int = 10, reg: float = 0.1,
             nonnegative: bool = True, implicit: bool = False, seed: int = 42,
-            rating_col: str = "interaction_strength") -> ALSModel:
+            rating_col: str = "interaction_strength", blocks: int | None = None) -> ALSModel:
     """ALS factor model (G3); cold-start predictions are dropped. Lineage is
     cut every ``checkpointInterval`` iterations into the session's
-    checkpoint folder."""
+    checkpoint folder. ``blocks`` is the number of user and of item blocks,
+    and so of training tasks; it follows ``spark.sql.shuffle.partitions``, at
+    a sixteenth, as every pair of blocks exchanges factors."""
+    blocks = blocks or max(8, int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16)
     als = ALS(userCol="user_idx", itemCol="product_idx", ratingCol=rating_col,
               coldStartStrategy="drop", rank=rank, maxIter=max_iter, regParam=reg,
-              nonnegative=nonnegative, implicitPrefs=implicit, seed=seed)
+              nonnegative=nonnegative, implicitPrefs=implicit, seed=seed,
+              numUserBlocks=blocks, numItemBlocks=blocks)
     return als.fit(encoded)
 
 

@@ -139,3 +139,21 @@ def run_summary(events: DataFrame, key: str | Sequence[str], ttl_seconds: int,
     return (secs.groupBy(*keys, "run_start")
             .agg(F.max("_last").alias("last_write"), F.sum("_n").alias("events"))
             .withColumn("expires_at", F.col("last_write") + ttl_interval(ttl_seconds)))
+
+
+def newest_merged_run(runs: DataFrame, key: str, ttl_seconds: int) -> DataFrame:
+    """``key, _newest, _key_last``: start and last write of each key's newest
+    run, from runs found separately in pieces of its events (micro-batches):
+    rows ``key, run_start, _last``, in any order, found with a TTL of at most
+    ``ttl_seconds``.
+
+    Runs of two pieces belong together if they overlap or lie less than the
+    TTL apart, so the pieces are merged as intervals. A key has one row per
+    run and piece here, whatever its event rate.
+    """
+    runs = runs.groupBy(key, "run_start").agg(F.max("_last").alias("_last"))
+    w = Window.partitionBy(key).orderBy("run_start")
+    before = F.max("_last").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    head = before.isNull() | (F.col("run_start") >= before + ttl_interval(ttl_seconds))
+    heads = runs.withColumn("_head", F.when(head, F.col("run_start")))
+    return heads.groupBy(key).agg(F.max("_head").alias("_newest"), F.max("_last").alias("_key_last"))

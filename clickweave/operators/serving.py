@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import behavior_json, format_time, price_band, serving_key
 from ..schema import (RECENT_BEHAVIORS_KEEP, TTL_ACTION_COUNTS, TTL_CATEGORY_INTERESTS,
                       TTL_PRICE_PREFERENCES, TTL_RECENT_BEHAVIORS, TTL_SESSION)
-from .runs import per_second_runs, second_runs, ttl_interval
+from .runs import per_second_runs, second_of, second_runs, ttl_interval
 
 REQUIRED_FOR_SERVING = ["user_id", "session_id", "action_type", "product_category",
                         "product_price", "timestamp"]
@@ -69,16 +69,19 @@ def _newest_run(summary: DataFrame, key: str, ttl_seconds: int | None, as_of,
 
 def recent_behaviors(events: DataFrame, n: int = RECENT_BEHAVIORS_KEEP,
                      ttl_seconds: int | None = TTL_RECENT_BEHAVIORS, as_of=None,
-                     tie_break: str | None = None) -> DataFrame:
+                     tie_break: str | None = None, keep_time: bool = False) -> DataFrame:
     """Newest ``n`` behaviours per user, rank 1 = newest.
 
     Output ``user_id, rank, product_id, action_type, category, price,
-    timestamp`` (text) and ``behavior_json``.
+    timestamp`` (text) and ``behavior_json``; ``_ts``, the exact time, with
+    ``keep_time``.
     """
     order = [F.col("timestamp").desc()] + ([F.col(tie_break).desc()] if tie_break else [])
     # newest n overall (a per-group limit, applied map-side before the shuffle)
     w = Window.partitionBy("user_id").orderBy(*order)
     top = events.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    if keep_time:
+        top = top.withColumn("_ts", F.col("timestamp"))
     if ttl_seconds is not None:
         # the newest run holds the key's newest events: keep the top rows at
         # or after its start; ranks stay as they are
@@ -93,17 +96,25 @@ def recent_behaviors(events: DataFrame, n: int = RECENT_BEHAVIORS_KEEP,
         F.col("product_price").cast("double").alias("price"),
         format_time("timestamp").alias("timestamp"),
         behavior_json().alias("behavior_json"),
+        *(["_ts"] if keep_time else []),
     )
 
 
+def counter_runs(events: DataFrame, field, ttl_seconds: int) -> DataFrame:
+    """Events per (user, run, field): ``user_id, run_start, field, count,
+    _last``. ``field`` may explode into several fields of an event."""
+    fields = events.select("user_id", "timestamp", field.alias("field"))
+    part = fields.groupBy("user_id", second_of().alias("_sec"), "field").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("timestamp").alias("_last"))
+    runs = second_runs(events, "user_id", ttl_seconds).select("user_id", "_sec", "run_start")
+    return part.join(runs, ["user_id", "_sec"], "left").groupBy("user_id", "run_start", "field").agg(
+        F.sum("_n").alias("count"), F.max("_last").alias("_last"))
+
+
 def _counter(events: DataFrame, field, ttl_seconds, as_of) -> DataFrame:
     if ttl_seconds is None:
         return events.groupBy("user_id", field.alias("field")).agg(F.count(F.lit(1)).alias("count"))
-    part = per_second_runs(events, "user_id", ttl_seconds,
-                           [F.count(F.lit(1)).alias("_n"), F.max("timestamp").alias("_last")],
-                           by=[field.alias("field")])
-    per_run = part.groupBy("user_id", "run_start", "field").agg(
-        F.sum("_n").alias("count"), F.max("_last").alias("_last"))
+    per_run = counter_runs(events, field, ttl_seconds)
     return _newest_run(per_run, "user_id", ttl_seconds, as_of).select("user_id", "field", "count")
 
 
@@ -128,6 +139,21 @@ def action_counts(events: DataFrame, ttl_seconds: int | None = TTL_ACTION_COUNTS
     return _counter(events, F.col("action_type"), ttl_seconds, as_of)
 
 
+def session_runs(events: DataFrame, ttl_seconds: int) -> DataFrame:
+    """One row per run of a session: ``session_id, run_start, _start, user_id,
+    _last, action_count``."""
+    part = per_second_runs(events, "session_id", ttl_seconds, [
+        F.min("timestamp").alias("_start"),
+        F.min_by("user_id", "timestamp").alias("_user"),
+        F.max("timestamp").alias("_last"),
+        F.count(F.lit(1)).alias("_n")])
+    return part.groupBy("session_id", "run_start").agg(
+        F.min("_start").alias("_start"),
+        F.min_by("_user", "_start").alias("user_id"),
+        F.max("_last").alias("_last"),
+        F.sum("_n").alias("action_count"))
+
+
 def session_summary(events: DataFrame, ttl_seconds: int | None = TTL_SESSION, as_of=None,
                     all_runs: bool = False) -> DataFrame:
     """Session record (C10): ``session_id, user_id, start_time,
@@ -143,16 +169,7 @@ def session_summary(events: DataFrame, ttl_seconds: int | None = TTL_SESSION, as
             F.max("timestamp").alias("_last"),
             F.count(F.lit(1)).alias("action_count"))
     else:
-        part = per_second_runs(events, "session_id", ttl_seconds, [
-            F.min("timestamp").alias("_start"),
-            F.min_by("user_id", "timestamp").alias("_user"),
-            F.max("timestamp").alias("_last"),
-            F.count(F.lit(1)).alias("_n")])
-        out = part.groupBy("session_id", "run_start").agg(
-            F.min("_start").alias("_start"),
-            F.min_by("_user", "_start").alias("user_id"),
-            F.max("_last").alias("_last"),
-            F.sum("_n").alias("action_count"))
+        out = session_runs(events, ttl_seconds)
         if not all_runs:
             out = _newest_run(out, "session_id", ttl_seconds, as_of)
     return out.select("session_id", "user_id", format_time("_start").alias("start_time"),

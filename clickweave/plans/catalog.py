@@ -355,6 +355,33 @@ def q_quarantine(spark, sf_dir):
     return serving.tag_storable(behavior_events(spark, sf_dir)).select("event_id", "user_id", "reason")
 
 
+@register("price_bands", with_events() + f"""
+SELECT event_id, product_price, {_BAND_SQL} AS band FROM behavior_events""")
+def q_price_bands(spark, sf_dir):
+    from ..functions import price_band
+    return behavior_events(spark, sf_dir).select("event_id", "product_price", price_band().alias("band"))
+
+
+@register("action_weights", with_events() + f"""
+SELECT event_id, action_type, CAST({_WEIGHT_SQL} AS DOUBLE) AS weight FROM behavior_events""")
+def q_action_weights(spark, sf_dir):
+    from ..functions.columns import action_weight
+    return behavior_events(spark, sf_dir).select("event_id", "action_type", action_weight().alias("weight"))
+
+
+# A lifetime of a day, at which most users of the tables have expired.
+AS_OF = "2024-01-30 12:00:00"
+
+
+@register("action_counts_as_of", with_events(_newest_run_cte("live", "behavior_events", "user_id", 86400)) + f"""
+SELECT user_id, concat('user:', user_id, ':action_counts') AS key, action_type AS field, count(*) AS count
+FROM (SELECT *, max("timestamp") OVER (PARTITION BY user_id) AS last FROM live)
+WHERE TIMESTAMP '{AS_OF}' < last + INTERVAL 86400 SECOND GROUP BY user_id, action_type""")
+def q_action_counts_as_of(spark, sf_dir):
+    counts = serving.action_counts(behavior_events(spark, sf_dir), ttl_seconds=86400, as_of=AS_OF)
+    return serving.with_serving_key(counts, "action_counts")
+
+
 # --- A2-A9, A12, B12, B18 ---------------------------------------------------------
 
 
@@ -374,6 +401,22 @@ def q_lake_roundtrip(spark, sf_dir):
     return lake.read_lake(spark, _fresh_lake(spark, sf_dir))
 
 
+@register("lake_two_runs", with_events() + """
+SELECT *, CAST("timestamp" AS DATE) AS event_date FROM behavior_events""")
+def q_lake_two_runs(spark, sf_dir):
+    """One batch write and two runs of the stream sink that both start at
+    batch 0, one of them replayed, in one lake."""
+    from pyspark.sql import functions as F
+    path = _scratch(spark, "lake")
+    events = behavior_events(spark, sf_dir)
+    part = [events.where(F.pmod("event_id", F.lit(3)) == i) for i in range(3)]
+    lake.write_lake(part[0], path)
+    mb.BatchSink(lake_path=path, run_id="a")(part[1], 0)
+    for _ in range(2):
+        mb.BatchSink(lake_path=path, run_id="b")(part[2], 0)
+    return lake.read_lake(spark, path)
+
+
 TARGET_DAY = "2024-01-15"
 
 
@@ -436,6 +479,62 @@ def _trained(spark, sf_dir):
     return rec.fit_als(rec.encode(scores, dicts)), dicts
 
 
+def _shape(recs, scores):
+    """One row per user: what holds of any correct top-n, whatever the factors."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    known = scores.select("product_id").distinct().withColumn("known", F.lit(True))
+    before = F.lag("rating").over(Window.partitionBy("user_id").orderBy("rank"))
+    rows = recs.join(known, "product_id", "left").withColumn("before", before)
+    return rows.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"),
+        F.count_distinct("product_id").alias("products"),
+        F.bool_and(F.coalesce("known", F.lit(False))).alias("all_known"),
+        F.bool_and((F.col("rating") >= 0) & (F.col("before").isNull() | (F.col("before") >= F.col("rating")))).alias("ordered"))
+
+
+_SHAPE_SQL = """
+SELECT user_id, least(10, (SELECT count(DISTINCT product_id) FROM scores)) AS n, 1 AS first_rank,
+       CAST(least(10, (SELECT count(DISTINCT product_id) FROM scores)) AS INTEGER) AS last_rank,
+       least(10, (SELECT count(DISTINCT product_id) FROM scores)) AS products, true AS all_known, true AS ordered
+FROM (SELECT DISTINCT user_id FROM scores)"""
+
+
+@register("recommend_shape", with_events(_SCORES_CTE) + _SHAPE_SQL)
+def q_recommend_shape(spark, sf_dir):
+    """G4-G6 over every user, as the properties any correct result has."""
+    model, dicts = _trained(spark, sf_dir)
+    events = behavior_events(spark, sf_dir)
+    return _shape(rec.recommend(model, dicts, events.select("user_id"), n=10), events)
+
+
+@register("train_job_shape", with_events(_SCORES_CTE) + _SHAPE_SQL)
+def q_train_job_shape(spark, sf_dir):
+    """The training job (G7): lake, scores, ALS, saved artifacts; loaded again
+    (A10) and asked for every user (G6)."""
+    from ..sources.models import load_model
+    from .train import train
+    path = _fresh_lake(spark, sf_dir)
+    root = train(spark, path, None, None, _scratch(spark, "models"))
+    return _shape(rec.recommend_all(*load_model(spark, root), n=10), lake.read_lake(spark, path))
+
+
+@register("top_n_decode", with_events(_SCORES_CTE) + """
+SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY interaction_strength DESC, product_id)
+                     AS INTEGER) AS rank, product_id, interaction_strength AS rating
+FROM scores QUALIFY rank <= 5""")
+def q_top_n_decode(spark, sf_dir):
+    """Decoding of ranked index arrays (G5, E1, B17) over an exact score: each
+    user's five strongest products."""
+    from pyspark.sql import functions as F
+    scores = checkpoint(agg.interaction_strength(behavior_events(spark, sf_dir)))
+    dicts = rec.fit_indexers(scores)
+    lists = rec.encode(scores, dicts).groupBy("user_idx").agg(F.slice(F.array_sort(F.collect_list(F.struct(
+        (-F.col("interaction_strength")).alias("low"), "product_id", "product_idx",
+        F.col("interaction_strength").alias("rating")))), 1, 5).alias("recommendations"))
+    return rec._decode(lists, dicts)
+
+
 @register("recommend_top10")
 def q_recommend_top10(spark, sf_dir):
     """Top 10 through the given-users path (G4, E2: semi join +
@@ -459,11 +558,13 @@ def _scratch(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def _record_dir(spark, sf_dir, copies: int = 1) -> str:
+def _record_dir(spark, sf_dir, copies: int = 1, change=None) -> str:
     """Record files of the events of ``sf_dir``, one folder per day, written
     in day order (and ``copies`` times, to model producer retries)."""
     path = _scratch(spark, "records")
     events = behavior_events(spark, sf_dir)
+    if change is not None:
+        events = change(events)
     for i in range(copies):
         rec_files.write_record_files(events, path, suffix="" if i == 0 else f"r{i}")
     return path
@@ -542,6 +643,50 @@ def q_stream_dedup(spark, sf_dir):
 
 
 LIVE_TTL = 86400
+KINDS = ("category_interests", "price_preferences", "action_counts")
+
+
+@register("stream_serving_tables", with_events(_STREAM_EVENTS_CTE, _newest_run_cte(
+    "live", "stream_events", "user_id", LIVE_TTL)) + _counter_body("product_category", KINDS[0])
+    + "\nUNION ALL" + _counter_body(_BAND_SQL, KINDS[1]) + "\nUNION ALL" + _counter_body("action_type", KINDS[2]))
+def q_stream_serving_tables(spark, sf_dir):
+    """The job's serving tables with a lifetime of a day, merged over its
+    micro-batches."""
+    from functools import reduce
+    from pyspark.sql import functions as F
+    from ..sources.serving_store import TABLES, read_serving
+    src, out = _record_dir(spark, sf_dir), _scratch(spark, "tables")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH))
+    mb.start_stream(events, checkpoint=f"{out}/checkpoint", serving_path=f"{out}/serving", available_now=True,
+                    ttls=dict.fromkeys(TABLES, LIVE_TTL)).awaitTermination()
+    return reduce(lambda a, b: a.unionByName(b), [
+        read_serving(spark, f"{out}/serving", k, ttl_seconds=LIVE_TTL)
+        .select("user_id", F.lit(k).alias("kind"), "field", "count") for k in KINDS])
+
+
+def _spoil(events):
+    from pyspark.sql import functions as F
+    return events.withColumns({c: F.when(F.col("event_id") % k != 0, F.col(c)) for c, k in SPOILED.items()})
+
+
+# column -> every how manyth event lacks it
+SPOILED = {"user_id": 11, "session_id": 13, "product_category": 17, "product_price": 19}
+
+
+@register("stream_quarantine", with_events() + """
+SELECT * FROM (
+SELECT CASE WHEN event_id % 11 <> 0 THEN user_id END AS user_id, product_id, action_type, "timestamp",
+       CASE WHEN event_id % 11 = 0 THEN 'missing user_id' WHEN event_id % 13 = 0 THEN 'missing session_id'
+            WHEN event_id % 17 = 0 THEN 'missing product_category'
+            WHEN event_id % 19 = 0 THEN 'missing product_price' END AS reason
+FROM behavior_events) WHERE reason IS NOT NULL""")
+def q_stream_quarantine(spark, sf_dir):
+    """Events of which some lack a field; the job keeps the bad ones aside."""
+    src, out = _record_dir(spark, sf_dir, change=_spoil), _scratch(spark, "quarantine")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH))
+    mb.start_stream(events, checkpoint=f"{out}/checkpoint", quarantine_path=f"{out}/bad",
+                    available_now=True).awaitTermination()
+    return spark.read.parquet(f"{out}/bad").select("user_id", "product_id", "action_type", "timestamp", "reason")
 
 
 @register("stream_serving_live", with_events(_STREAM_EVENTS_CTE, _newest_run_cte(

@@ -49,13 +49,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    conf = {k: v for k, v in DEFAULT_CONF.items() if k.startswith("spark.ui.")}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for k, v in DEFAULT_CONF.items():  # what the cluster has set wins
+        if k not in conf and not given.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

@@ -1,13 +1,16 @@
 """Event lake: day-partitioned Parquet.
 
-Layout: ``<path>/event_date=YYYY-MM-DD/[batch_id=N/]part-*.parquet``. A batch
-write (no ``batch_id``) appends; a stream write passes its ``batch_id`` and
-overwrites exactly the ``(event_date, batch_id)`` partitions it produces, so a
-replayed micro-batch replaces its own files instead of adding duplicates.
+Layout: ``<path>/event_date=YYYY-MM-DD/run_id=R/batch_id=N/part-*.parquet``,
+for every writer. A batch write takes a new ``run_id``; a stream write passes
+the id of its query (bound to the checkpoint) and its ``batch_id`` and
+overwrites exactly the partitions of that pair, so a replayed micro-batch
+replaces its own files and no run touches the files of another.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +20,7 @@ from ..functions import event_date, parse_iso
 
 
 def write_lake(events: DataFrame, path: str, batch_id: int | None = None,
-               files_per_day: int | None = None) -> None:
+               files_per_day: int | None = None, run_id: str = "stream") -> None:
     """Append events to the lake, partitioned by UTC event day.
 
     Errors are raised, not swallowed. ``files_per_day`` optionally clusters
@@ -31,18 +34,21 @@ def write_lake(events: DataFrame, path: str, batch_id: int | None = None,
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]), F.lit(int(files_per_day)))
         out = out.repartition("event_date", salt.alias("_salt"))
     if batch_id is None:
-        out.write.partitionBy("event_date").mode("append").parquet(path)
-        return
-    (out.withColumn("batch_id", F.lit(int(batch_id))).write.partitionBy("event_date", "batch_id")
-     .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path))
+        run_id, batch_id = f"batch-{uuid.uuid4().hex}", 0
+    write_batch(out, path, run_id, batch_id, ["event_date"])
+
+
+def write_batch(df: DataFrame, path: str, run_id: str, batch_id: int, by: Sequence[str] = ()) -> None:
+    """Write ``df`` as the partitions of one (run, batch) below ``path``; a
+    replay replaces exactly those. ``run-`` keeps the folder name a string."""
+    (df.withColumns({"run_id": F.lit(f"run-{run_id}"), "batch_id": F.lit(int(batch_id))})
+     .write.partitionBy(*by, "run_id", "batch_id").mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     """Scan the lake; ``event_date`` comes from the directory names (A5)."""
-    df = spark.read.option("basePath", path).parquet(path)
-    if "batch_id" in df.columns:
-        df = df.drop("batch_id")
-    return df
+    return spark.read.option("basePath", path).parquet(path).drop("run_id", "batch_id")
 
 
 def time_range(events: DataFrame, start: str | None, end: str | None) -> DataFrame:

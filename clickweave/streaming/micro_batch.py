@@ -2,13 +2,16 @@
 
 ``start_stream`` runs, for every micro-batch of decoded events:
 
-1. lake append, idempotent per ``batch_id`` (A4 / H10);
-2. per-batch features (H7: windows see only the current micro-batch, as in
-   the reference; ``streaming.stateful`` has the cross-batch form);
-3. serving deltas of the storable rows, idempotent per ``batch_id`` (A11);
-4. an optional features table, idempotent per ``batch_id``.
-
-The batch is persisted before its first action and released afterwards
+1. lake append (A4 / H10);
+2. an optional table of per-batch features of the rows that have a user (H7:
+   windows see only the current micro-batch; ``streaming.stateful`` has the
+   cross-batch form);
+3. serving deltas of the storable rows (A11), with expiry when read;
+4. an optional quarantine table of the rows that are not storable, with the
+   reason (C11).
+
+Every write is idempotent per run and batch; the run is the id of the
+streaming query, which its checkpoint keeps over restarts. The batch is persisted before its first action and released afterwards
 (H11); its row count comes from an ``Observation`` on the lake write rather
 than a separate ``count()`` job (C13, B21).
 """
@@ -16,6 +19,7 @@ than a separate ``count()`` job (C13, B21).
 from __future__ import annotations
 
 import logging
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -26,7 +30,7 @@ from ..operators.features import process_user_behavior
 from ..operators.serving import split_storable
 from ..schema import RECORD_METADATA
 from ..sources.kafka import decode_events, fill_event_time
-from ..sources.lake import write_lake
+from ..sources.lake import write_batch, write_lake
 from ..sources.serving_store import batch_tables, write_serving
 
 log = logging.getLogger(__name__)
@@ -63,14 +67,21 @@ def decode_stream(records: DataFrame, late: str = "keep", delay: str = "1 minute
 @dataclass
 class BatchSink:
     """The ``foreachBatch`` body. Any of the outputs may be switched off
-    (``lake_path=None`` is the store-only variant, A14)."""
+    (``lake_path=None`` is the store-only variant, A14). ``run_id`` names
+    the checkpoint; ``start_stream`` sets it once the query has its id."""
     lake_path: str | None = None
     serving_path: str | None = None
     features_path: str | None = None
     feature_args: dict = field(default_factory=dict)
     counts: dict = field(default_factory=dict)
+    quarantine_path: str | None = None
+    ttls: dict = field(default_factory=dict)
+    run_id: str | None = "stream"
+    named: threading.Event = field(default_factory=threading.Event)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.run_id is None and not self.named.wait(60):
+            raise RuntimeError("the streaming query has no id yet")
         batch = batch.persist()
         try:
             if batch.isEmpty():
@@ -78,17 +89,18 @@ class BatchSink:
             obs = Observation(f"batch_{batch_id}")
             observed = batch.observe(obs, F.count(F.lit(1)).alias("rows"))
             if self.lake_path:
-                write_lake(observed, self.lake_path, batch_id=batch_id)
+                write_lake(observed, self.lake_path, batch_id=batch_id, run_id=self.run_id)
                 self.counts[batch_id] = obs.get["rows"]
             events = batch.drop(*[c for c in RECORD_METADATA if c in batch.columns])
             if self.features_path:
-                feats = process_user_behavior(events, **self.feature_args)
-                (feats.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-                 .parquet(self.features_path))
+                # undecodable records have no user and would share one window
+                feats = process_user_behavior(events.where("user_id is not null"), **self.feature_args)
+                write_batch(feats, self.features_path, self.run_id, batch_id)
+            good, bad = split_storable(events)
             if self.serving_path:
-                good, _bad = split_storable(events)
-                write_serving(batch_tables(good), self.serving_path, batch_id)
+                write_serving(batch_tables(good, self.ttls), self.serving_path, batch_id, self.run_id)
+            if self.quarantine_path:
+                write_batch(bad, self.quarantine_path, self.run_id, batch_id)
             log.info("batch %s done", batch_id)
         finally:
             batch.unpersist()
@@ -97,10 +109,13 @@ class BatchSink:
 def start_stream(events: DataFrame, checkpoint: str, lake_path: str | None = None,
                  serving_path: str | None = None, features_path: str | None = None,
                  trigger: str | None = "10 seconds", available_now: bool = False,
-                 name: str | None = None, feature_args: dict | None = None) -> StreamingQuery:
+                 name: str | None = None, feature_args: dict | None = None,
+                 quarantine_path: str | None = None, ttls: dict | None = None) -> StreamingQuery:
     """Start the micro-batch job (H1, H3, H4). ``available_now`` processes
-    what is there and stops (tests, back-fills)."""
-    sink = BatchSink(lake_path, serving_path, features_path, feature_args or {})
+    what is there and stops (tests, back-fills). ``ttls`` overrides serving
+    lifetimes in seconds by table."""
+    sink = BatchSink(lake_path, serving_path, features_path, feature_args or {}, quarantine_path=quarantine_path,
+                     ttls=ttls or {}, run_id=None)
     writer = (events.writeStream.outputMode("update").foreachBatch(sink)
               .option("checkpointLocation", checkpoint))
     if name:
@@ -110,6 +125,8 @@ def start_stream(events: DataFrame, checkpoint: str, lake_path: str | None = Non
     elif trigger:
         writer = writer.trigger(processingTime=trigger)
     query = writer.start()
+    sink.run_id = str(query.id)
+    sink.named.set()
     query.sink_counts = sink.counts  # rows per batch, for monitoring
     return query
 
@@ -156,6 +173,7 @@ def main(argv=None):
     p.add_argument("--lake")
     p.add_argument("--serving")
     p.add_argument("--features")
+    p.add_argument("--quarantine")
     p.add_argument("--trigger", default="10 seconds")
     p.add_argument("--late", choices=["keep", "drop"], default="keep")
     p.add_argument("--duration", type=float, help="seconds to run, default until stopped")
@@ -163,7 +181,7 @@ def main(argv=None):
     spark = get_session()
     events = decode_stream(read_kafka(spark, a.servers, a.topics, a.starting), late=a.late)
     query = start_stream(events, a.checkpoint, a.lake, a.serving, a.features, trigger=a.trigger,
-                         name="clickweave-stream")
+                         name="clickweave-stream", quarantine_path=a.quarantine)
     run_for(query, a.duration)
 
 

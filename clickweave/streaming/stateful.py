@@ -25,9 +25,7 @@ from ..schema import RECENT_WINDOW_SECONDS
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# Session counters are dropped from the state a week (processing time) after
-# their last update; the recent list holds one entry per second of the frame.
-SESSION_STATE_TTL_MS = 7 * 86400 * 1000
+# The recent list holds one entry per second of the frame.
 _RECENT_SCHEMA = "ts_unix long, views long, carts long, priced long, price_sum double"
 _SESSION_SCHEMA = "seen long"
 FEATURE_FIELDS = [
@@ -43,7 +41,7 @@ class RecentActivity(StatefulProcessor):
     """State per user: recent events (list) and events seen per session (map)."""
 
     def __init__(self, recent_seconds: int = RECENT_WINDOW_SECONDS,
-                 session_ttl_ms: int | None = SESSION_STATE_TTL_MS):
+                 session_ttl_ms: int | None = None):
         self.frame = int(recent_seconds)
         self.session_ttl_ms = session_ttl_ms
 
@@ -89,16 +87,14 @@ class RecentActivity(StatefulProcessor):
         run = np.zeros(len(cur), "int64")
         for sid, idx in cur.groupby(cur["session_id"], sort=False, dropna=False).groups.items():
             idx = np.asarray(idx)
-            known = isinstance(sid, str)
-            seen = 0
-            if known and self.sessions.containsKey((sid,)):
-                seen = int(self.sessions.getValue((sid,))[0])
+            # a null session counts on like any other, under a name no session has
+            name = (f"={sid}" if isinstance(sid, str) else "",)
+            seen = int(self.sessions.getValue(name)[0]) if self.sessions.containsKey(name) else 0
             t = t_ns[idx]
             o = np.argsort(t, kind="stable")
             seq[idx[o]] = seen + np.arange(1, len(idx) + 1)
             run[idx[o]] = seen + np.searchsorted(t[o], t[o], side="right")  # peers share a count
-            if known:
-                self.sessions.updateValue((sid,), (seen + len(idx),))
+            self.sessions.updateValue(name, (seen + len(idx),))
 
         # keep only what a later event can still see
         keep = secs >= secs[-1] - self.frame
@@ -127,9 +123,13 @@ def configure(spark) -> None:
 
 
 def stateful_features(events: DataFrame, recent_seconds: int = RECENT_WINDOW_SECONDS,
-                      session_ttl_ms: int | None = SESSION_STATE_TTL_MS) -> DataFrame:
+                      session_ttl_ms: int | None = None) -> DataFrame:
     """Streaming (or batch) frame + the five window features, with state
-    across micro-batches (H8). Call ``configure(spark)`` first."""
+    across micro-batches (H8). Call ``configure(spark)`` first.
+
+    Session counters stay for good, as in the batch operator;
+    ``session_ttl_ms`` drops them that long (processing time) after their
+    last update, which bounds the state of a job that runs for ever."""
     out_schema = T.StructType(list(events.schema.fields) + FEATURE_FIELDS)
     return events.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=RecentActivity(recent_seconds, session_ttl_ms),

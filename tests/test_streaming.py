@@ -26,7 +26,7 @@ def test_replayed_batch_changes_nothing(spark):
     assert lake.read_lake(spark, f"{base}/lake").count() == events.count()
     assert sink.counts == {0: half1.count(), 1: half2.count()}
     merged = read_serving(spark, f"{base}/serving", "action_counts")
-    direct = serving.action_counts(events, ttl_seconds=None)
+    direct = serving.action_counts(events)
     assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, direct.collect()))
     rb = read_serving(spark, f"{base}/serving", "recent_behaviors", n=10)
     assert rb.groupBy("user_id").count().agg(F.max("count")).first()[0] == 10
@@ -34,6 +34,69 @@ def test_replayed_batch_changes_nothing(spark):
     assert sess.count() == events.select("session_id").distinct().count()
 
 
+def test_serving_tables_of_two_runs_in_any_order_equal_batch(spark, make_events):
+    """Events dealt at random to the batches of two runs, so that batches
+    overlap and come late, with times equal and below a second apart."""
+    import random
+    from datetime import datetime, timedelta
+
+    from conftest import ev
+
+    from clickweave.sources.serving_store import TABLES
+    rnd, t, rows = random.Random(5), datetime(2024, 1, 5), []
+    for i in range(300):
+        t += timedelta(milliseconds=rnd.choice([0, 300, 700, 500_000, 3_600_000, 3_600_100]))
+        rows.append(ev(user=f"u{rnd.randrange(3)}", session=f"s{rnd.randrange(4)}", ts=t, price=float(rnd.randrange(600)),
+                       category=rnd.choice(["Books", "Toys"]), action=rnd.choice(["view", "click"]), event_id=i))
+    base = scratch_path(spark, f"runs-{uuid.uuid4().hex}")
+    piece = [rnd.randrange(4) for _ in rows]
+    ttls = dict.fromkeys(TABLES, 3600)
+    for k in (3, 1, 0, 2, 3):            # the last one is a replay
+        sink = mb.BatchSink(serving_path=base, run_id="ab"[k % 2], ttls=ttls)
+        sink(make_events([r for r, p in zip(rows, piece) if p == k]), k // 2)
+    events = make_events(rows)
+    as_of = rows[-1][3] + timedelta(minutes=30)
+    for when in (None, as_of):
+        for name in ("category_interests", "price_preferences", "action_counts", "session_summary"):
+            got = read_serving(spark, base, name, ttl_seconds=3600, as_of=when)
+            want = getattr(serving, name)(events, ttl_seconds=3600, as_of=when)
+            assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect())), name
+        got = read_serving(spark, base, "recent_behaviors", n=7, ttl_seconds=3600, as_of=when)
+        want = serving.recent_behaviors(events, n=7, ttl_seconds=3600, as_of=when)
+        cols = ["user_id", "rank", "timestamp"]
+        assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+
+
+def test_restart_keeps_its_run_and_a_new_checkpoint_adds(spark):
+    src, out = (scratch_path(spark, f"{k}-{uuid.uuid4().hex}") for k in ("rec", "out"))
+    events = behavior_events(spark, SF_SMALL).where("timestamp < '2024-01-04'")
+    records.write_record_files(events.where("timestamp < '2024-01-03'"), src)
+
+    def run(checkpoint):
+        stream = mb.decode_stream(records.read_record_stream(spark, src))
+        mb.start_stream(stream, f"{out}/{checkpoint}", f"{out}/lake", quarantine_path=f"{out}/bad",
+                        available_now=True).awaitTermination()
+        return lake.read_lake(spark, f"{out}/lake").count()
+
+    first = events.where("timestamp < '2024-01-03'").count()
+    assert run("a") == first and run("a") == first
+    records.write_record_files(events.where("timestamp >= '2024-01-03'"), src)
+    assert run("a") == events.count()
+    assert run("b") == 2 * events.count()
+    assert spark.read.parquet(f"{out}/lake").select("run_id").distinct().count() == 2
+
+
+def test_status_and_stop_of_running_queries(spark):
+    src, out = (scratch_path(spark, f"{k}-{uuid.uuid4().hex}") for k in ("rec", "out"))
+    records.write_record_files(behavior_events(spark, SF_SMALL).where("timestamp < '2024-01-02'"), src)
+    stream = mb.decode_stream(records.read_record_stream(spark, src))
+    q = mb.start_stream(stream, f"{out}/a", f"{out}/lake", trigger="1 second", name="timed")
+    assert [r.name for r in mb.status(spark).where("is_active").collect()] == ["timed"]
+    assert not mb.run_for(q, 0.5).isActive
+    mb.start_stream(stream, f"{out}/b", f"{out}/lake", trigger="1 second")
+    assert mb.stop_all(spark) == 1 and mb.status(spark).count() == 0
+
+
 def test_file_stream_end_to_end(spark):
     src = scratch_path(spark, f"rec-{uuid.uuid4().hex}")
     out = scratch_path(spark, f"run-{uuid.uuid4().hex}")
