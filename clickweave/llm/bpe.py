@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickweave.llm.common import as_id, as_text
+
 CACHE_WORDS = 250_000
 CACHE_PAIRS = 300_000
 BLOCK_CHARS = 1 << 18
@@ -319,9 +321,10 @@ def encode_decode(docs: DataFrame, path: str | None = None, with_ids: bool = Fal
     ``path`` names the vocabulary file on the driver.
     """
     kept = ", ids array<int>" if with_ids else ""
-    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInPandas(partial(_encode, vocabulary=broadcast_vocabulary(docs.sparkSession, path), with_ids=with_ids),
-                         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + kept))
+    out = (docs.select(as_text("doc_id"), F.col("text").cast("string"))
+           .mapInPandas(partial(_encode, vocabulary=broadcast_vocabulary(docs.sparkSession, path), with_ids=with_ids),
+                        "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string" + kept))
+    return out.withColumn("doc_id", as_id("doc_id"))
 
 
 def _decode(batches: Iterator[pd.DataFrame], vocabulary) -> Iterator[pd.DataFrame]:
@@ -333,5 +336,6 @@ def _decode(batches: Iterator[pd.DataFrame], vocabulary) -> Iterator[pd.DataFram
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, ids) -> (doc_id, text); null ids give a null text."""
-    return encoded.select("doc_id", "ids").mapInPandas(
-        partial(_decode, vocabulary=broadcast_vocabulary(encoded.sparkSession, path)), "doc_id long, text string")
+    return encoded.select(as_text("doc_id"), "ids").mapInPandas(
+        partial(_decode, vocabulary=broadcast_vocabulary(encoded.sparkSession, path)),
+        "doc_id string, text string").withColumn("doc_id", as_id("doc_id"))

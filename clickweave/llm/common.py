@@ -19,6 +19,17 @@ def id_remainder(col: str, mod: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % mod
 
 
+def as_text(col: str) -> Column:
+    """A long id as text, null kept: pandas would turn the ids of a batch with a
+    null into floats, which are inexact from 2**53 on."""
+    return F.col(col).cast("long").cast("string").alias(col)
+
+
+def as_id(col: str) -> Column:
+    """The id back from its text."""
+    return F.col(col).cast("long").alias(col)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else. ``lower`` does the same, much faster,
     where every character is one byte."""

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import bounded_sample, id_remainder
+from clickweave.llm.common import as_id, as_text, bounded_sample, id_remainder
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -226,7 +226,8 @@ def identify(docs: DataFrame, mod: int = 4, held_out: int = 2) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
     rest = id_remainder("doc_id", mod)
     net = train(d.where((rest != held_out) & F.col("text").isNotNull() & F.col("lang").isNotNull()))
-    return (d.select("doc_id", "text", F.coalesce(rest == held_out, F.lit(False)).alias("held_out"),
+    return (d.select(as_text("doc_id"), "text", F.coalesce(rest == held_out, F.lit(False)).alias("held_out"),
                      F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
             .mapInPandas(partial(_predict, net=docs.sparkSession.sparkContext.broadcast(net)),
-                         "doc_id long, held_out boolean, lang_pred string, score double"))
+                         "doc_id string, held_out boolean, lang_pred string, score double")
+            .withColumn("doc_id", as_id("doc_id")))

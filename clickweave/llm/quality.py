@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import checkpoint, shuffle_partitions
+from clickweave.llm.common import as_id, as_text, checkpoint, shuffle_partitions
 
 BUCKETS = 1 << 14
 FRACTION = 0.5  # of the documents is sampled
@@ -147,9 +147,9 @@ def resample(docs: DataFrame, labels: DataFrame, fraction: float = FRACTION) ->
         good = F.broadcast(good)
     ratio = log_ratio(d.join(good, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good")))
     twin = F.monotonically_increasing_id()
-    weighed = d.withColumn("twin", twin).mapInPandas(
+    weighed = d.select(as_text("doc_id"), "text", twin.alias("twin")).mapInPandas(
         partial(_weigh, ratio=docs.sparkSession.sparkContext.broadcast(ratio)),
-        "doc_id long, twin long, n_features long, log_weight double")
+        "doc_id string, twin long, n_features long, log_weight double").withColumn("doc_id", as_id("doc_id"))
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(17), F.coalesce("doc_id", "twin")), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     keyed = checkpoint(weighed.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(u))))
     k = keyed.count()

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import checkpoint, packed_groups, shuffle_partitions
+from clickweave.llm.common import as_id, as_text, checkpoint, packed_groups, shuffle_partitions
 from clickweave.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -61,8 +61,9 @@ def _fingerprints(batches: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp): fp holds the 64 bits as a signed long."""
-    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInPandas(partial(_fingerprints, shingle=shingle), "doc_id long, fp long"))
+    return (docs.select(as_text("doc_id"), F.col("text").cast("string"))
+            .mapInPandas(partial(_fingerprints, shingle=shingle), "doc_id string, fp long")
+            .select(as_id("doc_id"), "fp"))
 
 
 def variants(distinct: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import id_remainder
+from clickweave.llm.common import as_id, as_text, id_remainder
 
 # fixed value: letters that a character may stand for
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "il"}
@@ -318,11 +318,11 @@ def score(docs: DataFrame, labels: DataFrame, mod: int = 5, held_out: int = 0, w
     table gives an empty result.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    d = d.select("doc_id", F.coalesce(id_remainder("doc_id", mod) == held_out, F.lit(False)).alias("held_out"), "text")
+    d = d.select(as_text("doc_id"), F.coalesce(id_remainder("doc_id", mod) == held_out, F.lit(False)).alias("held_out"), "text")
     extra = ", restored string" if with_text else ""
     out = d.mapInPandas(partial(_score, model=fit(docs, labels, mod, held_out), with_text=with_text),
-                        "doc_id long, held_out boolean, score double" + extra)
-    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                        "doc_id string, held_out boolean, score double" + extra)
+    return out.select(as_id("doc_id"), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
                       *(["restored"] if with_text else []))
 
 

@@ -207,6 +207,20 @@ def test_warc_audit(spark):
     assert sorted(bytes(r.record).decode() for r in warc.parse(one).collect()) == recs
 
 
+def test_large_ids_beside_null_ids_stay_exact(spark):
+    ids = [2**53 + 1, 2**53 + 3, None, -2**63, 2**63 - 1]
+    d = spark.createDataFrame([(i, f"some words of text {k}", "en") for k, i in enumerate(ids)],
+                              "doc_id long, text string, lang string").coalesce(1)
+    labels = spark.createDataFrame([(ids[0], 1, 1), (ids[1], 0, 0)], "doc_id long, toxic int, quality int")
+    encoded = bpe.encode_decode(d, with_ids=True)
+    for out in (simhash.near_duplicates(d), encoded, bpe.decode(encoded), toxicity.score(d, labels), language.identify(d),
+                quality.resample(d, labels), line_dedup.dedup_lines(d).select("row.doc_id")):
+        assert {r.doc_id for r in out.collect()} == set(ids) and dict(out.dtypes)["doc_id"] == "bigint"
+    pages = spark.createDataFrame([(i, f"http://other/{i}") for i in ids] + [(1, "http://a.net/"), (2, "http://a.org/fr/")],
+                                  "page_id long, url string").coalesce(1)
+    assert {r.page_id for r in urls.judge(pages).collect()} == {*ids, 1, 2}
+
+
 def test_queries_cover_all_ten():
     assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
     assert set(ORACLE) <= set(QUERIES)
