@@ -233,8 +233,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance: int
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
     """The rows of ``docs`` that stand for their group: those whose doc_id is
-    the component's smallest. Rows of a null doc_id stay (they can't be named
-    as copies of anything)."""
-    gone = (near_duplicates(docs, shingle, distance).where("doc_id <> component_id")
-            .select("doc_id").distinct())
+    the component's smallest. Rows of one doc_id are one document: repeated
+    rows stay or go together, and an id whose rows have different texts goes
+    only if every one of them has a smaller id in its group. Rows of a null
+    doc_id stay (they can't be named as copies of anything)."""
+    gone = (near_duplicates(docs, shingle, distance).groupBy("doc_id")
+            .agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("gone")).where("gone").select("doc_id"))
     return docs.join(gone, "doc_id", "left_anti")

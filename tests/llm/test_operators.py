@@ -63,6 +63,15 @@ def test_simhash_links_every_distance_three(spark):
         assert {x: comp.get(x, x) for x in fps} == want
 
 
+def test_simhash_one_of_each(spark):
+    rows_in = [(1, "a b c d"), (1, "a b c d"), (2, "A b c d"), (3, "a  b c d"), (3, "no such words here"), (4, "far from all of it"),
+               (None, "a b c d"), (5, ""), (6, None)]
+    docs = spark.createDataFrame(rows_in, "doc_id long, text string").selectExpr("*", "1L as fp", "'x' as component_id")
+    got = [(r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()]
+    assert sorted(got, key=str) == sorted([r for r in rows_in if r[0] not in (2, 6)], key=str)
+    assert simhash.one_of_each(empty(docs)).count() == 0
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 180)] + [(7, 7), (None, 3), (3, None)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
