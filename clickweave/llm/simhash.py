@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -44,7 +45,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
     shingles = zip(*(words[i:] for i in range(shingle))) if len(words) > shingle else iter([words])
     counts, n = np.zeros(64, np.int64), 0
     while True:
-        block = [xxh64_digest(b" ".join(s), SEED) for s, _ in zip(shingles, range(HASH_BLOCK))]
+        block = [xxh64_digest(b" ".join(s), SEED) for s in islice(shingles, HASH_BLOCK)]
         if not block:
             break
         bits = np.unpackbits(np.frombuffer(b"".join(block), np.uint8).reshape(-1, 8), axis=1)

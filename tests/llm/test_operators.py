@@ -44,6 +44,18 @@ def test_simhash(odd):
     assert rows(simhash.near_duplicates(empty(odd))) == []
 
 
+def test_simhash_hashes_every_shingle_of_long_texts(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    texts = ["a b " * 32_770 + "a",  # 65,539 shingles of two kinds: one lost shingle turns bits
+             " ".join(f"w{i}" for i in rng.integers(0, 900, 131_080)), "a b " * 32_770 + "a c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert rows(simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")) == brute.simhash_rows(pairs(docs))
+    monkeypatch.setattr(simhash, "HASH_BLOCK", 4)
+    for n in range(40):
+        text = "a b " * (n // 2) + "a" * (n % 2)
+        assert simhash.fingerprint(text) == brute.simhash(text)
+
+
 def test_simhash_links_every_distance_three(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(-2**63, 2**63 - 1, 40)
