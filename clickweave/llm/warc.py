@@ -1,11 +1,14 @@
 """WARC records and a Merkle fixity audit of archive replicas.
 
 Pages become WARC records that lie one behind the other in archive files. An
-audit hashes every record of a replica; leaves are the records' digests with
-file, offset and length, and every FANOUT neighbours in archive order make a
-node with the digest of theirs, up to one root. Replicas with equal roots are
-equal. Otherwise only the children of differing nodes are compared, level by
-level, down to the records that differ, are missing, or are in excess.
+audit hashes every record of both replicas. The primary's layout is the
+manifest: each record of the replica takes the place of the primary's record
+it belongs to, so a lost record shifts no other. Leaves are the records'
+digests with file, offset and length, and every FANOUT neighbours in archive
+order make a node with the digest of theirs, up to one root. Replicas with
+equal roots are equal. Otherwise only the children of differing nodes are
+compared, level by level, down to the records that differ, are missing, or are
+in excess.
 """
 
 from __future__ import annotations
@@ -36,32 +39,68 @@ def records(pages: DataFrame) -> DataFrame:
     return p.select("page_id", record_text(F.col("url"), F.col("page_id"), F.col("html")).alias("record"))
 
 
-def digests(recs: DataFrame, extra: list[str] = ()) -> DataFrame:
-    """(page_id, length, sha256, *extra): what the rest of an audit needs of a record."""
-    return recs.select("page_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("sha256"), *extra)
+def digests(recs: DataFrame) -> DataFrame:
+    """(page_id, id, length, sha256): what the rest of an audit needs of a record;
+    id is page_id as text, empty for null. A null record is an empty one."""
+    whole = F.coalesce(F.col("record").cast("binary"), F.lit(b""))
+    return recs.select(F.col("page_id").cast("long").alias("page_id"), whole.alias("record")).select(
+        "page_id", F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("id"),
+        F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("sha256"))
 
 
-def layout(digested: DataFrame, per_file: int = RECORDS_PER_FILE) -> DataFrame:
-    """Adds the place in the archive: ordinal (order of page_id, nulls first, then
-    digest), warc_file (``per_file`` records each) and offset in the file.
+def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Adds ``name``: the number of the row in this order, from 0.
 
-    The rows are sorted in ranges; ordinals come from the ranges' sizes."""
-    spark = digested.sparkSession
-    order = ["page_id", "sha256"]
-    ranged = digested.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
-    placed = checkpoint(ranged.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")))
+    The rows are sorted in ranges; numbers come from the ranges' sizes."""
+    spark = rows.sparkSession
+    ranged = rows.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+    placed = checkpoint(ranged.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at_")))
     before, offsets = 0, [(-1, 0)]
     for part, n in placed.groupBy("part").agg(F.count("*")).orderBy("part").collect():
         offsets.append((part, before))
         before += n
     known = spark.createDataFrame(offsets, "part int, before long")  # a row for each partition
     out = placed.join(F.broadcast(known), "part")
-    out = out.withColumn("ordinal", F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).drop("part", "at", "before")
+    return out.withColumn(name, F.col("before") + F.col("at_").bitwiseAND((1 << 33) - 1)).drop("part", "at_", "before")
+
+
+def nth(rows: DataFrame, keys: list[str], number: str) -> DataFrame:
+    """Adds ``nth``: the row's place among those of its keys, which ``number``
+    counts without gaps."""
+    first = rows.groupBy(*keys).agg(F.min(number).alias("first"))
+    return rows.join(first, keys).withColumn("nth", F.col(number) - F.col("first")).drop("first")
+
+
+def layout(digested: DataFrame, per_file: int = RECORDS_PER_FILE) -> DataFrame:
+    """Adds the place in the archive: ordinal (order of page_id, nulls first, then
+    digest), warc_file (``per_file`` records each) and offset in the file."""
+    out = numbered(digested, ["page_id", "sha256"], "ordinal")
     out = out.withColumn("warc_file", F.expr(f"ordinal div {per_file}"))
     ahead = W.partitionBy("warc_file").orderBy("ordinal").rowsBetween(W.unboundedPreceding, -1)
     return out.withColumn("offset", F.coalesce(F.sum("length").over(ahead), F.lit(0)).cast("long"))
 
 
+def matched(manifest: DataFrame, digested: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """(the replica's records at their places in the manifest, places in all).
+
+    A record takes the place of the primary's one with its id and digest.
+    Records of an id that are left over on both sides are paired in order;
+    what the primary lacks comes behind its ``n`` places, without file and
+    offset. Length and digest stay the replica's own."""
+    whole = ["id", "sha256"]
+    p = nth(manifest, whole, "ordinal").select(*whole, "nth", "ordinal", "warc_file", "offset")
+    r = nth(numbered(digested, ["page_id", "sha256"], "at"), whole, "at").select(*whole, "nth", "at", "length")
+    both = checkpoint(p.join(r, [*whole, "nth"], "full"))
+    place = ["ordinal", "warc_file", "offset"]
+    free = numbered(both.where("at is null").select("id", *place), ["id", "ordinal"], "k")
+    over = numbered(both.where("ordinal is null").select("id", "sha256", "length", "at"), ["id", "at"], "k")
+    beyond = over.count()
+    rest = nth(over, ["id"], "k").join(nth(free, ["id"], "k").drop("k"), ["id", "nth"], "left")
+    rest = rest.withColumn("ordinal", F.coalesce("ordinal", F.col("k") + n))
+    cols = ["id", *place, "length", "sha256"]
+    return checkpoint(both.where("at is not null and ordinal is not null").select(cols).union(rest.select(cols))), n + beyond
+
+
 def leaves(placed: DataFrame, replica: str) -> DataFrame:
     """(replica, node, digest) of records that have a place."""
     place = F.concat_ws(" ", "warc_file", "offset", "length", "sha256")
@@ -91,7 +130,7 @@ def differing(level: DataFrame, a: str, b: str, parents: DataFrame | None = None
     return both.where(~F.col("x").eqNullSafe(F.col("y"))).select("node", F.col("x").isNotNull().alias("in_a"), F.col("y").isNotNull().alias("in_b"))
 
 
-def audit(leaf_rows: DataFrame, n: int, a: str, b: str, fanout: int = FANOUT) -> DataFrame:
+def compare(leaf_rows: DataFrame, n: int, a: str, b: str, fanout: int = FANOUT) -> DataFrame:
     """(ordinal, status) of the places where replicas a and b differ: corrupt,
     missing (in b) or extra (only in b). ``n``: places in the archive."""
     trees = tree(leaf_rows, n, fanout)
@@ -102,6 +141,28 @@ def audit(leaf_rows: DataFrame, n: int, a: str, b: str, fanout: int = FANOUT) ->
     return found.select(F.col("node").alias("ordinal"), status.alias("status"))
 
 
+def audit(primary: DataFrame, replica: DataFrame, fanout: int = FANOUT, per_file: int = RECORDS_PER_FILE) -> DataFrame:
+    """Audits the records of a replica, (page_id, record) like the primary's:
+    (page_id, warc_file, ordinal, offset, length, sha256, status), one row per
+    record of the primary with its own place and digest; status is ok, corrupt
+    or missing. A record that only the replica has makes a row of status extra,
+    with the replica's length and digest and no place.
+
+    Every record of both sides is hashed. Records are text or binary, null ones
+    are empty. Records of one page_id, also null, are told apart by digest;
+    equal ones are as many records. Other columns are ignored.
+    """
+    manifest = checkpoint(layout(digests(primary), per_file))
+    n = manifest.count()
+    copy, places = matched(manifest, digests(replica), n)
+    found = compare(leaves(manifest, "primary").union(leaves(copy, "replica")), places, "primary", "replica", fanout)
+    cols = ["page_id", "warc_file", "ordinal", "offset", "length", "sha256"]
+    extra = copy.where(F.col("ordinal") >= n).withColumn("page_id", F.when(F.col("id") != "", F.col("id")).cast("long"))
+    out = manifest.select(cols).union(extra.select(cols)).join(found, "ordinal", "left")
+    ordinal = F.when(F.col("ordinal") < n, F.col("ordinal")).alias("ordinal")
+    return out.select("page_id", "warc_file", ordinal, "offset", "length", "sha256", F.coalesce("status", F.lit("ok")).alias("status"))
+
+
 def damaged(body: Column) -> Column:
     """A body with its first character changed (an empty one gets a character)."""
     body = F.coalesce(body, F.lit(""))
@@ -119,24 +180,15 @@ def audit_damaged_copy(pages: DataFrame, corrupt: Column, lost: Column, fanout:
     Repeated rows are records of their own, with neighbouring places. Other
     columns are ignored. An empty table gives an empty result.
     """
-    p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                     F.col("html").cast("string").alias("html"))
-    bad = F.coalesce(corrupt, F.lit(False))
-    other = record_text(F.col("url"), F.col("page_id"), damaged(F.col("html")))
-    p = p.select("page_id", record_text(F.col("url"), F.col("page_id"), F.col("html")).alias("record"),
-                 F.when(bad, F.sha2(other, 256)).alias("changed"), F.coalesce(lost, F.lit(False)).alias("lost"))
-    placed = checkpoint(layout(digests(p, ["changed", "lost"]), per_file))
-    copy = placed.where(~F.col("lost")).withColumn("sha256", F.coalesce("changed", "sha256"))
-    n = placed.count()
-    found = audit(leaves(placed, "primary").union(leaves(copy, "copy")), n, "primary", "copy", fanout)
-    out = placed.drop("changed", "lost").join(found, "ordinal", "left")
-    return out.select("page_id", "warc_file", "ordinal", "offset", "length", "sha256",
-                      F.coalesce("status", F.lit("ok")).alias("status"))
+    bad, gone = F.coalesce(corrupt, F.lit(False)), F.coalesce(lost, F.lit(False))
+    html = F.col("html").cast("string")
+    copy = pages.where(~gone).select("page_id", "url", F.when(bad, damaged(html)).otherwise(html).alias("html"))
+    return audit(records(pages), records(copy), fanout, per_file)
 
 
 def parse(files: DataFrame) -> DataFrame:
-    """(file, content binary) -> (file, offset, length, record): the records of
-    uncompressed WARC files, cut by their Content-Length."""
+    """(file, content binary) -> (file, offset, length, page_id, record): the records
+    of uncompressed WARC files, cut by their Content-Length; ``audit`` takes them."""
     def cut(batches):
         import re
 
@@ -148,8 +200,10 @@ def parse(files: DataFrame) -> DataFrame:
                 while at < len(raw):
                     head = raw.find(b"\r\n\r\n", at)
                     size = re.search(rb"(?mi)^Content-Length:\s*(\d+)", raw[at:head]) if head >= 0 else None
+                    name_id = re.search(rb"(?mi)^WARC-Record-ID:\s*<urn:page:(-?\d+)>", raw[at:head]) if head >= 0 else None
                     end = min(len(raw), head + 4 + int(size[1]) + 4) if size else len(raw)
-                    rows.append((name, at, end - at, raw[at:end]))
+                    rows.append((name, at, end - at, name_id[1].decode() if name_id else None, raw[at:end]))
                     at = end
-            yield pd.DataFrame(rows, columns=["file", "offset", "length", "record"])
-    return files.select("file", "content").mapInPandas(cut, "file string, offset long, length long, record binary")
+            yield pd.DataFrame(rows, columns=["file", "offset", "length", "page_id", "record"])
+    out = files.select("file", "content").mapInPandas(cut, "file string, offset long, length long, page_id string, record binary")
+    return out.withColumn("page_id", F.expr("try_cast(page_id as long)"))

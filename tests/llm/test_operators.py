@@ -228,6 +228,29 @@ def test_warc_audit(spark):
     assert sorted(bytes(r.record).decode() for r in warc.parse(one).collect()) == recs
 
 
+def test_warc_audit_of_two_replicas(spark):
+    page = lambda i, body: (i, f"http://h/{i}", body)
+    a = [page(i, f"body {i}") for i in range(300)] + [page(9, "other"), page(20, "body 20"), page(30, "third"), (None, None, None)]
+    b = [page(i, "bodY 250" if i == 250 else f"body {i}") for i in range(300) if i not in (0, 9, 100)]
+    b += [page(9, "other"), page(30, "changed"), page(1000, "new"), page(40, "second"), (None, None, "x")]
+    cols = "page_id long, url string, html string"
+    a, b = spark.createDataFrame(a, cols), spark.createDataFrame(b, cols)
+    want = sorted([(0, "missing"), (9, "missing"), (20, "missing"), (30, "corrupt"), (40, "extra"), (100, "missing"),
+                   (250, "corrupt"), (1000, "extra"), (-1, "corrupt")])
+    primary = warc.records(a)
+    in_files = warc.parse(warc.records(b).selectExpr("'f' as file", "cast(record as binary) as content"))
+    for replica in (warc.records(b), in_files):
+        got = warc.audit(primary, replica, fanout=4, per_file=16).collect()
+        assert sorted((-1 if r.page_id is None else r.page_id, r.status) for r in got if r.status != "ok") == want
+        assert len(got) == 306 and sorted(r.ordinal for r in got if r.status != "extra") == list(range(304))
+        sha = {hashlib.sha256(r.record.encode()).hexdigest() for r in primary.collect()}
+        assert {r.sha256 for r in got if r.status != "extra"} == sha
+    assert {r.status for r in warc.audit(primary, primary).collect()} == {"ok"}
+    none = primary.where("page_id < 0")
+    assert {r.status for r in warc.audit(primary, none).collect()} == {"missing"}
+    assert {r.status for r in warc.audit(none, primary).collect()} == {"extra"}
+
+
 def test_large_ids_beside_null_ids_stay_exact(spark):
     ids = [2**53 + 1, 2**53 + 3, None, -2**63, 2**63 - 1]
     d = spark.createDataFrame([(i, f"some words of text {k}", "en") for k, i in enumerate(ids)],
