@@ -25,7 +25,7 @@ from clickweave.llm.common import as_id, as_text, id_remainder
 
 # fixed value: letters that a character may stand for
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "il"}
-WEAK = [ord("!"), ord("|")]  # these count between letters only
+WEAK = "!|"  # behind a word these mostly are what they seem
 SEPARATORS = " .-_*/,"
 # Letters of the model: a-z and the lower-case letters of Latin-1; 0 is the gap
 # between words, OTHER any other letter.
@@ -37,6 +37,7 @@ SYMBOLS = OTHER + 1
 MIX = (0.85, 0.13, 0.02)
 # Log-probabilities of the channel.
 LEETED, UNCHANGED, GAP_KEPT, GAP_ADDED, REPEATED = math.log(0.4), math.log(0.002), math.log(0.4), math.log(0.6), math.log(0.5)
+WEAK_KEPT = math.log(0.6)
 # Bounds of the training sample, by label, and of the lexicon.
 SAMPLE = {1: 4000, 0: 6000}
 MAX_FEATURES = 2000
@@ -44,7 +45,6 @@ MIN_SUPPORT, MIN_SHARE, MIN_PRECISION = 4, 0.01, 0.985
 PREFIXES = (4, 5)
 BLOCK_CHARS = 1 << 18
 CACHE_SPANS = 50_000
-MAX_SPAN = 200  # characters decoded at a time; longer spans are decoded in pieces
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -108,13 +108,15 @@ def disguised(cp: np.ndarray, text_start: np.ndarray) -> list[tuple[int, int, bo
     cut[1:] |= kind[1:] != kind[:-1]
     at = np.flatnonzero(cut)
     end = np.append(at[1:], n)
-    k, size = kind[at], end - at
+    k = kind[at]
+    # the characters of a run, repeats counted once
+    new = np.append(True, cp[1:] != cp[:-1]) | cut if n else cut
+    size = np.diff(np.append(0, np.cumsum(new)[end - 1])) if n else end
     same_left = ~text_start[at]
     left = np.where(same_left, np.concatenate([[0], k[:-1]]), 0)
     right = np.append(np.where(same_left[1:], k[1:], 0), 0)
-    weak = np.isin(cp[at], WEAK)
-    leet = (k == 2) & ((left == 1) & (right == 1) & (size <= 3) | (left == 0) & (right == 1) & (size <= 2) & ~weak
-                       | (left == 1) & (right == 0) & (size <= 2) & ~weak)
+    leet = (k == 2) & ((left == 1) & (right == 1) & (size <= 3) | (left == 0) & (right == 1) & (size <= 2)
+                       | (left == 1) & (right == 0) & (size <= 2))
     marks = at[leet]
     if n > 2:
         three = (cp[2:] == cp[1:-1]) & (cp[1:-1] == cp[:-2]) & (kind[2:] == 1) & ~text_start[2:] & ~text_start[1:-1]
@@ -128,15 +130,15 @@ def disguised(cp: np.ndarray, text_start: np.ndarray) -> list[tuple[int, int, bo
     hit = np.unique(np.searchsorted(start, marks, "right") - 1)
     spans = [(a, b, False) for a, b in zip(start[hit].tolist(), stop_at[hit].tolist())]
     # letters set apart
-    single = start[(stop_at - start == 1) & ~np.isin(cp[start], WEAK)]
-    if len(single) > 3:
-        gap = cp[np.minimum(single + 1, n - 1)]
-        far = np.minimum(single + 2, n - 1)
-        joined = (np.diff(single) == 2) & np.isin(gap, [ord(c) for c in SEPARATORS])[:-1] & ~(
-            text_start[np.minimum(single + 1, n - 1)] | text_start[far])[:-1]
+    single = start[(stop_at - start == 1) & ~np.isin(cp[start], [ord(c) for c in WEAK])]
+    if len(single) > 2:
+        other = np.cumsum(~np.isin(cp, [ord(c) for c in SEPARATORS]))
+        text = np.cumsum(text_start)
+        joined = (other[single[1:] - 1] == other[single[:-1]]) & (text[single[1:]] == text[single[:-1]])
         change = np.flatnonzero(np.diff(np.concatenate([[0], joined.astype(np.int8), [0]])))
         for a, b in zip(change[::2].tolist(), change[1::2].tolist()):
-            if b - a >= 3:
+            # three characters need a letter, so that short lists of numbers stay
+            if b - a >= 3 or b - a == 2 and (kind[single[a:b + 1]] == 1).any():
                 spans.append((int(single[a]), int(single[b]) + 1, True))
     out, last = [], 0
     for s in sorted(spans, key=lambda s: (s[0], -s[1])):
@@ -156,18 +158,20 @@ class Decoder:
     def columns(self, span: str, spaced: bool) -> list[list[tuple[str, float]]]:
         """The lattice: for each column its readings, as (output, log-probability)."""
         cols: list[list[tuple[str, float]]] = []
-        i = 0
+        i, behind = 0, len(span.rstrip(WEAK))
         while i < len(span):
             c = span[i]
-            if spaced and i % 2:
+            if spaced and c in SEPARATORS:
                 cols.append([("", GAP_ADDED), (" ", GAP_KEPT)])
-                i += 1
+                while span[i] in SEPARATORS:  # a letter is last
+                    i += 1
                 continue
             j = i
             while not spaced and j < len(span) and span[j] == c:
                 j += 1
             run = max(1, j - i)
-            options = [(x, LEETED) for x in LEET.get(c, "")] + ([(c, UNCHANGED)] if c in LEET else [(c, 0.0)])
+            same = 0.0 if c not in LEET else WEAK_KEPT if i >= behind and c in WEAK else UNCHANGED
+            options = [(x, LEETED) for x in LEET.get(c, "")] + [(c, same)]
             cols.append(options)
             if run == 2:
                 cols.append(options)
@@ -179,8 +183,7 @@ class Decoder:
     def __call__(self, span: str, spaced: bool) -> str:
         got = self.known.get((span, spaced))
         if got is None:
-            pieces = [span[i:i + MAX_SPAN] for i in range(0, len(span), MAX_SPAN)]
-            got = "".join(self._decode(p, spaced) for p in pieces)
+            got = self._decode(span, spaced)
             if len(self.known) > CACHE_SPANS:
                 self.known.clear()
             self.known[(span, spaced)] = got
@@ -189,9 +192,10 @@ class Decoder:
     def _decode(self, span: str, spaced: bool) -> str:
         logp = self.logp
         code = lambda c: CODE.get(c, 0 if not c.isalpha() else OTHER)
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # state -> (score, the outputs so far as a chain (chain before, output))
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for col in self.columns(span, spaced):
-            new: dict[tuple[int, int], tuple[float, str]] = {}
+            new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (p, out) in best.items():
                 for x, q in col:
                     if x:
@@ -200,9 +204,19 @@ class Decoder:
                     else:
                         state, score = (a, b), p + q
                     if state not in new or score > new[state][0]:
-                        new[state] = (score, out + x)
+                        new[state] = (score, (out, x) if x else out)
             best = new
-        return max((p + float(logp[a, b, 0]), out) for (a, b), (p, out) in best.items())[1]
+        ends = [(p + float(logp[a, b, 0]), out) for (a, b), (p, out) in best.items()]
+        top = max(p for p, _ in ends)
+        return max(_chained(out) for p, out in ends if p == top)
+
+
+def _chained(out: tuple | None) -> str:
+    parts = []
+    while out is not None:
+        out, x = out
+        parts.append(x)
+    return "".join(reversed(parts))
 
 
 def restore(texts: list[str], decoder: Decoder) -> list[str]:

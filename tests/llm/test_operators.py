@@ -169,6 +169,22 @@ def test_toxicity_restores_disguised_words(spark, odd):
     assert {r.score for r in toxicity.score(odd, labels.where("doc_id < 0")).collect()} == {0.0}
 
 
+def test_toxicity_restores_every_run(spark):
+    words = "you are an idiot and a loser such a moron stupid people like this clown are worthless scum"
+    clean = "the weather in the morning was good and people liked to walk along the river with others"
+    docs = spark.createDataFrame([(i, (words if i % 2 else clean) + f" {i}") for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    toxic = ["l0000ser", "$$$tupid", "!diot", "i  d  i  o  t", "m - o - r - o - n", "stu" + "u" * 450 + "pid", "m000000r0n", "what scum!",
+             "the.river." * 30 + "1d10t", "1d" + "1" * 250 + "0t"]
+    fine = ["good!", "walk along the river!!!", "1 2 3", "$1000 and 10,000", "€5 000 000 | 12", "3.5 7 8 1", "good | river", "1000 km"]
+    test = docs.union(spark.createDataFrame([(1000 + i, t) for i, t in enumerate(toxic + fine)], "doc_id long, text string"))
+    got = {r.doc_id - 1000: r for r in toxicity.score(test, labels, with_text=True).where("doc_id >= 1000").collect()}
+    assert [(t, got[i].predicted, got[i].restored) for i, t in enumerate(toxic) if not got[i].predicted] == []
+    assert [(t, got[len(toxic) + i].restored) for i, t in enumerate(fine) if got[len(toxic) + i].predicted] == []
+    assert got[len(toxic)].restored == "good!" and got[len(toxic) + 2].restored == "1 2 3"
+    assert [got[i].restored for i in (0, 1, 2, 3)] == ["loser", "stupid", "idiot", "idiot"]
+
+
 def test_language_held_out(spark, odd):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
