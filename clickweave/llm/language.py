@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import as_id, as_text, bounded_sample, id_remainder
+from clickweave.llm.common import as_id, as_text, id_remainder
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -30,8 +30,8 @@ FILTERS = 8  # for each width
 SAMPLE_DOCS = 600
 SAMPLE_WINDOWS = 900
 WINDOWS_PER_TEXT = 6
-# Languages learned at most (the most frequent ones, ties by name).
-MAX_LANGUAGES = 200
+# Documents of the whole sample: with more languages each has fewer, LEAST_DOCS at least.
+SAMPLE_TOTAL, LEAST_DOCS = 120_000, 20
 EPOCHS, RATE, BATCH, SEED = 14, 0.02, 64, 11
 # Windows predicted at once, so that their tables stay in the processor's cache.
 BLOCK = 24
@@ -133,6 +133,15 @@ class ByteNet:
         return out
 
 
+def bounded_sample(df: DataFrame, label: str, ident: list[str], per_label: int, counts: dict) -> DataFrame:
+    """``common.bounded_sample`` of labels already counted: they come as a table,
+    as an expression of many labels gets too deep."""
+    share = df.sparkSession.createDataFrame([(v, min(1.0, per_label / n)) for v, n in counts.items()], "l_ string, share_ double")
+    u = F.shiftrightunsigned(F.xxhash64(F.lit(7), *ident), 11) / F.lit(float(1 << 53))
+    met = df.join(F.broadcast(share), F.col(label) == F.col("l_"))
+    return met.where(u < F.col("share_")).drop("l_", "share_")
+
+
 def _max_pool(z: np.ndarray) -> np.ndarray:
     """z.max(axis=1), by halves: long contiguous runs instead of many short ones."""
     while z.shape[1] > 1:
@@ -152,20 +161,24 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def train(labelled: DataFrame) -> ByteNet | None:
     """labelled: (doc_id, text, lang), no nulls. None if there is no row.
 
-    At most SAMPLE_DOCS documents of each of the MAX_LANGUAGES most frequent languages are
-    drawn by a hash of doc_id (about as many, by the hash), WINDOWS_PER_TEXT of
+    Every language is learned. At most SAMPLE_DOCS documents of each, fewer if that
+    makes more than SAMPLE_TOTAL, are drawn by a hash of doc_id (about as many, by the hash), WINDOWS_PER_TEXT of
     their windows reach the driver, and SAMPLE_WINDOWS of them are learned."""
-    top = [r[0] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    if not top:
+    counts = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
+    if not counts:
         return None
-    languages = sorted(top)
-    sample = bounded_sample(labelled, "lang", ["doc_id"], SAMPLE_DOCS, languages)
+    languages = sorted(counts)
+    per = min(SAMPLE_DOCS, max(LEAST_DOCS, SAMPLE_TOTAL // len(languages)))
+    sample = bounded_sample(labelled, "lang", ["doc_id"], per, counts)
     rows = sample.select("doc_id", "text", "lang").mapInPandas(
         _training_windows, "doc_id long, lang string, pos int, w binary").collect()
     rows.sort(key=lambda r: (r[0], r[2], bytes(r[3])))
     rng, xs, ys = np.random.default_rng(SEED), [], []
+    by: dict[str, list[bytes]] = {}
+    for r in rows:
+        by.setdefault(r[1], []).append(bytes(r[3]))
     for k, lang in enumerate(languages):
-        own = [bytes(r[3]) for r in rows if r[1] == lang]
+        own = by.get(lang, [])
         for i in rng.permutation(len(own))[:SAMPLE_WINDOWS].tolist():
             xs.append(np.frombuffer(own[i].ljust(WINDOW, b"\0"), np.uint8))
             ys.append(k)

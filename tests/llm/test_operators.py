@@ -195,6 +195,12 @@ def test_language_held_out(spark, odd):
     assert rows(language.identify(empty(odd))) == []
 
 
+def test_language_learns_every_label(spark):
+    d = [(2 * i + k, f"w{i} x{i} " * 6, f"l{i:03d}") for i in range(230) for k in (0, 1)]
+    net = language.train(spark.createDataFrame(d, "doc_id long, text string, lang string"))
+    assert net.languages == [f"l{i:03d}" for i in range(230)]
+
+
 def test_quality_selects_what_looks_like_the_target(spark, odd):
     docs = spark.createDataFrame([(i, ("good fine words here " if i % 2 else "junk spam noise trash ") * 5) for i in range(100)],
                                  "doc_id long, text string")
