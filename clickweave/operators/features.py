@@ -73,7 +73,8 @@ def add_temporal_features(df: DataFrame) -> DataFrame:
 
 def add_aggregated_features(df: DataFrame, recent_seconds: int = RECENT_WINDOW_SECONDS,
                             tie_break: str | None = None,
-                            bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                            bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+                            earlier: DataFrame | None = None) -> DataFrame:
     """action_sequence, session_action_count, recent_view_count,
     recent_cart_count, avg_price_viewed (D1-D5).
 
@@ -86,15 +87,18 @@ def add_aggregated_features(df: DataFrame, recent_seconds: int = RECENT_WINDOW_S
       price of those views (NULL without views).
 
     ``bucket_seconds=None`` runs the plain windows (one task per user);
-    otherwise the per-second plan of the module docstring.
+    otherwise the per-second plan of the module docstring. ``earlier`` are
+    events that count for those of ``df`` but get no row themselves; only
+    their per-second sums are used, so their order inside a second of ``df``
+    is open (they come first).
     """
     frame = int(recent_seconds)
     cols = df.columns
     if bucket_seconds is None:
         return _plain_windows(df, frame, tie_break).select(*cols, *WINDOW_COLS)
     width = max(int(bucket_seconds), frame, 1)
-    recent = _recent_by_second(df, frame, width)
-    before = _session_before(df, width)
+    recent = _recent_by_second(df, frame, width, earlier)
+    before = _session_before(df, width, earlier)
 
     events = df.withColumns({"_sec": epoch_seconds("timestamp"), "_kind": F.lit(_EVENT)})
     rows = (events.unionByName(recent.withColumn("_kind", F.lit(_RECENT)), allowMissingColumns=True)
@@ -130,21 +134,35 @@ _EVENT, _RECENT, _BEFORE = 0, 1, 2
 _HOME = 0
 
 
-def _recent_by_second(df: DataFrame, frame: int, width: int) -> DataFrame:
+def activity_sums(df: DataFrame) -> DataFrame:
+    """Views, carts, priced views and their price per (user, second)."""
+    action = F.col("action_type")
+    view_price = F.when(action == "view", F.col("product_price").cast("double"))
+    return (df.select("user_id", epoch_seconds("timestamp").alias("_sec"),
+                      F.when(action == "view", 1).otherwise(0).alias("_v"),
+                      F.when(action == "add_to_cart", 1).otherwise(0).alias("_c"),
+                      view_price.alias("_p"))
+            .groupBy("user_id", "_sec")
+            .agg(F.sum("_v").alias("_v"), F.sum("_c").alias("_c"),
+                 F.count("_p").alias("_pn"), F.sum("_p").alias("_ps")))
+
+
+def session_sums(df: DataFrame) -> DataFrame:
+    """Events per (user, session, second)."""
+    return (df.select("user_id", "session_id", epoch_seconds("timestamp").alias("_sec"))
+            .groupBy("user_id", "session_id", "_sec").agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _recent_by_second(df: DataFrame, frame: int, width: int, earlier: DataFrame | None = None) -> DataFrame:
     """``(user_id, _sec, recent_view_count, recent_cart_count,
     avg_price_viewed)`` over ``[_sec - frame, _sec]``. The events are summed
     per (user, second) with a map-side combine; the sums are windowed in time
     buckets with halo rows, so no partition holds more than
     ``width + frame`` rows of a user, whatever the user's event rate."""
-    action = F.col("action_type")
-    view_price = F.when(action == "view", F.col("product_price").cast("double"))
-    per_user = (df.select("user_id", epoch_seconds("timestamp").alias("_sec"),
-                          F.when(action == "view", 1).otherwise(0).alias("_v"),
-                          F.when(action == "add_to_cart", 1).otherwise(0).alias("_c"),
-                          view_price.alias("_p"))
-                .groupBy("user_id", "_sec")
-                .agg(F.sum("_v").alias("_v"), F.sum("_c").alias("_c"),
-                     F.count("_p").alias("_pn"), F.sum("_p").alias("_ps")))
+    per_user = activity_sums(df)
+    if earlier is not None:
+        per_user = per_user.unionByName(activity_sums(earlier)).groupBy("user_id", "_sec").agg(
+            *[F.sum(c).alias(c) for c in ("_v", "_c", "_pn", "_ps")])
     tb = F.floor(F.col("_sec") / F.lit(width))
     spread = per_user.withColumn("_tb", tb).withColumn(
         "_buckets",
@@ -162,15 +180,18 @@ def _recent_by_second(df: DataFrame, frame: int, width: int) -> DataFrame:
             .where(F.col("_kind") == _HOME).drop("_kind"))
 
 
-def _session_before(df: DataFrame, width: int) -> DataFrame:
+def _session_before(df: DataFrame, width: int, earlier: DataFrame | None = None) -> DataFrame:
     """``(user_id, session_id, _sec, _before)``: events of the session in
-    earlier seconds (NULL times first). Events are counted per (user,
+    earlier seconds (NULL times first), and those of ``earlier`` in the same
+    second. Events are counted per (user,
     session, second) with a map-side combine; running sums inside
     ``(user, session, bucket)``; one offset row per bucket carries the
     earlier buckets' count, from a window over one row per bucket."""
-    seconds = (df.select("user_id", "session_id", epoch_seconds("timestamp").alias("_sec"))
-               .groupBy("user_id", "session_id", "_sec").agg(F.count(F.lit(1)).alias("_n")))
-    rows = seconds.select("user_id", "session_id", "_sec", "_n",
+    seconds = session_sums(df).withColumn("_early", F.lit(0).cast("long"))
+    if earlier is not None:
+        seconds = seconds.unionByName(session_sums(earlier).withColumn("_early", F.col("_n"))) \
+            .groupBy("user_id", "session_id", "_sec").agg(F.sum("_n").alias("_n"), F.sum("_early").alias("_early"))
+    rows = seconds.select("user_id", "session_id", "_sec", "_n", "_early",
                           F.floor(F.col("_sec") / F.lit(width)).alias("_bucket"))
     per_bucket = rows.groupBy("user_id", "session_id", "_bucket").agg(F.sum("_n").alias("_cnt"))
     earlier = Window.partitionBy("user_id", "session_id").orderBy(F.col("_bucket").asc_nulls_first()) \
@@ -183,7 +204,7 @@ def _session_before(df: DataFrame, width: int) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     return (home.unionByName(offsets, allowMissingColumns=True)
             .repartition("user_id", "session_id", "_bucket")
-            .withColumn("_before", F.coalesce(F.sum("_n").over(prior), F.lit(0).cast("long")))
+            .withColumn("_before", F.coalesce(F.sum("_n").over(prior), F.lit(0).cast("long")) + F.col("_early"))
             .where(~F.col("_offset"))
             .select("user_id", "session_id", "_sec", "_before"))
 
@@ -223,7 +244,8 @@ def add_user_segments(df: DataFrame) -> DataFrame:
 
 def process_user_behavior(df: DataFrame, recent_seconds: int = RECENT_WINDOW_SECONDS,
                           tie_break: str | None = None,
-                          bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                          bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                          earlier: DataFrame | None = None) -> DataFrame:
     """Full feature set: basic, temporal, windows, segments.
 
     The windows run on per-second rows at every size (``add_aggregated_features``).
@@ -234,7 +256,7 @@ def process_user_behavior(df: DataFrame, recent_seconds: int = RECENT_WINDOW_SEC
     """
     cols = df.columns
     windowed = add_aggregated_features(df, recent_seconds=recent_seconds, tie_break=tie_break,
-                                       bucket_seconds=bucket_seconds)
+                                       bucket_seconds=bucket_seconds, earlier=earlier)
     out = windowed.transform(add_basic_features).transform(add_temporal_features) \
         .transform(add_user_segments)
     return out.select(*cols, *BASIC_COLS, *TEMPORAL_COLS, *WINDOW_COLS, *SEGMENT_COLS)

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
+from .lookup import lookup
+from .topn import top_n
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 
@@ -87,28 +89,39 @@ def fit_als(encoded: DataFrame, rank: int = 10, max_iter: int = 10, reg: float =
     return als.fit(encoded)
 
 
-def _decode(recs: DataFrame, dicts: Dictionaries) -> DataFrame:
-    """``(user_idx, recommendations)`` -> ``user_id, rank, product_id,
-    rating`` (G5, E1, B17: array explode); ``rank`` 1 = best."""
-    flat = recs.select("user_idx", F.posexplode("recommendations").alias("_pos", "rec"))
-    flat = flat.select("user_idx", (F.col("_pos") + 1).alias("rank"),
-                       F.col("rec.product_idx").alias("product_idx"),
-                       F.col("rec.rating").cast("double").alias("rating"))
+def decode_ranked(flat: DataFrame, dicts: Dictionaries) -> DataFrame:
+    """``(user_idx, rank, product_idx, rating)`` -> ``user_id, rank,
+    product_id, rating`` (G5, E1). A product that is recommended to many users
+    is looked up without a shuffle of their rows."""
     users = dicts.users.select(F.col("idx").alias("user_idx"), F.col("label").alias("user_id"))
     items = dicts.products.select(F.col("idx").alias("product_idx"), F.col("label").alias("product_id"))
-    return (flat.join(items, "product_idx", "inner").join(users, "user_idx", "inner")
+    return (lookup(checkpoint(flat), items, "product_idx").join(users, "user_idx", "inner")
             .select("user_id", "rank", "product_id", "rating"))
 
 
+def _decode(recs: DataFrame, dicts: Dictionaries) -> DataFrame:
+    """``(user_idx, recommendations)`` -> ``user_id, rank, product_id,
+    rating`` (B17: array explode); ``rank`` 1 = best."""
+    flat = recs.select("user_idx", F.posexplode("recommendations").alias("_pos", "rec"))
+    return decode_ranked(flat.select("user_idx", (F.col("_pos") + 1).alias("rank"), F.col("rec.product_idx").alias("product_idx"),
+                                     F.col("rec.rating").cast("double").alias("rating")), dicts)
+
+
+def _scored(users: DataFrame, model: ALSModel, dicts: Dictionaries, n: int) -> DataFrame:
+    best, _ = top_n(users, model.itemFactors, n)
+    return decode_ranked(best.select(F.col("user").cast("int").alias("user_idx"), "rank",
+                                     F.col("item").cast("int").alias("product_idx"), F.col("score").alias("rating")), dicts)
+
+
 def recommend(model: ALSModel, dicts: Dictionaries, users: DataFrame, n: int = 10,
               user_col: str = "user_id") -> DataFrame:
     """Top-``n`` products for the users in ``users[user_col]`` (G4, E2, F2);
-    unknown users get no rows."""
+    unknown users get no rows. Exact (``operators.topn``)."""
     wanted = (users.select(F.col(user_col).alias("label")).distinct()
-              .join(dicts.users, "label", "inner").select(F.col("idx").alias("user_idx")))
-    return _decode(model.recommendForUserSubset(wanted, n), dicts)
+              .join(dicts.users, "label", "inner").select(F.col("idx").alias("id")))
+    return _scored(model.userFactors.join(wanted, "id", "left_semi"), model, dicts, n)
 
 
 def recommend_all(model: ALSModel, dicts: Dictionaries, n: int = 10) -> DataFrame:
     """Top-``n`` products for every known user, as a table."""
-    return _decode(model.recommendForAllUsers(n), dicts)
+    return _scored(model.userFactors, model, dicts, n)
