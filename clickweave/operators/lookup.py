@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.001
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Inner join on ``key``, which ``table`` holds at most once.
+def lookup(rows: DataFrame, table: DataFrame, key: str, share: float = HOT_SHARE, how: str = "inner") -> DataFrame:
+    """Inner or left join on ``key``, which ``table`` holds at most once. Rows
+    without a key find nothing.
 
     The rows are counted per key first (with a map-side combine). Rows of the
     hot keys meet their entry by broadcast and are not shuffled; the rest is
@@ -21,7 +22,6 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, share: float = HOT_SHARE
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = rows.count()
     hot = counts.where(F.col("_n") > share * total).select(key)
-    entries = F.broadcast(table.join(F.broadcast(hot), key, "left_semi").withColumn("_hot", F.lit(True)))
-    met = rows.join(entries, key)
-    rest = rows.join(F.broadcast(hot), key, "left_anti").join(table, key)
-    return met.drop("_hot").unionByName(rest)
+    met = rows.join(F.broadcast(hot.join(table, key, how)), key)
+    rest = rows.join(F.broadcast(hot), key, "left_anti").join(table, key, how)
+    return met.unionByName(rest)

@@ -84,6 +84,12 @@ def test_lookup_of_hot_and_cold_keys(spark):
     rows = spark.range(2000).selectExpr("id", "cast(if(id % 3 = 0, 5, id % 400) as int) as k")
     table = spark.range(10, 420).selectExpr("cast(id as int) as k", "concat('n', id) as name").unionAll(
         spark.createDataFrame([(5, "n5")], "k int, name string"))
+    rows = rows.union(spark.createDataFrame([(5000, None)], "id long, k int"))
+    for how in ("inner", "left"):
+        want = sorted(map(str, rows.join(table.where("k <> 5"), "k", how).select("id", "k", "name").collect()))
+        for share in (0.0, 0.01, 1.0):
+            got = lookup(rows, table.where("k <> 5"), "k", share, how).select("id", "k", "name")
+            assert sorted(map(str, got.collect())) == want
     want = sorted(map(tuple, rows.join(table, "k").select("id", "k", "name").collect()))
     for share in (0.0, 0.01, 1.0):
         assert sorted(map(tuple, lookup(rows, table, "k", share).select("id", "k", "name").collect())) == want
