@@ -6,10 +6,11 @@ and may stand behind the encoding of what is left of it. Two tokens may stand
 side by side if merging their bytes anew would keep the border between them.
 The distinct words of a block form a trie; in sorted order its paths are
 walked depth-first, and the last-token states of a shared prefix are computed
-once. Encoded words stay in a bounded cache of the Python worker.
+once. Encoded words stay in a bounded cache of the Python worker, under the
+words themselves.
 
-The vocabulary file is read on the driver and broadcast (its size is that of
-the file: some megabytes, whatever the input).
+The vocabulary file is read on the driver and broadcast, with the classes of
+all code points (some megabytes, whatever the input).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import json
 import struct
-import unicodedata
+import zlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -31,10 +32,8 @@ from clickweave.llm.common import as_id, as_text
 CACHE_WORDS = 250_000
 CACHE_PAIRS = 300_000
 BLOCK_CHARS = 1 << 18
-# Words of more characters are compared as they are, not by their hash.
-LONG_WORD = 200
-# An odd multiplier and its inverse modulo 2**64.
-HASH_BASE = (0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+# Longer words are not kept from block to block, which bounds the cache.
+CACHED_CHARS = 200
 # fixed value: how byte-level BPE cuts a text into words before any merge
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -53,10 +52,26 @@ def byte_symbols() -> dict[str, int]:
     return out | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def letter_classes() -> np.ndarray:
+    """Of each code point: 1 letter, 2 number, 3 white space, 0 anything else, as
+    the tokenizers library sees it. Its Unicode version is not this Python's."""
+    from tokenizers import Regex, pre_tokenizers
+    points = np.array([c for c in range(0x110000) if not 0xD800 <= c < 0xE000])
+    text = "".join(map(chr, points.tolist()))
+    out = np.zeros(0x110000, np.uint8)
+    for number, pattern in ((1, r"\p{L}+"), (2, r"\p{N}+"), (3, r"\s+")):
+        other = np.zeros(len(points) + 1, np.int64)
+        for _, (a, b) in pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(text):
+            other[a] += 1
+            other[b] -= 1
+        out[points[np.cumsum(other[:-1]) == 0]] = number
+    return out
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file (tokenizers JSON)."""
 
-    def __init__(self, source: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, source: str, classes: np.ndarray, cache_words: int = CACHE_WORDS):
         import regex
         spec = json.loads(source)
         sym = byte_symbols()
@@ -91,12 +106,8 @@ class Codec:
         self.sizes = np.array([self.length_of.get(i, 0) for i in range(top)], np.int64)
         self.spelled_at = np.cumsum(self.sizes) - self.sizes
         self.spelled = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(top)), np.uint8)
-        # of each code point: 1 letter, 2 number, 3 white space, 0 anything else
-        self.classes = np.array([{"L": 1, "N": 2}.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)], np.uint8)
-        self.classes[[ord(c) for c in regex.findall(r"\s", "".join(map(chr, range(0x3001))))]] = 3
-        self.words = regex.compile(WORD_PATTERN)
-        self.powers = [np.ones(1, np.uint64)] * 2
-        self.cache: dict[int, bytes] = {}
+        self.classes = classes
+        self.cache: dict[str, bytes] = {}
         self.cache_words = cache_words
 
     def _merged(self, word: bytes, vocab: dict[bytes, int]) -> list[int]:
@@ -176,9 +187,9 @@ class Codec:
         """One text that holds an added token's own string, which is that one token."""
         parts, at = [], 0
         for m in self.added_cut.finditer(text):
-            parts += self.encode_words(self.words.findall(text[at:m.start()])) + [np.uint32(self.added[m.group()]).tobytes()]
+            parts += [*self.encode_block([text[at:m.start()]]), np.array([self.added[m.group()]], "<u4")]
             at = m.end()
-        return np.frombuffer(b"".join(parts + self.encode_words(self.words.findall(text[at:]))), "<u4")
+        return np.concatenate(parts + self.encode_block([text[at:]]))
 
     def cut(self, cp: np.ndarray, text_start: np.ndarray) -> np.ndarray:
         """Where the words of WORD_PATTERN begin. cp: the code points of some
@@ -210,14 +221,6 @@ class Codec:
             begin[stop[stop < len(cp)]] = True
         return np.flatnonzero(begin)
 
-    def _hashes(self, cp: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """A 64-bit polynomial hash of each word."""
-        if len(self.powers[0]) < len(cp) + 1:
-            n = len(cp) + (len(cp) >> 3) + 1
-            self.powers = [np.cumprod(np.where(np.arange(n + 1) == 0, np.uint64(1), np.uint64(r))) for r in HASH_BASE]
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((cp + np.uint64(1)) * self.powers[0][:len(cp)])])
-        return (total[end] - total[start]) * self.powers[1][start] + (end - start).astype(np.uint64)
-
     def encode_block(self, texts: list[str]) -> list[np.ndarray]:
         """Texts -> their ids. Equal words of the block are looked up once."""
         if any(a in t for a in self.added for t in texts):
@@ -231,28 +234,17 @@ class Codec:
         text_start = np.zeros(len(cp), bool)
         text_start[first[size > 0]] = True
         start = self.cut(cp, text_start)
-        end = np.append(start[1:], len(cp))
-        h = self._hashes(cp, start, end)
-        long = np.flatnonzero(end - start > LONG_WORD)  # too long to trust the hash
-        h[long] = start[long].astype(np.uint64) + np.uint64(1 << 63)
-        distinct, where, word = np.unique(h, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        found = list(map(self.cache.get, keys))
-        new = [i for i, f in enumerate(found) if f is None]
+        words = list(map(joined.__getitem__, map(slice, start.tolist(), [*start[1:].tolist(), len(cp)])))
+        found = list(map(self.cache.get, words))
+        new = list({w for w, f in zip(words, found) if f is None})
         if new:
-            a, b = start[where[new]].tolist(), end[where[new]].tolist()
+            packed = dict(zip(new, self.encode_words(new)))
+            found = [packed[w] if f is None else f for w, f in zip(words, found)]
             if len(self.cache) + len(new) > self.cache_words:
                 self.cache.clear()
-            for i, x, y, packed in zip(new, a, b, self.encode_words([joined[x:y] for x, y in zip(a, b)])):
-                found[i] = packed
-                if y - x <= LONG_WORD:
-                    self.cache[keys[i]] = packed
-        ids = np.frombuffer(b"".join(found), "<u4")
-        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        at = np.cumsum(n) - n
-        m = n[word]
-        stop = np.cumsum(m)
-        flat = ids[np.repeat(at[word] - (stop - m), m) + np.arange(stop[-1])]
+            self.cache.update((w, f) for w, f in packed.items() if len(w) <= CACHED_CHARS)
+        flat = np.frombuffer(b"".join(found), "<u4")
+        stop = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4)
         # ids before each text's first word
         before = np.concatenate([[0], stop])[np.searchsorted(start, np.append(first, len(cp)))]
         return [flat[x:y] for x, y in zip(before[:-1].tolist(), before[1:].tolist())]
@@ -274,7 +266,8 @@ def _codec(vocabulary) -> Codec:
     """One codec in a Python worker, whatever the number of its tasks."""
     if vocabulary.value[0] not in _codecs:
         _codecs.clear()
-        _codecs[vocabulary.value[0]] = Codec(vocabulary.value[1])
+        source, classes = vocabulary.value[1:]
+        _codecs[vocabulary.value[0]] = Codec(source, np.frombuffer(zlib.decompress(classes), np.uint8))
     return _codecs[vocabulary.value[0]]
 
 
@@ -309,7 +302,7 @@ def _encode(batches: Iterator[pd.DataFrame], vocabulary, with_ids: bool) -> Iter
 def broadcast_vocabulary(spark, path: str | None = None):
     with open(path or default_vocabulary(), encoding="utf-8") as f:
         source = f.read()
-    return spark.sparkContext.broadcast((hashlib.sha256(source.encode()).hexdigest(), source))
+    return spark.sparkContext.broadcast((hashlib.sha256(source.encode()).hexdigest(), source, zlib.compress(letter_classes().tobytes())))
 
 
 def encode_decode(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
