@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import as_id, as_text, id_remainder
+from clickweave.llm.common import as_id, as_text, checkpoint, id_remainder
 
 # fixed value: letters that a character may stand for
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "il"}
@@ -38,10 +38,15 @@ MIX = (0.85, 0.13, 0.02)
 # Log-probabilities of the channel.
 LEETED, UNCHANGED, GAP_KEPT, GAP_ADDED, REPEATED = math.log(0.4), math.log(0.002), math.log(0.4), math.log(0.6), math.log(0.5)
 WEAK_KEPT = math.log(0.6)
-# Bounds of the training sample, by label, and of the lexicon.
+# Documents of the training sample, by label.
 SAMPLE = {1: 4000, 0: 6000}
-MAX_FEATURES = 2000
-MIN_SUPPORT, MIN_SHARE, MIN_PRECISION = 4, 0.01, 0.985
+# A feature of the lexicon is in so many, and in this share, of the sample's toxic
+# texts; surely (by Wilson's lower bound) so large a share of its texts is toxic;
+# and it has no more clean texts than the surest feature's share of them explains:
+# wrong labels give every feature some.
+MIN_SUPPORT, MIN_SHARE, LEAST_SURE = 4, 0.01, 0.6
+# Standard errors between a share and what it surely is.
+SURE = 2.0
 PREFIXES = (4, 5)
 BLOCK_CHARS = 1 << 18
 CACHE_SPANS = 50_000
@@ -264,8 +269,10 @@ def learn(docs: DataFrame, labels: DataFrame, logp, mod: int, held_out: int) ->
     Labels of documents whose remainder is not ``held_out``; about SAMPLE[y]
     documents of label y are drawn by a hash of doc_id, and texts that are the
     same count once. A feature is taken if at least MIN_SUPPORT texts and MIN_SHARE of the
-    toxic ones have it and it nearly always means toxic; at most MAX_FEATURES,
-    the most frequent first."""
+    toxic ones have it, its share of toxic texts is surely LEAST_SURE or more, and
+    its clean texts are no more than the surest feature has by share, within
+    SURE standard errors. So the lexicon has fewer entries than the toxic
+    sample has words, by MIN_SHARE."""
     y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     y = y.where(F.col("toxic").isin(0, 1) & (id_remainder("doc_id", mod) != held_out)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = {r[0]: r[1] for r in y.groupBy("toxic").count().collect()}
@@ -284,8 +291,14 @@ def learn(docs: DataFrame, labels: DataFrame, logp, mod: int, held_out: int) ->
     each = rows.select("doc_id", "toxic", F.explode("f").alias("f"))
     support = max(MIN_SUPPORT, math.ceil(MIN_SHARE * size.get(1, 0)))
     found = each.groupBy("f").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).where(F.col("t") >= support)
-    precise = found.withColumn("p", (F.col("t") + 0.1) / (F.col("t") + F.col("c") * scale + 0.2)).where(F.col("p") >= MIN_PRECISION)
-    best = precise.orderBy(F.desc("t"), "f").limit(MAX_FEATURES).select("f", "p").collect()
+    found = found.withColumn("n", F.col("t") + F.col("c") * scale).withColumn("p", (F.col("t") + 0.1) / (F.col("n") + 0.2))
+    share, z2 = F.col("t") / F.col("n"), SURE * SURE
+    low = (share + z2 / (2 * F.col("n")) - SURE * F.sqrt(share * (1 - share) / F.col("n") + z2 / (4 * F.col("n") * F.col("n")))) / (1 + z2 / F.col("n"))
+    found = checkpoint(found.withColumn("low", low))
+    q = found.agg(F.max_by("p", F.struct("low", "t"))).first()[0] or 1.0
+    explained = F.col("n") * (1 - q) + SURE * F.sqrt(F.col("n") * q * (1 - q))
+    precise = found.where((F.col("low") >= LEAST_SURE) & (F.col("c") * scale <= explained))
+    best = precise.select("f", "p").collect()
     done = each.where("toxic = 1").join(precise, "f", "left_semi").select("doc_id").distinct().count()
     missed = (size.get(1, 0) - done) / (size.get(1, 0) - done + size.get(0, 0) * scale + 1)
     rows.unpersist()
