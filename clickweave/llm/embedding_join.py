@@ -6,8 +6,11 @@ longer. The vectors are projected on their leading principal dimensions, laid
 on a grid with cells of width eps and sorted by cell, dimension by dimension
 (the epsilon grid order). The sequence is cut into blocks. From the root down,
 pairs of sequence intervals are split into pairs of their parts; a pair whose
-bounding boxes lie further apart than eps is skipped. What is left at the
-bottom are block pairs, whose vectors are compared in double precision.
+bounding boxes lie further apart than eps is skipped. Inside a block pair this
+goes on down to intervals of LEAF vectors, with boxes in all axes kept and in
+the length of what the axes leave over. What is left are leaf pairs. There the
+projections and the lengths left over bound each pair's cosine from above, and
+only pairs whose bound reaches the threshold are compared in double precision.
 
 Equal vectors are one entry with a multiplicity, so a vector that a third of
 all rows share is compared once. A block pair emits, for each vector that has
@@ -19,21 +22,26 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import checkpoint, levels, shuffle_partitions
+from clickweave.llm.common import checkpoint, levels
 from clickweave.llm.components import connected_components
 
 THRESHOLD = 0.9
-# Principal dimensions of the grid order and of the bounding boxes.
-LEADING = 8
-# Vectors in a block; a block pair is compared in stripes of STRIPE rows.
-BLOCK = 1536
-STRIPE = 256
+# Principal dimensions of the grid order and of the blocks' bounding boxes, and
+# those that bound cosines inside a block pair.
+LEADING, BOUNDING = 8, 32
+# Components that the axes are computed from; longer vectors are seen by their first.
+AXES_OF = 1024
+# Bytes of a block, of one vector at least: a block pair is shuffled whole, so
+# larger ones shuffle less.
+BLOCK_BYTES = 6 << 20
+LEAF = 256
 # Parts that an interval of the sequence is split into.
 FANOUT = 8
 
@@ -56,21 +64,39 @@ def keyed(vectors: DataFrame) -> DataFrame:
     return v.withColumn("k", F.struct(F.xxhash64(F.lit(1), "embedding").alias("a"), F.xxhash64(F.lit(2), "embedding").alias("b")))
 
 
-def unit(rows, width: int) -> np.ndarray:
-    """Vectors of unit length, filled up with zeros to ``width``."""
-    out = np.zeros((len(rows), width))
-    for i, r in enumerate(rows):
-        out[i, :len(r)] = r
+def unit(rows) -> np.ndarray:
+    """Vectors of one length, scaled to unit length."""
+    out = np.array([np.asarray(r, float) for r in rows])
     out /= np.abs(out).max(axis=1, keepdims=True)  # no overflow in the squares
     return out / np.sqrt((out * out).sum(axis=1, keepdims=True))
 
 
+def by_size(embeddings: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(positions, unit vectors) for each number of components in a batch."""
+    size = embeddings.map(len).to_numpy()
+    for n in np.unique(size):
+        at = np.flatnonzero(size == n)
+        yield at, unit(embeddings.iloc[at])
+
+
+def projected(embeddings: pd.Series, axes: np.ndarray) -> np.ndarray:
+    """Projections on the axes; components beyond those of the axes count as none,
+    which makes no distance longer either."""
+    out = np.zeros((len(embeddings), axes.shape[1]))
+    for at, x in by_size(embeddings):
+        n = min(x.shape[1], len(axes))
+        out[at] = x[:, :n] @ axes[:n]
+    return out
+
+
 def _moments(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     total = np.zeros((width, width + 1))
     for b in batches:
-        x = unit(b["embedding"], width)
-        total[:, :width] += x.T @ x
-        total[:, width] += x.sum(axis=0)
+        for _, x in by_size(b["embedding"]):
+            x = x[:, :width]
+            n = x.shape[1]
+            total[:n, :n] += x.T @ x
+            total[:n, width] += x.sum(axis=0)
     yield pd.DataFrame({"i": np.arange(width), "m": list(total)})
 
 
@@ -89,47 +115,57 @@ def principal_axes(distinct: DataFrame, width: int, leading: int) -> np.ndarray:
 
 def _project(batches: Iterator[pd.DataFrame], axes: np.ndarray, eps: float) -> Iterator[pd.DataFrame]:
     for b in batches:
-        p = unit(b["embedding"], len(axes)) @ axes
+        p = projected(b["embedding"], axes)
         out = b[["vec_id", "copies", "embedding"]].copy()
+        out["size"] = out["embedding"].map(len).astype(np.int32)
         cells = np.floor(p / eps).astype(np.int32)
         for d in range(axes.shape[1]):
             out[f"c{d}"] = cells[:, d]
         yield out
 
 
-def _cut(batches: Iterator[pd.DataFrame], axes: np.ndarray, block: int) -> Iterator[pd.DataFrame]:
-    """One sorted partition -> its blocks."""
+def _cut(batches: Iterator[pd.DataFrame], axes: np.ndarray, block: int | None) -> Iterator[pd.DataFrame]:
+    """One sorted partition -> its blocks, each of vectors of one length."""
     from pyspark import TaskContext
     place, at, rest = TaskContext.get().partitionId(), 0, None
 
     def made(b):
-        p = unit(b["embedding"], len(axes)) @ axes
-        return pd.DataFrame({
+        nonlocal at
+        p, size = projected(b["embedding"], axes), float(len(b["embedding"].iloc[0]))
+        out = pd.DataFrame({
             "part": [place], "nr": [at], "ids": [b["vec_id"].to_numpy()], "copies": [b["copies"].to_numpy()],
             "vectors": [np.concatenate([np.asarray(v, float) for v in b["embedding"]]).tobytes()],
-            "sizes": [np.array([len(v) for v in b["embedding"]], np.int32)], "lo": [p.min(axis=0)], "hi": [p.max(axis=0)]})
-
-    for b in batches:
-        rest = b if rest is None else pd.concat([rest, b], ignore_index=True)
-        while len(rest) >= block:
-            yield made(rest.iloc[:block])
-            at += 1
-            rest = rest.iloc[block:]
-    if rest is not None and len(rest):
-        yield made(rest)
-
-
-def blocks(distinct: DataFrame, axes: np.ndarray, eps: float, block: int) -> DataFrame:
-    """(block, ids, copies, vectors, sizes, lo, hi), numbered along the sequence."""
+            "lo": [np.append(p.min(axis=0), size)], "hi": [np.append(p.max(axis=0), size)]})
+        at += 1
+        return out
+
+    for b in chain(batches, [None]):
+        rest = b if rest is None else rest if b is None else pd.concat([rest, b], ignore_index=True)
+        while rest is not None and len(rest):
+            size = int(rest["size"].iloc[0])
+            same = int((rest["size"] == size).sum())  # sorted by size
+            most = block or max(1, BLOCK_BYTES // (8 * size))
+            if b is not None and same == len(rest) < most:
+                break
+            yield made(rest.iloc[:min(most, same)])
+            rest = rest.iloc[min(most, same):]
+
+
+def blocks(distinct: DataFrame, axes: np.ndarray, eps: float, block: int | None = None) -> DataFrame:
+    """(block, ids, copies, vectors, lo, hi), numbered along the sequence, which
+    is ordered by length first. The boxes have the length as their last axis."""
     spark = distinct.sparkSession
+    size = distinct.agg(F.sum(F.size("embedding") * F.lit(8).cast("long"))).first()[0] or 0
+    # a block each, nearly
+    ranges = max(1, -(-distinct.count() // block) if block else -(-size // BLOCK_BYTES))
     cells = [f"c{d}" for d in range(axes.shape[1])]
     laid = distinct.mapInPandas(
         partial(_project, axes=axes, eps=eps),
-        "vec_id long, copies long, embedding array<double>, " + ", ".join(f"{c} int" for c in cells))
-    order = [*cells, "vec_id"]
-    cut = checkpoint(laid.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order).mapInPandas(
+        "vec_id long, copies long, embedding array<double>, size int, " + ", ".join(f"{c} int" for c in cells))
+    order = ["size", *cells, "vec_id"]
+    cut = checkpoint(laid.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInPandas(
         partial(_cut, axes=axes, block=block),
-        "part int, nr int, ids array<long>, copies array<long>, vectors binary, sizes array<int>, lo array<double>, hi array<double>"))
+        "part int, nr int, ids array<long>, copies array<long>, vectors binary, lo array<double>, hi array<double>"))
     # one row a partition
     before, offsets = 0, []
     for part, n in cut.groupBy("part").agg(F.count("*")).orderBy("part").collect():
@@ -162,55 +198,91 @@ def near_blocks(boxes: DataFrame, n: int, dims: int, eps: float, fanout: int = F
     return pairs
 
 
-def _load(ids, copies, vectors, sizes):
-    sizes = np.asarray(sizes, np.int64)
-    flat = np.frombuffer(vectors, float)
-    if len(sizes) and (sizes == sizes[0]).all():
-        rows = flat.reshape(len(sizes), -1)
-    else:
-        rows = np.split(flat, np.cumsum(sizes)[:-1])
-    return np.asarray(ids, np.int64), np.asarray(copies, np.int64), unit(rows, int(sizes.max())), sizes
-
-
-def pair_links(x, y, same: bool, threshold: float) -> pd.DataFrame:
-    """Links between two loaded blocks: (node, links, other), a row for each
-    vector that has any: their number, and a vector of the same piece."""
-    (xi, xc, xv, xs), (yi, yc, yv, ys) = x, y
-    width = max(xv.shape[1], yv.shape[1])
-    xv, yv = (np.pad(v, ((0, 0), (0, width - v.shape[1]))) for v in (xv, yv))
-    mixed = (xs != xs[0]).any() or (ys != xs[0]).any()
-    x_links, y_links = np.zeros(len(xi), np.int64), np.zeros(len(yi), np.int64)
+class Side:
+    """A loaded block with what bounds its cosines: projections, lengths left over
+    (raised a little, for rounding), and both of each leaf as boxes."""
+
+    def __init__(self, ids, copies, vectors: bytes, axes: np.ndarray):
+        self.ids, self.copies = np.asarray(ids, np.int64), np.asarray(copies, np.int64)
+        self.vectors = unit(np.frombuffer(vectors, float).reshape(len(self.ids), -1))
+        n = min(self.vectors.shape[1], len(axes))
+        self.seen = self.vectors[:, :n] @ axes[:n]
+        rest = np.sqrt(np.maximum(0.0, 1.0 - (self.seen * self.seen).sum(axis=1)) + 1e-12)
+        self.rest = rest + 1e-9
+        self.starts = range(0, len(self.ids), LEAF)
+        box = np.column_stack([self.seen, rest])
+        self.low = np.minimum.reduceat(box, list(self.starts))
+        self.high = np.maximum.reduceat(box, list(self.starts))
+
+
+def leaf_pairs(x: Side, y: Side, same: bool, eps: float):
+    """(leaf of x, leaf of y) that are not provably further apart than eps: halves
+    of the two sequences of leaves are paired, and provably distant pairs dropped."""
+    def box(side, lo, hi):
+        return side.low[lo:hi].min(axis=0), side.high[lo:hi].max(axis=0)
+
+    todo = [(0, len(x.starts), 0, len(y.starts))]
+    while todo:
+        a, b, c, d = todo.pop()
+        if same and d <= a:
+            continue
+        (xl, xh), (yl, yh) = box(x, a, b), box(y, c, d)
+        gap = np.maximum(0.0, np.maximum(xl - yh, yl - xh))
+        if (gap * gap).sum() > (eps + 1e-6) ** 2:
+            continue
+        if b - a == 1 and d - c == 1:
+            yield a, c
+        elif b - a >= d - c:
+            m = (a + b) // 2
+            todo += [(a, m, c, d), (m, b, c, d)]
+        else:
+            m = (c + d) // 2
+            todo += [(a, b, c, m), (a, b, m, d)]
+
+
+def pair_links(x: Side, y: Side, same: bool, threshold: float) -> tuple[pd.DataFrame, dict]:
+    """Links between two blocks: (node, links, other), a row for each vector that
+    has any: their number, and a vector of the same piece; and how many pairs
+    of leaves, and of vectors, were looked at."""
+    x_links, y_links = np.zeros(len(x.ids), np.int64), np.zeros(len(y.ids), np.int64)
     # labels: the positions in x, then those in y (one set if it is one block)
-    shift = 0 if same else len(xi)
-    label = np.arange(shift + len(yi))
-    edges = []
-    for lo in range(0, len(xi), STRIPE):
-        part = slice(lo, lo + STRIPE)
-        cos = xv[part] @ yv.T
-        near = cos >= threshold
-        close = np.argwhere(np.abs(cos - threshold) < 1e-12)  # rounding may decide: sum with one rounding
-        for i, j in close.tolist():
-            near[i, j] = math.fsum(xv[lo + i] * yv[j]) >= threshold
-        if mixed:
-            near &= xs[part, None] == ys[None, :]
-        if same:
-            near[np.arange(len(near)), lo + np.arange(len(near))] = False
-        if not near.any():
+    shift = 0 if same else len(x.ids)
+    label = np.arange(shift + len(y.ids))
+    edges, looked = [], {"leaves": 0, "compared": 0}
+    eps = math.sqrt(max(0.0, 2 - 2 * threshold))
+    for k, m in leaf_pairs(x, y, same, eps):
+        if same and m < k:
             continue
-        x_links[part] += near @ yc
-        if not same:
-            y_links += xc[part] @ near
-        i, j = np.nonzero(near)
-        i, j = i + lo, j + shift
-        edges.append((i, j))
+        looked["leaves"] += 1
+        lo, other = x.starts[k], y.starts[m]
+        p, q = slice(lo, lo + LEAF), slice(other, other + LEAF)
+        bound = x.seen[p] @ y.seen[q].T + x.rest[p, None] * y.rest[None, q]
+        i, j = np.nonzero(bound >= threshold - 1e-9)
+        if same and k == m:
+            i, j = i[i < j], j[i < j]
+        if not len(i):
+            continue
+        looked["compared"] += len(i)
+        if 16 * len(i) > bound.size:
+            cos = (x.vectors[p] @ y.vectors[q].T)[i, j]
+        else:
+            cos = np.einsum("ij,ij->i", x.vectors[lo + i], y.vectors[other + j])
+        i, j = i + lo, j + other
+        near = cos >= threshold
+        for n in np.flatnonzero(np.abs(cos - threshold) < 1e-12):  # rounding may decide: sum with one rounding
+            near[n] = math.fsum(x.vectors[i[n]] * y.vectors[j[n]]) >= threshold
+        i, j = i[near], j[near]
+        np.add.at(x_links, i, y.copies[j])
+        np.add.at(x_links if same else y_links, j, x.copies[i])
+        edges.append((i, j + shift))
         if sum(len(e[0]) for e in edges) > 1 << 20:
             _settle(label, edges)
             edges = []
     _settle(label, edges)
-    nodes = xi if same else np.concatenate([xi, yi])
+    nodes = x.ids if same else np.concatenate([x.ids, y.ids])
     links = x_links if same else np.concatenate([x_links, y_links])
     some = links > 0
-    return pd.DataFrame({"node": nodes[some], "links": links[some], "other": nodes[label[some]]})
+    return pd.DataFrame({"node": nodes[some], "links": links[some], "other": nodes[label[some]]}), looked
 
 
 def _settle(label: np.ndarray, edges: list) -> None:
@@ -229,16 +301,14 @@ def _settle(label: np.ndarray, edges: list) -> None:
             label[:] = label[label]
 
 
-def _join(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        for r in b.itertuples(index=False):
-            x = _load(r.x_ids, r.x_copies, r.x_vectors, r.x_sizes)
-            y = x if r.a == r.b else _load(r.y_ids, r.y_copies, r.y_vectors, r.y_sizes)
-            yield pair_links(x, y, r.a == r.b, threshold)
+def _join(group: pd.DataFrame, axes: np.ndarray, threshold: float) -> pd.DataFrame:
+    """One block pair: two rows, or one of a block with itself."""
+    sides = [Side(r.ids, r.copies, r.vectors, axes) for r in group.sort_values("side").itertuples(index=False)]
+    return pair_links(sides[0], sides[-1], len(sides) == 1, threshold)[0]
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, leading: int = LEADING,
-                    block: int = BLOCK) -> DataFrame:
+                    block: int | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per input row.
 
     Vectors link with a cosine of ``threshold`` or more in double precision.
@@ -251,17 +321,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, leading: i
     """
     eps = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
     distinct = checkpoint(distinct_vectors(vectors))
-    width = distinct.agg(F.max(F.size("embedding"))).first()[0] or 1
+    width = min(AXES_OF, distinct.agg(F.max(F.size("embedding"))).first()[0] or 1)
     leading = min(leading, width)
-    axes = principal_axes(distinct, width, leading) if distinct.take(1) else np.eye(width, leading)
-    cut = checkpoint(blocks(distinct, axes, eps, block))
+    axes = principal_axes(distinct, width, max(leading, min(BOUNDING, width))) if distinct.take(1) else np.eye(width, leading)
+    cut = checkpoint(blocks(distinct, axes[:, :leading], eps, block))
     n = cut.count()
-    pairs = near_blocks(cut.select("block", "lo", "hi"), n, leading, eps)
-    side = lambda p, key: cut.select(F.col("block").alias(key), *[F.col(c).alias(f"{p}_{c}") for c in ("ids", "copies", "vectors", "sizes")])
-    met = pairs.join(side("x", "a"), "a").join(side("y", "b"), "b")
-    spark = vectors.sparkSession
-    met = met.repartition(shuffle_partitions(spark), "a", "b")
-    found = checkpoint(met.mapInPandas(partial(_join, threshold=threshold), "node long, links long, other long"))
+    pairs = near_blocks(cut.select("block", "lo", "hi"), n, leading + 1, eps)
+    sides = pairs.select("a", "b", F.col("a").alias("block"), F.lit(0).alias("side")).union(
+        pairs.where("a <> b").select("a", "b", F.col("b").alias("block"), F.lit(1).alias("side")))
+    # the blocks of a pair are shuffled once, to the pair
+    met = cut.select("block", "ids", "copies", "vectors").join(sides, "block")
+    found = checkpoint(met.groupBy("a", "b").applyInPandas(
+        lambda g: _join(g, axes, threshold), "node long, links long, other long"))
     comp = connected_components(found.select("node", "other"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     label = (distinct.select("k", F.col("vec_id").alias("node"), "copies").join(links, "node", "left")
