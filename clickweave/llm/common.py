@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from clickweave.session import checkpoint  # noqa: F401  (re-exported to the operators)
 
@@ -47,17 +48,24 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bounded_sample(df: DataFrame, label: str, ident: list[str], per_label: int, labels: list) -> DataFrame:
-    """About ``per_label`` rows of every value in ``labels``, chosen by a hash of
-    ``ident``: the same rows on every run, whatever the partitioning. A label
-    with fewer rows keeps them all."""
-    counts = {r[0]: r[1] for r in df.where(F.col(label).isin(labels)).groupBy(label).count().collect()}
-    share = F.lit(0.0)
-    for v, n in counts.items():
-        share = F.when(F.col(label) == v, F.lit(min(1.0, per_label / n))).otherwise(share)
+def bounded_sample(df: DataFrame, label: str, ident: list[str], per_label: int, labels: list | None = None) -> DataFrame:
+    """At most ``per_label`` rows of every label (or of those in ``labels``), with
+    ``rows_``, the number of rows that the label has: the rows with the smallest
+    hash of ``ident``, the same ones on every run, whatever the partitioning. A
+    label with fewer rows keeps them all, and none goes without.
+
+    Twice as many distinct hashes as wanted are let through on their value, then
+    the rows of each label are cut by rank, partition by partition first."""
+    if labels is not None:
+        df = df.where(F.col(label).isin(labels))
+    df = df.where(F.col(label).isNotNull()).withColumn("h_", F.xxhash64(F.lit(7), *ident))
+    counts = df.groupBy(label, "h_").agg(F.count("*").alias("k")).groupBy(F.col(label).alias("l_")).agg(
+        F.count("*").alias("distinct_"), F.sum("k").alias("rows_"))
     # 53 bits of the hash as a fraction of one
-    u = F.shiftrightunsigned(F.xxhash64(F.lit(7), *ident), 11) / F.lit(float(1 << 53))
-    return df.where(u < share)
+    u = F.shiftrightunsigned("h_", 11) / F.lit(float(1 << 53))
+    some = df.join(F.broadcast(counts), F.col(label) == F.col("l_")).where(u * F.col("distinct_") < 2.0 * per_label)
+    rank = F.row_number().over(Window.partitionBy(label).orderBy("h_"))
+    return some.withColumn("rank_", rank).where(F.col("rank_") <= per_label).drop("h_", "l_", "distinct_", "rank_")
 
 
 def packed_groups(n: int, keys):

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import as_id, as_text, id_remainder
+from clickweave.llm.common import as_id, as_text, bounded_sample, id_remainder
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -133,15 +133,6 @@ class ByteNet:
         return out
 
 
-def bounded_sample(df: DataFrame, label: str, ident: list[str], per_label: int, counts: dict) -> DataFrame:
-    """``common.bounded_sample`` of labels already counted: they come as a table,
-    as an expression of many labels gets too deep."""
-    share = df.sparkSession.createDataFrame([(v, min(1.0, per_label / n)) for v, n in counts.items()], "l_ string, share_ double")
-    u = F.shiftrightunsigned(F.xxhash64(F.lit(7), *ident), 11) / F.lit(float(1 << 53))
-    met = df.join(F.broadcast(share), F.col(label) == F.col("l_"))
-    return met.where(u < F.col("share_")).drop("l_", "share_")
-
-
 def _max_pool(z: np.ndarray) -> np.ndarray:
     """z.max(axis=1), by halves: long contiguous runs instead of many short ones."""
     while z.shape[1] > 1:
@@ -162,14 +153,13 @@ def train(labelled: DataFrame) -> ByteNet | None:
     """labelled: (doc_id, text, lang), no nulls. None if there is no row.
 
     Every language is learned. At most SAMPLE_DOCS documents of each, fewer if that
-    makes more than SAMPLE_TOTAL, are drawn by a hash of doc_id (about as many, by the hash), WINDOWS_PER_TEXT of
+    makes more than SAMPLE_TOTAL, are drawn by a hash of doc_id and text, WINDOWS_PER_TEXT of
     their windows reach the driver, and SAMPLE_WINDOWS of them are learned."""
-    counts = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
+    languages = sorted(r[0] for r in labelled.select("lang").distinct().collect())
+    if not languages:
         return None
-    languages = sorted(counts)
     per = min(SAMPLE_DOCS, max(LEAST_DOCS, SAMPLE_TOTAL // len(languages)))
-    sample = bounded_sample(labelled, "lang", ["doc_id"], per, counts)
+    sample = bounded_sample(labelled, "lang", ["doc_id", "text"], per)
     rows = sample.select("doc_id", "text", "lang").mapInPandas(
         _training_windows, "doc_id long, lang string, pos int, w binary").collect()
     rows.sort(key=lambda r: (r[0], r[2], bytes(r[3])))

@@ -2,9 +2,11 @@
 
 A rule decides the URLs of its host and all subdomains whose path starts with
 the rule's path; the longest fitting rule wins. The URLs that rules decide are
-the labelled ones: boosted trees learn from a bounded sample of them and judge
-the others by lexical features (lengths, depth, digit ratio, entropy,
-parameter counts, and statistics of the host's suffix).
+the labelled ones: boosted trees learn from a bounded sample of them, weighted
+for what it stands for, and judge the others by lexical features (lengths,
+depth, digit ratio, entropy, parameter counts, and statistics of the host's
+suffix). The statistics are counted over all labelled URLs; a URL that is learned
+from does not count in its own.
 """
 
 from __future__ import annotations
@@ -20,13 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.llm.common import as_id, as_text, ascii_lower, bounded_sample, checkpoint
+from clickweave.operators.lookup import lookup
 
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 # Bound of the training sample, for each verdict.
 SAMPLE = 8000
 TREES, DEPTH, SEED = 12, 4, 5
-# Suffixes (last labels of hosts) that get statistics of their own: the most frequent ones.
-SUFFIXES = 1000
 FEATURES = ("url_chars", "host_chars", "path_chars", "query_chars", "labels", "depth", "digit_ratio", "hyphens",
             "entropy", "parameters", "has_fragment", "is_https")
 
@@ -74,30 +75,43 @@ def with_features(judged: DataFrame) -> DataFrame:
     return out.withColumn("page_id", as_id("page_id")).withColumn("suffix", F.substring_index("host", ".", -1))
 
 
+def suffix_counts(labelled: DataFrame) -> DataFrame:
+    """(suffix, k, b): labelled URLs of each last label of a host, and blocked ones."""
+    return labelled.groupBy(F.substring_index("host", ".", -1).alias("suffix")).agg(
+        F.count("*").alias("k"), F.sum((F.col("verdict") == "block").cast("int")).alias("b"))
+
+
 def train(labelled: DataFrame):
-    """labelled: (page_id, url, host, path, verdict). (model, statistics of the
-    suffixes in the sample), or the only verdict there is, or None."""
+    """labelled: (page_id, url, host, path, verdict). (model, counts of all
+    suffixes), or the only verdict there is, or None.
+
+    At most SAMPLE URLs of each verdict are learned from, by a hash of id and
+    URL; their weights make up for the different rates of the verdicts."""
     verdicts = [r[0] for r in labelled.select("verdict").distinct().collect()]
     if len(verdicts) < 2:
         return verdicts[0] if verdicts else None
-    sample = checkpoint(with_features(bounded_sample(labelled, "verdict", ["page_id", "url"], SAMPLE, verdicts)))
-    n = sample.count()
-    suffixes = (sample.groupBy("suffix").agg(F.count("*").alias("k"), F.sum((F.col("verdict") == "block").cast("int")).alias("b"))
-                .orderBy(F.desc("k"), "suffix").limit(SUFFIXES)
-                .select("suffix", F.log1p("k").alias("size"), ((F.col("b") + 1) / (F.col("k") + 2)).alias("blocked")))
-    suffixes = checkpoint(suffixes)
-    rows = assembled(sample, suffixes).select("features", (F.col("verdict") == "block").cast("double").alias("label"))
-    rows = rows.coalesce(max(1, n // 4000)).persist()
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(rows)
+    suffixes = checkpoint(suffix_counts(labelled))
+    sample = checkpoint(with_features(bounded_sample(labelled, "verdict", ["page_id", "url"], SAMPLE)))
+    drawn = {r[0]: r[1] for r in sample.groupBy("verdict").count().collect()}
+    block = (F.col("verdict") == "block").cast("int")
+    least = sample.select((F.col("rows_") / F.when(block == 1, drawn["block"]).otherwise(drawn["allow"])).alias("w"), "verdict")
+    least = least.agg(F.min("w")).first()[0]
+    weight = F.col("rows_") / F.when(block == 1, drawn["block"]).otherwise(drawn["allow"]) / least
+    rows = assembled(sample, suffixes, F.lit(1), block).select("features", block.cast("double").alias("label"), weight.alias("weight"))
+    rows = rows.coalesce(max(1, sum(drawn.values()) // 4000)).persist()
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, weightCol="weight").fit(rows)
     rows.unpersist()
     return model, suffixes
 
 
-def assembled(rows: DataFrame, suffixes: DataFrame) -> DataFrame:
-    """Adds the feature vector; a suffix without statistics has neutral ones."""
-    met = rows.join(F.broadcast(suffixes), "suffix", "left")  # SUFFIXES rows at most
-    return met.withColumn("features", array_to_vector(F.concat(
-        "lexical", F.array(F.coalesce("size", F.lit(0.0)), F.coalesce("blocked", F.lit(0.5))))))
+def assembled(rows: DataFrame, suffixes: DataFrame, own: Column | None = None, own_block: Column | None = None) -> DataFrame:
+    """Adds the feature vector; a suffix that no labelled URL has, none but the
+    row itself with ``own`` and ``own_block``, has neutral statistics."""
+    zero = F.lit(0)
+    met = lookup(checkpoint(rows), suffixes, "suffix", how="left")
+    k = F.coalesce("k", zero) - (zero if own is None else own)
+    b = F.coalesce("b", zero) - (zero if own_block is None else own_block)
+    return met.withColumn("features", array_to_vector(F.concat("lexical", F.array(F.log1p(k.cast("double")), (b + 1) / (k + 2))))).drop("k", "b")
 
 
 def judge(pages: DataFrame, rules=RULES, threshold: float = 0.5) -> DataFrame:
