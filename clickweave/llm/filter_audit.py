@@ -178,10 +178,8 @@ def audit(docs: DataFrame, labels: DataFrame, filters: dict[str, Column] | None
             before |= f.bit(n)
     # k * k! rows, set by the number of filters
     spark = docs.sparkSession
-    plan = spark.createDataFrame(plan, "filter_order string, step int, filter string, before int, after int")
-    each = plan.agg(F.collect_list(F.struct(*plan.columns)).alias("plan")).withColumn("one", F.lit(1))
-    out = clean.withColumn("one", F.lit(1)).join(F.broadcast(each), "one").select("part", "clean", F.explode("plan").alias("p"))
-    out = out.select("part", "clean", "p.*")
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(plan)], "i int, filter_order string, step int, filter string, before int, after int")
+    out = clean.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(len(plan) - 1)))).join(F.broadcast(rows), "i").drop("i")
     out = out.join(steps, ["part", "filter", "before"], "left").join(
         kept.select("part", F.col("before").alias("after"), "kept"), ["part", "after"], "left")
     out = out.join(alone, ["part", "filter"], "left").join(shapley, ["part", "filter"], "left")
