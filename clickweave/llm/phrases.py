@@ -24,64 +24,72 @@ PERMUTATIONS = 128
 # Rows that a Python worker gives back at once.
 ROWS = 2000
 # Phrases that are hashed at once.
-WIDTH = 4096
+WIDTH = 1024
 NODE = 21  # bits of a code point
-PRIME, BASE = (1 << 61) - 1, 0x1F35_79BD_2468_ACE1
+BASE = 0x9E3779B97F4A7C15
 _rng = np.random.Generator(np.random.PCG64(12))
-FACTORS = _rng.integers(0, 1 << 63, (PERMUTATIONS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
-ADDENDS = _rng.integers(0, 1 << 63, (PERMUTATIONS, 1), np.uint64)
-NOTHING = np.full(PERMUTATIONS, np.uint64((1 << 64) - 1))
-
-
-class Parse:
-    """The phrases of a text, which may be added to, and taken back to a mark."""
-
-    def __init__(self):
-        self.child: dict[int, int] = {}  # node << NODE | character -> node << NODE
-        self.keys: list[int] = []  # of ``child``, in order
-        self.hashes = [1]  # of each node's phrase; node 0 is the empty one
-        self.node = 0
-
-    def add(self, chars: list[int]) -> None:
-        child, keys, hashes, node = self.child, self.keys, self.hashes, self.node
-        get = child.get
-        for c in chars:
-            key = node | c
-            node = get(key)
-            if node is None:
-                child[key] = len(hashes) << NODE
-                keys.append(key)
-                hashes.append((hashes[key >> NODE] * BASE + c + 1) % PRIME)
-                node = 0
-        self.node = node
-
-    def mark(self) -> tuple[int, int]:
-        return len(self.keys), self.node
-
-    def back(self, mark: tuple[int, int]) -> None:
-        n, self.node = mark
-        for key in self.keys[n:]:
-            del self.child[key]
-        del self.keys[n:]
-        del self.hashes[n + 1:]
-
-
-def minima(hashes: list[int]) -> np.ndarray:
-    """The least value of each hash function over some phrases (none: the highest)."""
-    low = NOTHING
+# Permutations of 32-bit numbers: odd factors and addends.
+FACTORS = _rng.integers(0, 1 << 31, (PERMUTATIONS, 1), np.uint32) * np.uint32(2) + np.uint32(1)
+ADDENDS = _rng.integers(0, 1 << 32, (PERMUTATIONS, 1), np.uint32)
+
+
+def parse(chars: list[int], at: int, known: dict[int, int], node: int) -> int:
+    """Parses characters that begin at position ``at`` of a text on from ``node``,
+    the phrase begun so far (0: none), and returns the phrase begun last.
+    ``known``: node << NODE | character -> node << NODE; a phrase's node is the
+    position where it was found to end, so the values are the phrases' ends."""
+    get = known.get
+    for i, c in enumerate(chars, at + 1):
+        key = node | c
+        node = get(key)
+        if node is None:
+            known[key] = i << NODE
+            node = 0
+    return node
+
+
+def ends_of(known: dict[int, int]) -> np.ndarray:
+    """Ends of the phrases, in order; each begins where the one before it ends."""
+    return np.fromiter(known.values(), np.int64, len(known)) >> NODE
+
+
+_powers = [np.ones(1, np.uint64)] * 2
+
+
+def phrase_hashes(points: np.ndarray, ends: np.ndarray, start: int = 0) -> np.ndarray:
+    """Hashes of the phrases of a text that begin at ``start``: polynomials of
+    their characters, whatever their place."""
+    if len(_powers[0]) <= len(points):
+        n = len(points) + (len(points) >> 1)
+        for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
+            _powers[k] = np.cumprod(np.where(np.arange(n + 1) == 0, np.uint64(1), np.uint64(base)))
+    if not len(ends):
+        return np.zeros(0, np.uint64)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((points[start:ends[-1]] + np.uint64(1)) * _powers[0][start:ends[-1]])])
+    begin = np.concatenate([[start], ends[:-1]])
+    return (total[ends - start] - total[begin - start]) * _powers[1][begin] + (ends - begin).astype(np.uint64)
+
+
+def minima(hashes: np.ndarray) -> np.ndarray | None:
+    """The least value of each permutation over some phrases; None of none."""
+    low = None
     for i in range(0, len(hashes), WIDTH):
-        x = np.array(hashes[i:i + WIDTH], np.uint64)
+        x = hashes[i:i + WIDTH]
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        y = FACTORS * (x ^ (x >> np.uint64(31)))
+        y = FACTORS * (x >> np.uint64(32)).astype(np.uint32)
         y += ADDENDS
-        low = np.minimum(low, y.min(axis=1))
+        low = lower(low, y.min(axis=1))
     return low
 
 
-def packed(low: np.ndarray) -> bytes:
+def lower(a: np.ndarray | None, b: np.ndarray | None) -> np.ndarray | None:
+    return a if b is None else b if a is None else np.minimum(a, b)
+
+
+def packed(low: np.ndarray | None) -> bytes:
     """A fingerprint: one byte of each minimum; nothing of no phrases."""
-    return b"" if (low == NOTHING).all() else ((low >> np.uint64(32)) & np.uint64(255)).astype(np.uint8).tobytes()
+    return b"" if low is None else (low & np.uint32(255)).astype(np.uint8).tobytes()
 
 
 def likeness(a: bytes, b: bytes) -> float:
@@ -93,14 +101,14 @@ def likeness(a: bytes, b: bytes) -> float:
     return max(0.0, (same - 1 / 256) / (1 - 1 / 256))
 
 
-def code_points(text: str) -> list[int]:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").tolist()
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
 def fingerprint(text: str) -> bytes:
-    p = Parse()
-    p.add(code_points(text))
-    return packed(minima(p.hashes[1:]))
+    points, known = code_points(text), {}
+    parse(points.tolist(), 0, known, 0)
+    return packed(minima(phrase_hashes(points.astype(np.uint64), ends_of(known))))
 
 
 def both(text: str, after: str) -> tuple[bytes, bytes, str]:
@@ -109,15 +117,16 @@ def both(text: str, after: str) -> tuple[bytes, bytes, str]:
     both begin with is parsed once."""
     cut = len(text) - len(text) // 2
     edited = text[:cut] + after[:len(text) - cut]
-    p = Parse()
-    p.add(code_points(text[:cut]))
-    n, mark = len(p.hashes), p.mark()
-    low = minima(p.hashes[1:])
-    p.add(code_points(text[cut:]))
-    own = packed(np.minimum(low, minima(p.hashes[n:])))
-    p.back(mark)
-    p.add(code_points(edited[cut:]))
-    return own, packed(np.minimum(low, minima(p.hashes[n:]))), edited
+    points, known = code_points(text), {}
+    node = parse(points[:cut].tolist(), 0, known, 0)
+    head = ends_of(known)
+    shared = minima(phrase_hashes(points.astype(np.uint64), head))
+    start = int(head[-1]) if len(head) else 0
+    prints = []
+    for whole, phrases in ((points, dict(known)), (code_points(edited), known)):
+        parse(whole[cut:].tolist(), cut, phrases, node)
+        prints.append(packed(lower(shared, minima(phrase_hashes(whole.astype(np.uint64), ends_of(phrases)[len(head):], start)))))
+    return prints[0], prints[1], edited
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
