@@ -6,10 +6,11 @@ smallest conversation and depth name it as well, and these are its id.
 
 Each node has an enter and an exit arc, and each arc a successor: entering
 leads to the first child or to the node's own exit, leaving leads to the next
-sibling or to the parent's exit. The list of arcs is ranked in two steps. In
-ranges of node ids, neighbouring in conversation and depth, the stretches of
-the list that stay inside are shortened to one link; pointer jumping, a join a
-round, ranks the links that are left. Each arc's position follows. Running sums
+sibling or to the parent's exit. To rank this list, it is cut into ranges of
+node ids, neighbouring in conversation and depth, and the stretches that stay
+inside a range are shortened to one link each, all ranges at once; the links
+that are left are a shorter list, ranked in the same way. Where a list doesn't
+get much shorter, pointer jumping, a join a round, ranks it. Running sums
 of leaves and savings in order of position, taken at a node's exit and before
 its enter arc, differ by the sum over its subtree.
 
@@ -107,7 +108,7 @@ def nodes(paths: DataFrame, convs: DataFrame) -> DataFrame:
     found = paths.groupBy("key").agg(F.min("conv").alias("conv"), F.count("*").alias("n_convs"), F.min("depth").alias("depth"),
                                      F.min("chars").alias("chars"), F.min("parent").alias("parent"))
     found = found.withColumn("one", F.lit(1).cast("long")).select("*", F.col("parent.a").alias("pa"), F.col("parent.b").alias("pb"))
-    found = checkpoint(running_sums(found, ["pa", "pb"], [F.col("conv")], {"nth": "one"}))
+    found = running_sums(found, ["pa", "pb"], [F.col("conv")], {"nth": "one"})
     below = found.groupBy("parent").agg(F.count("*").alias("n_children"), F.min("conv").alias("first_child"))
     root = convs.agg(F.min("conv").alias("conv"), F.count("*").alias("n_convs")).where("n_convs > 0").select(
         root_key().alias("key"), "conv", F.lit(0).cast("long").alias("depth"), "n_convs", F.lit(0).cast("long").alias("chars"),
@@ -140,16 +141,16 @@ def arcs(tree: DataFrame) -> DataFrame:
 
 
 def _shorten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One range of arcs -> each arc with the head of its stretch and its place
-    in it, and for each head (is_head) the stretch's length and successor."""
+    """One range of links -> each link (length ``own``) with the head of its stretch
+    and its place in it, and for each head (is_head) the stretch's length and successor."""
     parts = list(batches)
     b = pd.concat(parts, ignore_index=True) if parts else None
     if b is None or not len(b):
         return
     n = len(b)
-    conv, k = b["conv"].to_numpy(np.int64), b["k"].to_numpy(np.int64)
-    ends = b["next_k"].to_numpy() < 0  # the last arc of all
+    conv, k, own_length = (b[c].to_numpy(np.int64) for c in ("conv", "k", "length"))
     next_conv, next_k = b["next_conv"].to_numpy(np.int64), b["next_k"].to_numpy(np.int64)
+    ends = next_k < 0  # the last link of all
     known, code = np.unique(conv, return_inverse=True)
     width = max(int(k.max()), int(next_k.max())) + 1
     own = code * width + k
@@ -158,9 +159,9 @@ def _shorten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     wanted = place * width + next_k
     at = order[np.minimum(np.searchsorted(own[order], wanted), n - 1)]
     inside = ~ends & (known[place] == next_conv) & (own[at] == wanted)
-    head = np.arange(n)
-    head[at[inside]] = np.flatnonzero(inside)  # the arc before, for now
-    offset = (head != np.arange(n)).astype(np.int64)
+    head, offset = np.arange(n), np.zeros(n, np.int64)
+    head[at[inside]] = np.flatnonzero(inside)  # the link before, for now
+    offset[at[inside]] = own_length[inside]
     while True:
         further = head[head]
         if (further == head).all():
@@ -169,23 +170,21 @@ def _shorten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         head = further
     tail = np.flatnonzero(~inside)  # one for each stretch
     length, after = np.zeros(n, np.int64), np.full((2, n), -1, np.int64)
-    length[head[tail]] = offset[tail] + 1
+    length[head[tail]] = offset[tail] + own_length[tail]
     after[0, head[tail]] = next_conv[tail]
-    after[1, head[tail]] = np.where(ends[tail], -1, next_k[tail])
-    yield b[["conv", "k", "leaves", "saved"]].assign(
-        head_conv=conv[head], head_k=k[head], place=offset, is_head=length > 0, length=length, next_conv=after[0], next_k=after[1])
+    after[1, head[tail]] = next_k[tail]
+    yield b[["conv", "k"]].assign(own=own_length, head_conv=conv[head], head_k=k[head], place=offset, is_head=length > 0, length=length,
+                                  next_conv=after[0], next_k=after[1])
 
 
-def shorten(tour: DataFrame, n: int, block: int) -> DataFrame:
-    spark = tour.sparkSession
-    ranges = max(shuffle_partitions(spark), -(-n // block))
-    flat = tour.select("conv", "k", F.coalesce("next_conv", F.lit(0)).alias("next_conv"), F.coalesce("next_k", F.lit(-1)).alias("next_k"), "leaves", "saved")
-    return checkpoint(flat.repartitionByRange(ranges, "conv", "k").mapInPandas(
-        _shorten, "conv long, k long, leaves long, saved long, head_conv long, head_k long, place long, is_head boolean, "
-                  "length long, next_conv long, next_k long"))
+def shorten(links: DataFrame, ranges: int) -> DataFrame:
+    """Links (conv, k, next_conv, next_k, length) in so many ranges of their ids,
+    the stretches inside of each shortened."""
+    return checkpoint(links.repartitionByRange(ranges, "conv", "k").mapInPandas(
+        _shorten, "conv long, k long, own long, head_conv long, head_k long, place long, is_head boolean, length long, next_conv long, next_k long"))
 
 
-def ranked(links: DataFrame) -> DataFrame:
+def jumped(links: DataFrame) -> DataFrame:
     """Pointer jumping: (conv, k, next_conv, next_k, length) -> (conv, k, togo),
     the sum of lengths from each link to the end of the list (next_k < 0)."""
     state = checkpoint(links.select("conv", "k", "next_conv", "next_k", F.col("length").alias("togo")))
@@ -199,22 +198,38 @@ def ranked(links: DataFrame) -> DataFrame:
     return state.select("conv", "k", "togo")
 
 
-def positions(tour: DataFrame, block: int = BLOCK_ARCS) -> DataFrame:
-    """(conv, k, leaves, saved, pos): every arc's place in the tour, from 0."""
-    tour = checkpoint(tour)
-    n = tour.count()
-    short = shorten(tour, n, block)
-    heads = short.where("is_head")
-    togo = ranked(heads).join(heads.select("conv", "k", "length"), ["conv", "k"])
-    togo = togo.select(F.col("conv").alias("head_conv"), F.col("k").alias("head_k"), "togo", chunks(F.col("length")).alias("chunk"))
-    met = short.select("conv", "k", "leaves", "saved", "head_conv", "head_k", "place", chunk(F.col("place")).alias("chunk")).join(
-        togo, ["head_conv", "head_k", "chunk"])
-    return met.select("conv", "k", "leaves", "saved", (F.lit(n) - F.col("togo") + F.col("place")).alias("pos"))
+def positions(tour: DataFrame, n: int, block: int = BLOCK_ARCS) -> DataFrame:
+    """(conv, k, pos): the place of each of the tour's ``n`` arcs, from 0.
+
+    The list is shortened level by level, in ranges of at most about ``block``
+    links, until one link is left. Where that no longer halves it, since
+    successors lie far apart, pointer jumping ranks the rest."""
+    links = tour.select("conv", "k", F.coalesce("next_conv", F.lit(0)).alias("next_conv"), F.coalesce("next_k", F.lit(-1)).alias("next_k"),
+                        F.lit(1).cast("long").alias("length"))
+    levels, left, ranges = [], n, max(shuffle_partitions(tour.sparkSession), -(-n // block))
+    while True:
+        levels.append(shorten(links, ranges))
+        links = levels[-1].where("is_head").select("conv", "k", "next_conv", "next_k", "length")
+        before, left = left, links.count()
+        if left <= 1:
+            found = links.withColumn("pos", F.lit(0).cast("long"))
+            break
+        if 2 * left > before and left > block:
+            found = links.join(jumped(links), ["conv", "k"]).withColumn("pos", F.lit(n) - F.col("togo"))
+            break
+        ranges = -(-left // block)
+    for level in reversed(levels):
+        heads = found.select(F.col("conv").alias("head_conv"), F.col("k").alias("head_k"), "pos", chunks(F.col("length")).alias("chunk"))
+        met = level.withColumn("chunk", chunk(F.col("place"))).join(heads, ["head_conv", "head_k", "chunk"])
+        found = met.select("conv", "k", F.col("own").alias("length"), (F.col("pos") + F.col("place")).alias("pos"))
+    return found.select("conv", "k", "pos")
 
 
-def subtree_sums(tour: DataFrame, block: int = BLOCK_ARCS) -> DataFrame:
+def subtree_sums(tree: DataFrame, block: int = BLOCK_ARCS) -> DataFrame:
     """(conv, depth, n_leaves, saved_tokens) from the running sums at the arcs."""
-    placed = running_sums(positions(tour, block), [], [F.col("pos")], {"l": "leaves", "s": "saved"})
+    tour = arcs(tree)
+    placed = tour.select("conv", "k", "leaves", "saved").join(positions(tour, 2 * tree.count(), block), ["conv", "k"])
+    placed = running_sums(placed, [], [F.col("pos")], {"l": "leaves", "s": "saved"})
     leaving = F.col("k") % 2 == 1
     at = lambda total, own: F.sum(F.when(leaving, F.col(total)).otherwise(F.col(own) - F.col(total)))
     return placed.groupBy("conv", F.floor(F.col("k") / 2).alias("depth")).agg(at("l", "leaves").alias("n_leaves"), at("s", "saved").alias("saved_tokens"))
@@ -294,13 +309,13 @@ def trie(conversations: DataFrame, lead: Column | None = None, base: Column | No
     conv_id are no part of any conversation. Other columns are ignored. An empty
     table gives an empty result.
     """
-    placed = checkpoint(turns(conversations))
+    placed = turns(conversations)
     convs = checkpoint(placed.groupBy("conv").agg(F.count("*").alias("n")))
     lead = F.lit(0) if not most else shared_lead(most) if lead is None else lead
     base = F.col("conv") - F.col("conv") % 100 if base is None else base
-    paths = checkpoint(prefixes(rebuilt(placed, convs, lead.cast("long"), base, most)))
+    paths = prefixes(rebuilt(placed, convs, lead.cast("long"), base, most))
     tree = checkpoint(nodes(paths, convs))
-    sums = subtree_sums(arcs(tree), block)
+    sums = subtree_sums(tree, block)
     silent = convs.join(paths.where("depth = 1").select("conv"), "conv", "left_anti").select(root_key().alias("key"), "conv")
     ends = end_digests(paths.where("last").select("key", "conv").union(silent))
     out = tree.join(sums, ["conv", "depth"]).join(ends, "key", "left")

@@ -78,9 +78,14 @@ def test_hot_copies_take_the_broadcast_path(spark, monkeypatch):
 
 def test_phrase_sets_match_a_plain_parse():
     for text in ["", "a", "aaaaaaa", "abracadabra" * 20, "漢字🙂" * 9 + "x", "x" * 5000]:
-        p = phrases.Parse()
-        p.add(phrases.code_points(text))
-        assert len(p.hashes) - 1 == len(brute.phrase_set(text)) == len(set(p.hashes[1:]))
+        known, points = {}, phrases.code_points(text)
+        phrases.parse(points.tolist(), 0, known, 0)
+        ends = phrases.ends_of(known).tolist()
+        assert {text[a:b] for a, b in zip([0, *ends], ends)} == brute.phrase_set(text)
+        hashes = phrases.phrase_hashes(points.astype(np.uint64), np.array(ends, np.int64))
+        assert len(set(hashes.tolist())) == len(hashes) == len(ends)
+        again = phrases.phrase_hashes(phrases.code_points("ab" + text).astype(np.uint64), np.array(ends, np.int64) + 2, 2)
+        assert again.tolist() == hashes.tolist()
     own, edited, whole = phrases.both("abracadabra" * 30, "something else " * 40)
     assert own == phrases.fingerprint("abracadabra" * 30) and edited == phrases.fingerprint(whole)
 
@@ -133,14 +138,26 @@ def test_trie(spark):
     df = conversations(spark, rows)
     want = brute.trie_rows(rows)
     assert got(conversation_trie.trie(df)) == want
-    assert got(conversation_trie.trie(df, block=7)) == want  # many ranges, long way through pointer jumping
+    assert got(conversation_trie.trie(df, block=50)) == want  # many ranges and levels
     assert got(conversation_trie.trie(df, most=0)) == brute.trie_rows(rows, lead=lambda c: 0)
     assert got(conversation_trie.trie(df.where("false"))) == []
 
 
+@pytest.mark.parametrize("block", [5, 30])
+def test_list_ranking(spark, block, monkeypatch):
+    """Lists whose successors lie anywhere, and near by."""
+    monkeypatch.setattr(conversation_trie, "CHUNK", 4)
+    rng = np.random.default_rng(block)
+    ids = [(int(c) * 1000, int(k)) for c in range(6) for k in range(9)]
+    for order in (ids, [ids[i] for i in rng.permutation(len(ids))]):
+        rows = [(*a, *(b or (None, None))) for a, b in zip(order, [*order[1:], None])]
+        tour = spark.createDataFrame(rows, "conv long, k long, next_conv long, next_k long")
+        place = {(r.conv, r.k): r.pos for r in conversation_trie.positions(tour, len(ids), block).collect()}
+        assert place == {a: i for i, a in enumerate(order)}
+
+
 def test_trie_of_copies_in_small_chunks(spark, monkeypatch):
     monkeypatch.setattr(conversation_trie, "CHUNK", 3)
-    monkeypatch.setattr(conversation_trie, "ID_CHARS", 60)
     rows = [(c, t, "user", f"t{t}") for c in range(0, 4000, 100) for t in range(7)] + [(100 * c + 50, 0, "user", f"x{c % 20}") for c in range(30)]
     assert got(conversation_trie.trie(conversations(spark, rows))) == brute.trie_rows(rows)
 
