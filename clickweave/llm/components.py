@@ -21,6 +21,8 @@ from clickweave.llm.common import checkpoint, shuffle_partitions
 
 # Partitions that the edges of one node are dealt to.
 SALTS = 16
+# Nodes that a task thins at once; the stars found so far are edges like any others.
+THIN_NODES = 500_000
 
 
 def _thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -36,6 +38,13 @@ def _thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             x = p
         return top
 
+    def stars() -> Iterator[pd.DataFrame]:
+        nodes = list(parent)
+        for i in range(0, len(nodes), 100_000):
+            part = nodes[i:i + 100_000]
+            yield pd.DataFrame({"u": part, "v": [root(x) for x in part]}, dtype="int64")
+        parent.clear()
+
     for b in batches:
         for x, y in zip(b["u"].tolist(), b["v"].tolist()):
             rx, ry = root(x), root(y)
@@ -43,10 +52,9 @@ def _thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 parent[ry] = rx
             elif ry < rx:
                 parent[rx] = ry
-    nodes = list(parent)
-    for i in range(0, len(nodes), 100_000):
-        part = nodes[i:i + 100_000]
-        yield pd.DataFrame({"u": part, "v": [root(x) for x in part]}, dtype="int64")
+        if len(parent) > THIN_NODES:
+            yield from stars()
+    yield from stars()
 
 
 def thin(edges: DataFrame) -> DataFrame:
