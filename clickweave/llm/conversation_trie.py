@@ -64,10 +64,11 @@ def turns(conversations: DataFrame) -> DataFrame:
     return t.select("conv", (F.col("n") - 1).alias("pos"), "turn_hash", "chars")
 
 
-def rebuilt(placed: DataFrame, convs: DataFrame, lead: Column, base: Column, most: int) -> DataFrame:
+def rebuilt(placed: DataFrame, convs: DataFrame, lead: Column, base: Column, most: int) -> tuple[DataFrame, DataFrame]:
     """(conv, depth, turn_hash, chars, last): the first ``lead`` turns (``most`` or
     fewer) of the conversation ``base`` and each conversation's own turns after
-    as many; depth counts from 1. ``last`` marks the last turn."""
+    as many; depth counts from 1. ``last`` marks the last turn. And (conv): the
+    conversations without turns."""
     c = convs.select("conv", "n", lead.alias("lead"), base.alias("base"))
     lengths = convs.select(F.col("conv").alias("base"), F.col("n").alias("base_n"))
     c = c.join(lengths, "base", "left").withColumn("met", F.least("lead", F.coalesce("base_n", F.lit(0))))
@@ -79,7 +80,7 @@ def rebuilt(placed: DataFrame, convs: DataFrame, lead: Column, base: Column, mos
     first = placed.where(F.col("pos") < most).select(F.col("conv").alias("base"), "pos", "turn_hash", "chars")
     taken = c.where("met > 0").join(first, "base").where("pos < met").select(
         "conv", (F.col("pos") + 1).alias("depth"), "turn_hash", "chars", ((F.col("pos") + 1 == F.col("met")) & (F.col("n") <= F.col("lead"))).alias("last"))
-    return own.union(taken)
+    return own.union(taken), c.where("met = 0 and n <= lead").select("conv")
 
 
 def prefixes(sequences: DataFrame) -> DataFrame:
@@ -180,7 +181,8 @@ def _shorten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def shorten(links: DataFrame, ranges: int) -> DataFrame:
     """Links (conv, k, next_conv, next_k, length) in so many ranges of their ids,
     the stretches inside of each shortened."""
-    return checkpoint(links.repartitionByRange(ranges, "conv", "k").mapInPandas(
+    ranged = links.coalesce(1) if ranges == 1 else links.repartitionByRange(ranges, "conv", "k")
+    return checkpoint(ranged.mapInPandas(
         _shorten, "conv long, k long, own long, head_conv long, head_k long, place long, is_head boolean, length long, next_conv long, next_k long"))
 
 
@@ -202,8 +204,8 @@ def positions(tour: DataFrame, n: int, block: int = BLOCK_ARCS) -> DataFrame:
     """(conv, k, pos): the place of each of the tour's ``n`` arcs, from 0.
 
     The list is shortened level by level, in ranges of at most about ``block``
-    links, until one link is left. Where that no longer halves it, since
-    successors lie far apart, pointer jumping ranks the rest."""
+    links, until all of it fits one range, which ranks it. Where a level doesn't
+    halve the list, since successors lie far apart, pointer jumping ranks the rest."""
     links = tour.select("conv", "k", F.coalesce("next_conv", F.lit(0)).alias("next_conv"), F.coalesce("next_k", F.lit(-1)).alias("next_k"),
                         F.lit(1).cast("long").alias("length"))
     levels, left, ranges = [], n, max(shuffle_partitions(tour.sparkSession), -(-n // block))
@@ -214,7 +216,7 @@ def positions(tour: DataFrame, n: int, block: int = BLOCK_ARCS) -> DataFrame:
         if left <= 1:
             found = links.withColumn("pos", F.lit(0).cast("long"))
             break
-        if 2 * left > before and left > block:
+        if 2 * left > before and left > block:  # too long for one range, too spread for many
             found = links.join(jumped(links), ["conv", "k"]).withColumn("pos", F.lit(n) - F.col("togo"))
             break
         ranges = -(-left // block)
@@ -278,14 +280,22 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def end_digests(ends: DataFrame) -> DataFrame:
     """(key, conv) -> (key, ends_sha256) of the ids in ascending order, joined by
-    commas. The ids of one node are joined in pieces wherever the sort leaves
+    commas. Up to CHUNK ids of a node are gathered as one list. The ids of a node
+    that more conversations end at are joined in pieces wherever a sort leaves
     them; only the pieces of one node meet in a task, which streams them."""
     parts = shuffle_partitions(ends.sparkSession)
-    flat = ends.select(F.col("key.a").alias("a"), F.col("key.b").alias("b"), "conv")
+    counts = checkpoint(ends.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK))
+    many = counts.count()
+    few = ends.join(counts, "key", "left_anti") if many else ends
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("conv")), lambda c: c.cast("string")), ",")
+    done = few.groupBy("key").agg(F.sha2(text, 256).alias("ends_sha256"))
+    if not many:
+        return done
+    flat = ends.join(counts, "key", "left_semi").select(F.col("key.a").alias("a"), F.col("key.b").alias("b"), "conv")
     pieces = flat.repartitionByRange(parts, "a", "b", "conv").sortWithinPartitions("a", "b", "conv").mapInPandas(
         _join_ids, "a long, b long, first long, ids string")
-    done = pieces.repartition(parts, "a", "b").sortWithinPartitions("a", "b", "first").mapInPandas(_digest, "a long, b long, ends_sha256 string")
-    return done.select(F.struct("a", "b").alias("key"), "ends_sha256")
+    rest = pieces.repartition(parts, "a", "b").sortWithinPartitions("a", "b", "first").mapInPandas(_digest, "a long, b long, ends_sha256 string")
+    return done.union(rest.select(F.struct("a", "b").alias("key"), "ends_sha256"))
 
 
 # --- the operator ------------------------------------------------------------
@@ -313,11 +323,11 @@ def trie(conversations: DataFrame, lead: Column | None = None, base: Column | No
     convs = checkpoint(placed.groupBy("conv").agg(F.count("*").alias("n")))
     lead = F.lit(0) if not most else shared_lead(most) if lead is None else lead
     base = F.col("conv") - F.col("conv") % 100 if base is None else base
-    paths = prefixes(rebuilt(placed, convs, lead.cast("long"), base, most))
+    sequences, silent = rebuilt(placed, convs, lead.cast("long"), base, most)
+    paths = prefixes(sequences)
     tree = checkpoint(nodes(paths, convs))
     sums = subtree_sums(tree, block)
-    silent = convs.join(paths.where("depth = 1").select("conv"), "conv", "left_anti").select(root_key().alias("key"), "conv")
-    ends = end_digests(paths.where("last").select("key", "conv").union(silent))
+    ends = end_digests(checkpoint(paths.where("last").select("key", "conv").union(silent.select(root_key().alias("key"), "conv"))))
     out = tree.join(sums, ["conv", "depth"]).join(ends, "key", "left")
     return out.select(F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs", "n_children",
                       "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("ends_sha256"))

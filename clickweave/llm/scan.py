@@ -77,7 +77,7 @@ def running_sums(rows: DataFrame, group: list[str], order: list, values: dict[st
     done = checkpoint(ranged.mapInArrow(partial(_sums, group=group, values=columns), T.StructType(fields)))
     sums = [f"sum_{i}" for i in range(len(names))]
     carry, known = None, []
-    for r in done.where("total_").select("part_", "whole_", *group, *sums).orderBy("part_").collect():
+    for r in sorted(done.where("total_").select("part_", "whole_", *group, *sums).collect(), key=lambda r: r["part_"]):
         key, own = [r[g] for g in group], [r[s] for s in sums]
         if carry is not None:
             known.append((r["part_"], *carry[0], *carry[1]))
