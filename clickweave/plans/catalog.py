@@ -22,7 +22,6 @@ from ..session import checkpoint
 from ..sources import kafka as kafka_src
 from ..sources import lake
 from ..sources.fixtures import behavior_events, with_events
-from ..streaming import live_serving
 from ..streaming import micro_batch as mb
 from ..streaming import records as rec_files
 from ..streaming import stateful
@@ -221,6 +220,89 @@ def q_product_features(spark, sf_dir):
     return agg.product_features(behavior_events(spark, sf_dir), price_order=("timestamp", "event_id"))
 
 
+# --- C1-C5 by days ---------------------------------------------------------------
+
+ROLLING_DAYS = 7
+
+
+@register("rolling_interactions", with_events(f"""
+days AS (SELECT DISTINCT CAST("timestamp" AS DATE) AS day FROM behavior_events),
+pairs AS (
+  SELECT day, user_id, product_id, sum({_WEIGHT_SQL}) AS score
+  FROM days JOIN behavior_events ON CAST("timestamp" AS DATE) BETWEEN day - {ROLLING_DAYS - 1} AND day
+  GROUP BY day, user_id, product_id)""") + """
+SELECT day, user_id, count(*) AS products, CAST(sum(score) AS DOUBLE) AS score, CAST(max(score) AS DOUBLE) AS strongest
+FROM pairs GROUP BY day, user_id""")
+def q_rolling_interactions(spark, sf_dir):
+    """Interaction scores over the last seven days, for every day, each from the
+    day before by adding a day and subtracting one (C1)."""
+    from datetime import timedelta
+    from functools import reduce
+    from pyspark.sql import functions as F
+    from ..operators import daily
+    path = _scratch(spark, "days")
+    daily.day_scores(behavior_events(spark, sf_dir)).write.partitionBy("event_date").parquet(path)
+    table = spark.read.parquet(path)
+    days = sorted(r[0] for r in table.select("event_date").distinct().collect())  # folders
+    window, out = None, []
+    for d in days:
+        old = d - timedelta(days=ROLLING_DAYS)
+        window = checkpoint(daily.slide(window, table.where(F.col("event_date") == d),
+                                        table.where(F.col("event_date") == old) if old in days else None))
+        out.append(window.groupBy(F.lit(d).alias("day"), "user_id").agg(
+            F.count(F.lit(1)).alias("products"), F.sum("score").alias("score"), F.max("score").alias("strongest")))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+@register("user_features_by_days", ORACLE["user_features"])
+def q_user_features_by_days(spark, sf_dir):
+    """The user features put together from two stretches of days, the second
+    added to a dictionary that did not know its values."""
+    from pyspark.sql import functions as F
+    from ..operators import daily
+    events = behavior_events(spark, sf_dir)
+    half = F.col("timestamp") < "2024-01-12"
+    names = {"session_count": "session_id", "unique_products_viewed": "product_id", "categories_explored": "product_category"}
+    labels, days, sets = {}, [], {n: [] for n in names}
+    for part in (events.where(half), events.where(~half)):
+        days.append(daily.day_users(part))
+        for name, col in names.items():
+            labels[col] = checkpoint(daily.extend_labels(labels.get(col), part, col))
+            sets[name].append(daily.day_sets(part, ["user_id"], col, labels[col]))
+    return rounded(daily.users_over_days(days[0].unionByName(days[1]), {n: a.unionByName(b) for n, (a, b) in sets.items()}),
+                   "avg_price_interest")
+
+
+# --- G7 ------------------------------------------------------------------------------
+
+HOLDOUT = "2024-01-20"
+
+
+@register("ranking_metrics", with_events(f"""
+recs AS (
+  SELECT user_id, product_id, row_number() OVER (PARTITION BY user_id ORDER BY sum({_WEIGHT_SQL}) DESC, product_id) AS rank
+  FROM behavior_events WHERE "timestamp" < TIMESTAMP '{HOLDOUT}' GROUP BY user_id, product_id QUALIFY rank <= 10)""", f"""
+truth AS (SELECT DISTINCT user_id, product_id FROM behavior_events WHERE "timestamp" >= TIMESTAMP '{HOLDOUT}')""", """
+hit AS (
+  SELECT user_id, count(*) AS hits, sum(1 / log2(rank + 1)) AS gain FROM recs JOIN truth USING (user_id, product_id) GROUP BY user_id)""", """
+ideal AS (SELECT i AS k, sum(1 / log2(i + 1)) OVER (ORDER BY i) AS best FROM range(1, 11) t(i))""") + """
+SELECT user_id, relevant, coalesce(hits, 0) AS hits, coalesce(hits, 0) / 10.0::DOUBLE AS precision,
+       coalesce(hits, 0)::DOUBLE / relevant AS recall, round(coalesce(gain, 0) / best, 9) AS ndcg
+FROM (SELECT user_id, count(*) AS relevant FROM truth GROUP BY user_id)
+LEFT JOIN hit USING (user_id) JOIN ideal ON k = least(relevant, 10)""")
+def q_ranking_metrics(spark, sf_dir):
+    """Ranking quality (G7) of an exact score: each user's ten strongest
+    products before a day, against those of that day on."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from ..operators.ranking import ranking_metrics
+    events = behavior_events(spark, sf_dir)
+    best = Window.partitionBy("user_id").orderBy(F.col("interaction_strength").desc(), "product_id")
+    recs = agg.interaction_strength(events.where(F.col("timestamp") < HOLDOUT)).withColumn("rank", F.row_number().over(best)).where("rank <= 10")
+    out = ranking_metrics(recs, events.where(F.col("timestamp") >= HOLDOUT))
+    return out.withColumn("ndcg", F.round("ndcg", 9))
+
+
 # --- C6-C11, H9 -------------------------------------------------------------------
 
 
@@ -526,19 +608,53 @@ FROM scores QUALIFY rank <= 5""")
 def q_top_n_decode(spark, sf_dir):
     """Decoding of ranked index arrays (G5, E1, B17) over an exact score: each
     user's five strongest products."""
+    from pyspark.sql import Window
     from pyspark.sql import functions as F
     scores = checkpoint(agg.interaction_strength(behavior_events(spark, sf_dir)))
     dicts = rec.fit_indexers(scores)
-    lists = rec.encode(scores, dicts).groupBy("user_idx").agg(F.slice(F.array_sort(F.collect_list(F.struct(
+    best = Window.partitionBy("user_idx").orderBy(F.col("interaction_strength").desc(), "product_id")
+    five = rec.encode(scores, dicts).withColumn("rank", F.row_number().over(best)).where("rank <= 5")
+    lists = five.groupBy("user_idx").agg(F.array_sort(F.collect_list(F.struct(
         (-F.col("interaction_strength")).alias("low"), "product_id", "product_idx",
-        F.col("interaction_strength").alias("rating")))), 1, 5).alias("recommendations"))
+        F.col("interaction_strength").alias("rating")))).alias("recommendations"))
     return rec._decode(lists, dicts)
 
 
+# Whole-number factors, so that scores and ties are exact in both engines: how
+# often a user, or a product, has each action, a product's counts less 2.
+_GIVEN_ACTIONS = ("view", "click", "add_to_cart", "purchase", "error")
+_GIVEN_SQL = ", ".join(f"count(*) FILTER (WHERE action_type = '{a}') AS {a}" for a in _GIVEN_ACTIONS)
+
+
+@register("top_n_given_factors", with_events(
+    f"u AS (SELECT user_id, {_GIVEN_SQL} FROM behavior_events GROUP BY user_id)",
+    f"p AS (SELECT product_id, {_GIVEN_SQL} FROM behavior_events GROUP BY product_id)") + f"""
+SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, product_id) AS INTEGER) AS rank,
+       product_id, rating
+FROM (SELECT user_id, product_id,
+             CAST({" + ".join(f"u.{a} * (p.{a} - 2)" for a in _GIVEN_ACTIONS)} AS DOUBLE) AS rating FROM u, p)
+QUALIFY rank <= 10""")
+def q_top_n_given_factors(spark, sf_dir):
+    """Exact top 10 by inner product (G4, G6) over given factors, in blocks of
+    16 products."""
+    from pyspark.sql import functions as F
+    from ..operators.topn import top_n
+    events = behavior_events(spark, sf_dir)
+
+    def factors(col, less):
+        counts = events.groupBy(F.substring_index(col, "_", -1).cast("int").alias("id")).agg(
+            F.array(*[(F.count_if(F.col("action_type") == a) - less).cast("double") for a in _GIVEN_ACTIONS]).alias("features"))
+        return counts
+
+    best, _ = top_n(factors("user_id", 0), factors("product_id", 2), 10, block_items=16)
+    return best.select(F.format_string("user_%06d", "user").alias("user_id"), "rank",
+                       F.format_string("product_%06d", "item").alias("product_id"), F.col("score").alias("rating"))
+
+
 @register("recommend_top10")
 def q_recommend_top10(spark, sf_dir):
-    """Top 10 through the given-users path (G4, E2: semi join +
-    ``recommendForUserSubset``), asked for every user id in the events."""
+    """Top 10 through the given-users path (G4, E2: semi join + exact top-n),
+    asked for every user id in the events."""
     model, dicts = _trained(spark, sf_dir)
     return rec.recommend(model, dicts, behavior_events(spark, sf_dir).select("user_id"), n=10)
 
@@ -558,7 +674,7 @@ def _scratch(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def _record_dir(spark, sf_dir, copies: int = 1, change=None) -> str:
+def _record_dir(spark, sf_dir, copies: int = 1, change=None, late_days=None) -> str:
     """Record files of the events of ``sf_dir``, one folder per day, written
     in day order (and ``copies`` times, to model producer retries)."""
     path = _scratch(spark, "records")
@@ -566,7 +682,7 @@ def _record_dir(spark, sf_dir, copies: int = 1, change=None) -> str:
     if change is not None:
         events = change(events)
     for i in range(copies):
-        rec_files.write_record_files(events, path, suffix="" if i == 0 else f"r{i}")
+        rec_files.write_record_files(events, path, suffix="" if i == 0 else f"r{i}", late_days=late_days)
     return path
 
 
@@ -613,19 +729,82 @@ SELECT * EXCLUDE (ts_unix, day) REPLACE (round(avg_price_viewed, 6) AS avg_price
 SELECT *, {_window_sql(600)} {_window_from(600, "stream_events")})""")
 def q_stream_stateful(spark, sf_dir):
     """Cross-batch window features with keyed state; equals the batch result."""
-    stateful.configure(spark)
     src = _record_dir(spark, sf_dir)
     out = _scratch(spark, "stateful")
     records = rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH)
     events = mb.decode_stream(records).select(*EVENT_COLUMNS)
-    q = (stateful.stateful_features(events).writeStream.format("parquet")
-         .option("path", f"{out}/features").option("checkpointLocation", f"{out}/checkpoint")
-         .outputMode("append").trigger(availableNow=True).start())
+    with stateful.configured(spark):
+        q = (stateful.stateful_features(events).writeStream.format("parquet")
+             .option("path", f"{out}/features").option("checkpointLocation", f"{out}/checkpoint")
+             .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return rounded(spark.read.parquet(f"{out}/features")
                    .select(*EVENT_COLUMNS, *feat.WINDOW_COLS), "avg_price_viewed")
 
 
+_STREAM_ALL_SQL = with_events(_STREAM_EVENTS_CTE, _featured_cte(600, "stream_events")) + f"""
+SELECT * EXCLUDE (ts_unix, day) REPLACE (round(avg_price_viewed, 6) AS avg_price_viewed), {_SEGMENT_SQL} FROM featured"""
+
+
+def _lookback(spark, sf_dir, late_days=None):
+    from ..streaming.lookback import current_features
+    src, out = _record_dir(spark, sf_dir, late_days=late_days), _scratch(spark, "lookback")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH))
+    mb.start_stream(events, checkpoint=f"{out}/checkpoint", lake_path=f"{out}/lake", features_path=f"{out}/features",
+                    feature_mode="lookback", available_now=True).awaitTermination()
+    return rounded(current_features(spark, f"{out}/features").select(*_STREAM_FEATURE_COLS), "avg_price_viewed")
+
+
+@register("stream_lookback", _STREAM_ALL_SQL)
+def q_stream_lookback(spark, sf_dir):
+    """All features across micro-batches by a look back into the lake (H8);
+    equals the batch result."""
+    return _lookback(spark, sf_dir)
+
+
+@register("late_stream", _STREAM_ALL_SQL)
+def q_late_stream(spark, sf_dir):
+    """Every fifth record comes six days late, into a later micro-batch; rows
+    that it changes are corrected (H12), so the features equal the batch result."""
+    from pyspark.sql import functions as F
+    return _lookback(spark, sf_dir, F.when(F.col("offset") % 5 == 0, 6).otherwise(0))
+
+
+@register("stream_once", with_events() + """
+SELECT user_id, product_id, action_type, "timestamp", session_id, product_category,
+       CAST(CAST(product_price AS FLOAT) AS DOUBLE) AS product_price, user_agent, ip_address, referrer,
+       event_id AS "offset", CAST("timestamp" AS DATE) AS event_date
+FROM behavior_events""")
+def q_stream_once(spark, sf_dir):
+    """Every record delivered twice, every fifth one days late; each is kept
+    once, late ones too (H10, H12)."""
+    from pyspark.sql import functions as F
+    src, out = _record_dir(spark, sf_dir, copies=2, late_days=F.when(F.col("offset") % 5 == 0, 6).otherwise(0)), _scratch(spark, "once")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH), late="once")
+    mb.start_stream(events, checkpoint=f"{out}/checkpoint", lake_path=f"{out}/lake", available_now=True).awaitTermination()
+    return lake.read_lake(spark, f"{out}/lake").select(*EVENT_COLUMNS, "offset", "event_date")
+
+
+@register("stream_metrics", with_events() + f"""
+SELECT batch_id, count(*) AS rows, count(*) FILTER (WHERE event_id % 11 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0
+       AND event_id % 19 <> 0) AS storable, count(*) FILTER (WHERE event_id % 11 = 0) AS no_user,
+       min("timestamp") AS first_event, max("timestamp") AS last_event
+FROM (SELECT *, (dense_rank() OVER (ORDER BY CAST("timestamp" AS DATE)) - 1) // {STATE_DAYS_PER_BATCH} AS batch_id FROM behavior_events)
+GROUP BY batch_id""")
+def q_stream_metrics(spark, sf_dir):
+    """Counts per micro-batch, written by a listener (H6, C13); only the
+    quarantine table is on."""
+    from ..streaming.metrics import read_metrics
+    src, out = _record_dir(spark, sf_dir, change=_spoil), _scratch(spark, "metrics")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH))
+    q = mb.start_stream(events, checkpoint=f"{out}/checkpoint", quarantine_path=f"{out}/bad", metrics_path=f"{out}/metrics",
+                        available_now=True)
+    q.awaitTermination()
+    q.metrics.wait(q)
+    spark.streams.removeListener(q.metrics)
+    return read_metrics(spark, f"{out}/metrics").select("batch_id", "rows", "storable", "no_user", "first_event", "last_event")
+
+
 @register("stream_dedup", with_events() + """
 SELECT user_id, product_id, action_type, "timestamp", session_id, product_category,
        CAST(CAST(product_price AS FLOAT) AS DOUBLE) AS product_price, user_agent, ip_address, referrer,
@@ -695,26 +874,34 @@ def q_stream_quarantine(spark, sf_dir):
     + "\nUNION ALL" + _counter_body("action_type", "action_counts"))
 def q_stream_serving_live(spark, sf_dir):
     """Live counters with a 1-day sliding expiry, kept in keyed state across
-    day-sized micro-batches; the newest emission per user is the summary."""
-    from pyspark.sql import Window
+    micro-batches; the newest emission per user is the summary."""
+    src, out = _record_dir(spark, sf_dir), _scratch(spark, "live")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH)).select(*EVENT_COLUMNS)
+    mb.start_live(events, "counters", f"{out}/counters", f"{out}/checkpoint", available_now=True,
+                  ttl_seconds=LIVE_TTL).awaitTermination()
+    return mb.read_live(spark, f"{out}/counters").select("user_id", "kind", "field", "count")
+
+
+@register("stream_recent_live", with_events(
+    """stream_events AS (
+  SELECT * REPLACE (CAST(CAST(product_price AS FLOAT) AS DOUBLE) AS product_price) FROM behavior_events)""",
+    _newest_run_cte("live", "stream_events", "user_id", LIVE_TTL)) + f"""
+SELECT user_id, CAST(rank AS INTEGER) AS rank, product_id, action_type, product_category AS category,
+       product_price AS price, {_TIME_TEXT} AS "timestamp"
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" DESC, event_id DESC) AS rank FROM live)
+WHERE rank <= 10""")
+def q_stream_recent_live(spark, sf_dir):
+    """The newest 10 behaviours of each user with a 1-day sliding expiry, as a
+    list in keyed state (live C6); every fifth record comes a day late."""
     from pyspark.sql import functions as F
-    stateful.configure(spark)
-    src = _record_dir(spark, sf_dir)
-    out = _scratch(spark, "live")
-    records = rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH)
-    events = mb.decode_stream(records).select(*EVENT_COLUMNS)
-    good, _bad = serving.split_storable(events)
-
-    def sink(batch, batch_id):
-        (batch.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out}/counters"))
-
-    q = (live_serving.live_counters(good, LIVE_TTL).writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    emitted = spark.read.parquet(f"{out}/counters")
-    newest = emitted.withColumn("_b", F.max("batch_id").over(Window.partitionBy("user_id")))
-    return newest.where(F.col("batch_id") == F.col("_b")).select("user_id", "kind", "field", "count")
+    from ..functions import format_time
+    late = F.when(F.col("offset") % 5 == 0, 1).otherwise(0)
+    src, out = _record_dir(spark, sf_dir, late_days=late), _scratch(spark, "recent")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH), delay="2 days")
+    mb.start_live(events, "recent_behaviors", f"{out}/recent", f"{out}/checkpoint", available_now=True,
+                  ttl_seconds=LIVE_TTL, n=10, tie_break="offset").awaitTermination()
+    return mb.read_live(spark, f"{out}/recent").select(
+        "user_id", "rank", "product_id", "action_type", "category", "price", format_time("timestamp").alias("timestamp"))
 
 
 @register("stream_sessions_live", with_events(_newest_run_cte("live", "behavior_events", "session_id", 3600))
@@ -723,25 +910,11 @@ FROM live GROUP BY session_id""")
 def q_stream_sessions_live(spark, sf_dir):
     """Session records with a 1-hour sliding expiry in keyed state; the
     newest emission per session is the record."""
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
     from ..functions import format_time
-    stateful.configure(spark)
-    src = _record_dir(spark, sf_dir)
-    out = _scratch(spark, "sessions")
-    records = rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH)
-    events = mb.decode_stream(records).select(*EVENT_COLUMNS)
-    good, _bad = serving.split_storable(events)
-
-    def sink(batch, batch_id):
-        (batch.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out}/sessions"))
-
-    q = (live_serving.live_sessions(good, 3600).writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    emitted = spark.read.parquet(f"{out}/sessions")
-    newest = emitted.withColumn("_b", F.max("batch_id").over(Window.partitionBy("session_id")))
-    return (newest.where(F.col("batch_id") == F.col("_b"))
-            .select("session_id", "user_id", format_time("start_time").alias("start_time"),
-                    format_time("last_activity").alias("last_activity"), "action_count"))
+    src, out = _record_dir(spark, sf_dir), _scratch(spark, "sessions")
+    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH)).select(*EVENT_COLUMNS)
+    mb.start_live(events, "sessions", f"{out}/sessions", f"{out}/checkpoint", available_now=True,
+                  ttl_seconds=3600).awaitTermination()
+    return mb.read_live(spark, f"{out}/sessions", "session_id").select(
+        "session_id", "user_id", format_time("start_time").alias("start_time"),
+        format_time("last_activity").alias("last_activity"), "action_count")

@@ -13,13 +13,18 @@ the same TTL. State per user is bounded (a few dozen counters).
 and user are set by the first event of a run, the last activity and the
 count follow every event, and a session idle for ``ttl`` restarts.
 
+``live_recent`` keeps the newest behaviours (C6) as a list of bounded length,
+newest first. A late row is put in its place; it may also join two runs of the
+key into one, so runs that a row ahead of the watermark can still reach are
+kept beside the newest (``start, last`` each).
+
 A key's rows of a micro-batch arrive as Arrow chunks; each chunk is
 reduced at once to per-second first / last times and per-(second, field)
 counts (a TTL is at least a second, so only the first event of a second can
 start a run). Memory per key then grows with the seconds and fields the
 batch covers, not with the key's event count.
 
-Both run in event-time mode: after each write an event-time timer is set at
+All run in event-time mode: after each write an event-time timer is set at
 ``last write + ttl``, and when the watermark passes it the key's state is
 deleted. State thus only holds keys that are still alive, as the store's
 expiry would.
@@ -34,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..schema import TTL_CATEGORY_INTERESTS, TTL_SESSION
+from ..schema import RECENT_BEHAVIORS_KEEP, TTL_CATEGORY_INTERESTS, TTL_RECENT_BEHAVIORS, TTL_SESSION
 
 OUTPUT_SCHEMA = ("user_id string, kind string, field string, count long, "
                  "run_start timestamp, last_write timestamp")
@@ -203,3 +208,83 @@ def live_sessions(events: DataFrame, ttl_seconds: int = TTL_SESSION) -> DataFram
     return events.groupBy("session_id").transformWithStateInPandas(
         statefulProcessor=SessionRecord(ttl_seconds), outputStructType=SESSION_OUTPUT_SCHEMA,
         outputMode="Update", timeMode="EventTime")
+
+
+RECENT_OUTPUT_SCHEMA = ("user_id string, rank int, product_id string, action_type string, category string, "
+                        "price double, timestamp timestamp, run_start timestamp, last_write timestamp")
+_KEPT = ["ts", "tie", "product_id", "action_type", "category", "price"]
+
+
+def _newest_rows(frame: pd.DataFrame, n: int) -> pd.DataFrame:
+    return frame.sort_values(["ts", "tie"], ascending=False, kind="stable").head(n)
+
+
+def _merge_runs(runs: np.ndarray, ttl_us: int) -> np.ndarray:
+    """Intervals (start, last) -> runs: a gap of ``ttl_us`` or more begins a new one."""
+    runs = runs[np.argsort(runs[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(runs[:, 1])
+    new = np.concatenate([[True], runs[1:, 0] - reach[:-1] >= ttl_us])
+    first = np.flatnonzero(new)
+    return np.column_stack([runs[first, 0], reach[np.append(first[1:], len(runs)) - 1]])
+
+
+class RecentBehaviors(StatefulProcessor):
+    """State per user: the newest ``n`` behaviours, and the runs not yet behind
+    the watermark by a lifetime."""
+
+    def __init__(self, ttl_seconds: int, n: int, tie_break: str | None):
+        self.ttl_us, self.n, self.tie_break = int(ttl_seconds) * 1_000_000, n, tie_break
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.runs = handle.getListState("runs", "start long, last long")
+        self.recent = handle.getListState(
+            "recent", "ts long, tie long, product_id string, action_type string, category string, price double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        kept = pd.DataFrame([tuple(r) for r in self.recent.get()] if self.recent.exists() else [], columns=_KEPT)
+        runs = [np.array([tuple(r) for r in self.runs.get()] if self.runs.exists() else [], "int64").reshape(-1, 2)]
+        for chunk in rows:
+            t = _micros(chunk)
+            new = pd.DataFrame({
+                "ts": t, "tie": chunk[self.tie_break].to_numpy("int64") if self.tie_break else np.zeros(len(t), "int64"),
+                "product_id": chunk["product_id"].to_numpy(object), "action_type": chunk["action_type"].to_numpy(object),
+                "category": chunk["product_category"].to_numpy(object), "price": chunk["product_price"].astype("float64").to_numpy()})
+            kept = _newest_rows(pd.concat([kept, new]) if len(kept) else new, self.n)
+            secs = pd.Series(t).groupby(t // 1_000_000).agg(["min", "max"])
+            runs.append(_merge_runs(secs.to_numpy("int64"), self.ttl_us))
+        runs = _merge_runs(np.concatenate(runs), self.ttl_us)
+        reachable = runs[:, 1] + self.ttl_us > timerValues.getCurrentWatermarkInMs() * 1000
+        reachable[-1] = True
+        runs = runs[reachable]
+        kept = kept[kept["ts"] >= runs[0, 0]]
+        start, last = (int(x) for x in runs[-1])
+        self.runs.put([(int(a), int(b)) for a, b in runs])
+        self.recent.put([(int(a), int(b), p, x, c, float(v)) for a, b, p, x, c, v in kept.itertuples(index=False)])
+        _expire_at(self.handle, last, self.ttl_us)
+
+        out = kept[kept["ts"] >= start].reset_index(drop=True)
+        yield pd.DataFrame({
+            "user_id": key[0], "rank": np.arange(1, len(out) + 1, dtype="int32"), "product_id": out["product_id"],
+            "action_type": out["action_type"], "category": out["category"], "price": out["price"].astype("float64"),
+            "timestamp": pd.to_datetime(out["ts"].astype("int64"), unit="us"),
+            "run_start": pd.to_datetime(start, unit="us"), "last_write": pd.to_datetime(last, unit="us")})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.runs.clear()
+        self.recent.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def live_recent(events: DataFrame, ttl_seconds: int = TTL_RECENT_BEHAVIORS, n: int = RECENT_BEHAVIORS_KEEP,
+                tie_break: str | None = None) -> DataFrame:
+    """Streaming frame of storable events with an event-time watermark -> the
+    newest ``n`` behaviours of each user touched in a micro-batch
+    (``RECENT_OUTPUT_SCHEMA``, rank 1 = newest). Rows of one time are ordered by
+    the long column ``tie_break``, highest first."""
+    return events.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=RecentBehaviors(ttl_seconds, n, tie_break), outputStructType=RECENT_OUTPUT_SCHEMA,
+        outputMode="Update", timeMode="EventTime")

@@ -5,7 +5,7 @@ with ``maxFilesPerTrigger=1`` replays the days in time order."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,12 +37,16 @@ def to_records(events: DataFrame, partitions: int = 12, offset_col: str = "event
 
 def write_record_files(events: DataFrame, path: str, partitions: int = 12,
                        offset_col: str = "event_id", topic: str = DEFAULT_TOPIC,
-                       files_per_day: int | None = 1, suffix: str = "") -> list[str]:
+                       files_per_day: int | None = 1, suffix: str = "", late_days: Column | None = None) -> list[str]:
     """Write records of ``events`` as JSON, one sub folder per UTC day, days
     in ascending order. Returns the folders written. With one file per day
-    and ``maxFilesPerTrigger=1`` each micro-batch is exactly one day."""
+    and ``maxFilesPerTrigger=1`` each micro-batch is exactly one day.
+    ``late_days`` (of an event's ``offset_col``): days after which a record is
+    delivered."""
+    arrival = F.col("timestamp") if late_days is None else F.col("timestamp") + F.make_dt_interval(
+        late_days.cast("int"), F.lit(0), F.lit(0), F.lit(0))
     rec = to_records(events, partitions, offset_col, topic) \
-        .withColumn("_day", F.date_format("timestamp", "yyyyMMdd"))
+        .withColumn("_day", F.date_format(arrival, "yyyyMMdd"))
     # one folder per day; the number of days is bounded by the time span
     days = sorted(r[0] for r in rec.select("_day").distinct().collect())
     out = []

@@ -14,6 +14,7 @@ of one micro-batch (bounded by the trigger size, not by the history).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -113,13 +114,30 @@ class RecentActivity(StatefulProcessor):
         pass
 
 
+STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+              "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+
+
 def configure(spark) -> None:
     """Session settings for ``stateful_features``: the RocksDB state store,
     and no empty micro-batches -- the processor sets no timers, and with
     processing time enabled (needed for state TTL) empty batches would keep
     an ``availableNow`` query from finishing."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+
+
+@contextmanager
+def configured(spark):
+    """The same settings for a query started inside; a started query has its
+    own copy of the session's settings, so they are put back at the end."""
+    old = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    configure(spark)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def stateful_features(events: DataFrame, recent_seconds: int = RECENT_WINDOW_SECONDS,
