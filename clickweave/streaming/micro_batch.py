@@ -21,8 +21,12 @@ from __future__ import annotations
 
 import logging
 import threading
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -74,6 +78,18 @@ def decode_stream(records: DataFrame, late: str = "keep", delay: str = "1 minute
     return apply_late_policy(fill_event_time(decode_events(records), now=now), late, delay)
 
 
+def together(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
+    """Runs the writes of a batch side by side: each is a chain of small stages
+    that alone leaves most of the cluster idle. The first error is raised once
+    all have ended, and the batch is replayed; every write replaces its own."""
+    if not jobs:
+        return
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    for f in started:
+        f.result()
+
+
 @dataclass
 class BatchSink:
     """The ``foreachBatch`` body. Any of the outputs may be switched off
@@ -103,20 +119,25 @@ class BatchSink:
                 write_lake(observed, self.lake_path, batch_id=batch_id, run_id=self.run_id)
                 self.counts[batch_id] = obs.get["rows"]
             events = batch.drop(*[c for c in RECORD_METADATA if c in batch.columns])
+            jobs = []
             if self.features_path and self.feature_mode == "lookback":
-                feats = lookback_features(batch.select(*EVENTS_AND_RECORD), self.lake_path, self.features_path,
-                                          self.run_id, batch_id, **self.feature_args)
-                write_batch(feats.withColumn("event_date", event_date("timestamp")), self.features_path, self.run_id,
-                            batch_id, ["event_date"])
+                def features():
+                    feats = lookback_features(batch.select(*EVENTS_AND_RECORD), self.lake_path, self.features_path,
+                                              self.run_id, batch_id, **self.feature_args)
+                    write_batch(feats.withColumn("event_date", event_date("timestamp")), self.features_path, self.run_id,
+                                batch_id, ["event_date"])
+                jobs.append(features)
             elif self.features_path:
                 # undecodable records have no user and would share one window
                 feats = process_user_behavior(events.where("user_id is not null"), **self.feature_args)
-                write_batch(feats, self.features_path, self.run_id, batch_id)
+                jobs.append(lambda: write_batch(feats, self.features_path, self.run_id, batch_id))
             good, bad = split_storable(events)
             if self.serving_path:
-                write_serving(batch_tables(good, self.ttls), self.serving_path, batch_id, self.run_id)
+                for name, table in batch_tables(good, self.ttls).items():
+                    jobs.append(partial(write_serving, {name: table}, self.serving_path, batch_id, self.run_id))
             if self.quarantine_path:
-                write_batch(bad, self.quarantine_path, self.run_id, batch_id)
+                jobs.append(lambda: write_batch(bad, self.quarantine_path, self.run_id, batch_id))
+            together(batch.sparkSession, jobs)
             log.info("batch %s done", batch_id)
         finally:
             batch.unpersist()
