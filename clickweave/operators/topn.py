@@ -106,9 +106,10 @@ def top_n(user_factors: DataFrame, item_factors: DataFrame, n: int = 10, ident:
     """
     spark = user_factors.sparkSession
     users = checkpoint(_vectors(user_factors, ident, "user"))
-    items = checkpoint(_blocks(_vectors(item_factors, ident, "item"), block_items))
-    n_items = items.count()
-    n_blocks = -(-n_items // block_items)
+    items = checkpoint(_vectors(item_factors, ident, "item"))
+    n_blocks = -(-items.count() // block_items)
+    # a single block has no order
+    items = checkpoint(_blocks(items, block_items)) if n_blocks > 1 else items.withColumn("block", F.lit(0).cast("long"))
     visits = Visits(total=users.count() * n_blocks)
     found = spark.createDataFrame([], FOUND)
     if not n_blocks or n < 1:
