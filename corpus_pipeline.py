@@ -4,6 +4,13 @@ Every stage takes (spark, docs, sf_dir), works on all rows the one before it
 kept, and returns a DataFrame; ``run`` writes each stage's result as Parquet
 into the shared folder and reads it back as the next one's input. All stages
 but the last return the columns of ``documents``.
+
+In every stage a null text is an empty one: it is not toxic, has one empty line
+(which stays), is linked with other texts without words, holds no benchmark
+window and has no tokens. Rows with a null doc_id are documents that no stage
+drops as copies. Repeated rows get the same decision; rows of one doc_id with
+different texts are dropped as copies only together. Other columns than those of
+``documents`` are left out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
