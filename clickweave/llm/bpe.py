@@ -56,15 +56,17 @@ def letter_classes() -> np.ndarray:
     """Of each code point: 1 letter, 2 number, 3 white space, 0 anything else, as
     the tokenizers library sees it. Its Unicode version is not this Python's."""
     from tokenizers import Regex, pre_tokenizers
-    points = np.array([c for c in range(0x110000) if not 0xD800 <= c < 0xE000])
-    text = "".join(map(chr, points.tolist()))
     out = np.zeros(0x110000, np.uint8)
-    for number, pattern in ((1, r"\p{L}+"), (2, r"\p{N}+"), (3, r"\s+")):
-        other = np.zeros(len(points) + 1, np.int64)
-        for _, (a, b) in pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(text):
-            other[a] += 1
-            other[b] -= 1
-        out[points[np.cumsum(other[:-1]) == 0]] = number
+    every = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for lo in range(0, len(every), 1 << 14):  # the library keeps some hundred bytes a character
+        points = np.array(every[lo:lo + (1 << 14)])
+        text = "".join(map(chr, points.tolist()))
+        for number, pattern in ((1, r"\p{L}+"), (2, r"\p{N}+"), (3, r"\s+")):
+            other = np.zeros(len(points) + 1, np.int64)
+            for _, (a, b) in pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(text):
+                other[a] += 1
+                other[b] -= 1
+            out[points[np.cumsum(other[:-1]) == 0]] = number
     return out
 
 
