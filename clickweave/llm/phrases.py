@@ -144,12 +144,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 DONE = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-DONE_DDL = ("doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+DONE_DDL = ("doc_id string, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
             "near_edited double, near_next double")
 
 
 def _row(doc_id, text, own: bytes, edited_print: bytes, edited: str, next_print: bytes) -> tuple:
-    return (doc_id, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), own.hex(), edited_print.hex(),
+    return (doc_id, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).digest(), own, edited_print,
             likeness(own, edited_print), likeness(own, next_print))
 
 
@@ -183,14 +183,14 @@ def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield out(rows)
         for kind, (doc_id, text, own) in ((1, first or last), (2, last)):
             yield pd.DataFrame({c: [None] for c in DONE}).assign(
-                doc_id=doc_id, n_chars=len(text), fingerprint=own.hex(), kind=kind, part=part, text=text)
+                doc_id=doc_id, n_chars=len(text), fingerprint=own, kind=kind, part=part, text=text)
 
 
 def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = []
         for doc_id, text, after, next_print in zip(b["doc_id"], b["text"], b["after"], b["next_print"]):
-            rows.append(_row(doc_id, text, *both(text, after), bytes.fromhex(next_print)))
+            rows.append(_row(doc_id, text, *both(text, after), bytes(next_print)))
         yield pd.DataFrame(rows, columns=DONE)
 
 
@@ -220,4 +220,5 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     firsts = done.where("kind = 1").select(F.col("part").alias("follower"), F.col("text").alias("after"), F.col("fingerprint").alias("next_print"))
     last = done.where("kind = 2").select("doc_id", "text", "part").join(F.broadcast(follows), "part").join(firsts, "follower")
     edges = last.select("doc_id", "text", "after", "next_print").mapInPandas(_edges, DONE_DDL)
-    return done.where("kind = 0").select(DONE).union(edges).withColumn("doc_id", as_id("doc_id"))
+    text = lambda c: F.lower(F.hex(c)).alias(c) if c in ("edited_sha256", "fingerprint", "edited_fingerprint") else F.col(c)
+    return done.where("kind = 0").select(DONE).union(edges).select(*map(text, DONE)).withColumn("doc_id", as_id("doc_id"))
