@@ -237,21 +237,22 @@ def q_rolling_interactions(spark, sf_dir):
     """Interaction scores over the last seven days, for every day, each from the
     day before by adding a day and subtracting one (C1)."""
     from datetime import timedelta
-    from functools import reduce
     from pyspark.sql import functions as F
     from ..operators import daily
-    path = _scratch(spark, "days")
+    path, out = _scratch(spark, "days"), _scratch(spark, "rolling")
     daily.day_scores(behavior_events(spark, sf_dir)).write.partitionBy("event_date").parquet(path)
     table = spark.read.parquet(path)
     days = sorted(r[0] for r in table.select("event_date").distinct().collect())  # folders
-    window, out = None, []
+    window = None
     for d in days:
         old = d - timedelta(days=ROLLING_DAYS)
         window = checkpoint(daily.slide(window, table.where(F.col("event_date") == d),
                                         table.where(F.col("event_date") == old) if old in days else None))
-        out.append(window.groupBy(F.lit(d).alias("day"), "user_id").agg(
-            F.count(F.lit(1)).alias("products"), F.sum("score").alias("score"), F.max("score").alias("strongest")))
-    return reduce(lambda a, b: a.unionByName(b), out)
+        # written day by day: a task of a union of all days would read a piece of each
+        window.groupBy(F.lit(d).alias("day"), "user_id").agg(
+            F.count(F.lit(1)).alias("products"), F.sum("score").alias("score"), F.max("score").alias("strongest")) \
+            .write.mode("append").parquet(out)
+    return spark.read.parquet(out)
 
 
 @register("user_features_by_days", ORACLE["user_features"])
