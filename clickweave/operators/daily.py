@@ -3,10 +3,11 @@
 * Interaction scores over a moving range of days (C1): the scores of a day are
   added when it enters the range and subtracted when it leaves, so a step reads
   two days and the last result, whatever the width of the range.
-* Distinct counts (C2-C5): the values seen by a key on a day are bits of bitmaps
-  over a dictionary of the values. Days are put together by ``or``, so counts
-  stay exact, and a new day touches no old one. A dictionary only grows: new
-  values get the indexes behind the old ones.
+* Distinct counts (C2-C5): the values seen by a key on a day are bits of words
+  (64 values each) over a dictionary of the values. Only words with a bit set are
+  kept, so a key takes no more room than its values. Days are put together by
+  ``or``, so counts stay exact, and a new day touches no old one. A dictionary
+  only grows: new values get the indexes behind the old ones.
 
 All of these are aggregates with a map-side combine.
 """
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import action_weight, count_if_action, event_date, safe_ratio
+from ..session import checkpoint
 from .lookup import lookup
 from .recommend import fit_labels
 
@@ -46,6 +48,8 @@ def slide(window: DataFrame | None, entering: DataFrame, leaving: DataFrame | No
 
 # --- distinct counts by bitmaps ----------------------------------------------
 
+WORD = 64  # values to a row of bits, a long
+
 
 def extend_labels(known: DataFrame | None, events: DataFrame, col: str) -> DataFrame:
     """The dictionary ``(label, idx)`` with the values of ``col`` that it lacks
@@ -61,14 +65,14 @@ def day_sets(events: DataFrame, keys: list[str], col: str, labels: DataFrame) ->
     """``event_date, <keys>, bucket, bits``: which values of ``col`` a key had on
     a day, as bits of their dictionary index; nulls are no value."""
     rows = events.where(F.col(col).isNotNull()).select(event_date("timestamp").alias("event_date"), *keys, F.col(col).alias("label")).distinct()
-    return lookup(rows, labels, "label").groupBy("event_date", *keys, F.bitmap_bucket_number("idx").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("idx")).alias("bits"))
+    return lookup(checkpoint(rows), labels, "label").groupBy("event_date", *keys, F.expr(f"idx div {WORD}").alias("bucket")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(idx % {WORD} AS INT))")).alias("bits"))
 
 
 def distinct_counts(sets: DataFrame, keys: list[str], name: str) -> DataFrame:
     """``<keys>, name``: exact numbers of distinct values over the days given."""
-    whole = sets.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-    return whole.groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).alias(name))
+    whole = sets.groupBy(*keys, "bucket").agg(F.bit_or("bits").alias("bits"))
+    return whole.groupBy(*keys).agg(F.sum(F.bit_count("bits")).alias(name))
 
 
 def day_users(events: DataFrame) -> DataFrame:
