@@ -675,16 +675,19 @@ def _scratch(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def _record_dir(spark, sf_dir, copies: int = 1, change=None, late_days=None) -> str:
-    """Record files of the events of ``sf_dir``, one folder per day, written
+def _record_stream(spark, sf_dir, days: int, copies: int = 1, change=None, late_days=None) -> DataFrame:
+    """A stream of the events of ``sf_dir`` as records, ``days`` of them to a
+    micro-batch: record files in a folder per day, as many for every day, written
     in day order (and ``copies`` times, to model producer retries)."""
     path = _scratch(spark, "records")
     events = behavior_events(spark, sf_dir)
     if change is not None:
         events = change(events)
+    staged = rec_files.stage_days(events, late_days=late_days)
+    files = rec_files.even_files(staged)
     for i in range(copies):
-        rec_files.write_record_files(events, path, suffix="" if i == 0 else f"r{i}", late_days=late_days)
-    return path
+        rec_files.write_days(spark, staged, path, files_per_day=files, suffix="" if i == 0 else f"r{i}")
+    return rec_files.read_record_stream(spark, path, max_files=days * files)
 
 
 _STREAM_EVENTS_CTE = """
@@ -714,9 +717,8 @@ _STREAM_FEATURE_COLS = EVENT_COLUMNS + feat.BASIC_COLS + feat.TEMPORAL_COLS + fe
 def q_stream_features(spark, sf_dir):
     """Micro-batches of three days each through the full job; per-batch
     features (windows restart every micro-batch, H7)."""
-    src = _record_dir(spark, sf_dir)
     out = _scratch(spark, "stream")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=FEATURE_DAYS_PER_BATCH))
+    events = mb.decode_stream(_record_stream(spark, sf_dir, FEATURE_DAYS_PER_BATCH))
     q = mb.start_stream(events, checkpoint=f"{out}/checkpoint", lake_path=f"{out}/lake",
                         serving_path=f"{out}/serving", features_path=f"{out}/features",
                         available_now=True)
@@ -730,9 +732,8 @@ SELECT * EXCLUDE (ts_unix, day) REPLACE (round(avg_price_viewed, 6) AS avg_price
 SELECT *, {_window_sql(600)} {_window_from(600, "stream_events")})""")
 def q_stream_stateful(spark, sf_dir):
     """Cross-batch window features with keyed state; equals the batch result."""
-    src = _record_dir(spark, sf_dir)
     out = _scratch(spark, "stateful")
-    records = rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH)
+    records = _record_stream(spark, sf_dir, STATE_DAYS_PER_BATCH)
     events = mb.decode_stream(records).select(*EVENT_COLUMNS)
     with stateful.configured(spark):
         q = (stateful.stateful_features(events).writeStream.format("parquet")
@@ -749,8 +750,8 @@ SELECT * EXCLUDE (ts_unix, day) REPLACE (round(avg_price_viewed, 6) AS avg_price
 
 def _lookback(spark, sf_dir, late_days=None):
     from ..streaming.lookback import current_features
-    src, out = _record_dir(spark, sf_dir, late_days=late_days), _scratch(spark, "lookback")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH))
+    out = _scratch(spark, "lookback")
+    events = mb.decode_stream(_record_stream(spark, sf_dir, STATE_DAYS_PER_BATCH, late_days=late_days))
     mb.start_stream(events, checkpoint=f"{out}/checkpoint", lake_path=f"{out}/lake", features_path=f"{out}/features",
                     feature_mode="lookback", available_now=True).awaitTermination()
     return rounded(current_features(spark, f"{out}/features").select(*_STREAM_FEATURE_COLS), "avg_price_viewed")
@@ -780,8 +781,8 @@ def q_stream_once(spark, sf_dir):
     """Every record delivered twice, every fifth one days late; each is kept
     once, late ones too (H10, H12)."""
     from pyspark.sql import functions as F
-    src, out = _record_dir(spark, sf_dir, copies=2, late_days=F.when(F.col("offset") % 5 == 0, 6).otherwise(0)), _scratch(spark, "once")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH), late="once")
+    out = _scratch(spark, "once")
+    events = mb.decode_stream(_record_stream(spark, sf_dir, STATE_DAYS_PER_BATCH, copies=2, late_days=F.when(F.col("offset") % 5 == 0, 6).otherwise(0)), late="once")
     mb.start_stream(events, checkpoint=f"{out}/checkpoint", lake_path=f"{out}/lake", available_now=True).awaitTermination()
     return lake.read_lake(spark, f"{out}/lake").select(*EVENT_COLUMNS, "offset", "event_date")
 
@@ -796,8 +797,8 @@ def q_stream_metrics(spark, sf_dir):
     """Counts per micro-batch, written by a listener (H6, C13); only the
     quarantine table is on."""
     from ..streaming.metrics import read_metrics
-    src, out = _record_dir(spark, sf_dir, change=_spoil), _scratch(spark, "metrics")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH))
+    out = _scratch(spark, "metrics")
+    events = mb.decode_stream(_record_stream(spark, sf_dir, STATE_DAYS_PER_BATCH, change=_spoil))
     q = mb.start_stream(events, checkpoint=f"{out}/checkpoint", quarantine_path=f"{out}/bad", metrics_path=f"{out}/metrics",
                         available_now=True)
     q.awaitTermination()
@@ -813,9 +814,8 @@ SELECT user_id, product_id, action_type, "timestamp", session_id, product_catego
 FROM behavior_events""")
 def q_stream_dedup(spark, sf_dir):
     """Every record delivered twice; the drop policy keeps each once."""
-    src = _record_dir(spark, sf_dir, copies=2)
     out = _scratch(spark, "dedup")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH), late="drop")
+    events = mb.decode_stream(_record_stream(spark, sf_dir, STATE_DAYS_PER_BATCH, copies=2), late="drop")
     q = mb.start_stream(events, checkpoint=f"{out}/checkpoint", lake_path=f"{out}/lake",
                         available_now=True)
     q.awaitTermination()
@@ -835,8 +835,8 @@ def q_stream_serving_tables(spark, sf_dir):
     from functools import reduce
     from pyspark.sql import functions as F
     from ..sources.serving_store import TABLES, read_serving
-    src, out = _record_dir(spark, sf_dir), _scratch(spark, "tables")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH))
+    out = _scratch(spark, "tables")
+    events = mb.decode_stream(_record_stream(spark, sf_dir, STATE_DAYS_PER_BATCH))
     mb.start_stream(events, checkpoint=f"{out}/checkpoint", serving_path=f"{out}/serving", available_now=True,
                     ttls=dict.fromkeys(TABLES, LIVE_TTL)).awaitTermination()
     return reduce(lambda a, b: a.unionByName(b), [
@@ -862,8 +862,8 @@ SELECT CASE WHEN event_id % 11 <> 0 THEN user_id END AS user_id, product_id, act
 FROM behavior_events) WHERE reason IS NOT NULL""")
 def q_stream_quarantine(spark, sf_dir):
     """Events of which some lack a field; the job keeps the bad ones aside."""
-    src, out = _record_dir(spark, sf_dir, change=_spoil), _scratch(spark, "quarantine")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH))
+    out = _scratch(spark, "quarantine")
+    events = mb.decode_stream(_record_stream(spark, sf_dir, STATE_DAYS_PER_BATCH, change=_spoil))
     mb.start_stream(events, checkpoint=f"{out}/checkpoint", quarantine_path=f"{out}/bad",
                     available_now=True).awaitTermination()
     return spark.read.parquet(f"{out}/bad").select("user_id", "product_id", "action_type", "timestamp", "reason")
@@ -876,8 +876,8 @@ def q_stream_quarantine(spark, sf_dir):
 def q_stream_serving_live(spark, sf_dir):
     """Live counters with a 1-day sliding expiry, kept in keyed state across
     micro-batches; the newest emission per user is the summary."""
-    src, out = _record_dir(spark, sf_dir), _scratch(spark, "live")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH)).select(*EVENT_COLUMNS)
+    out = _scratch(spark, "live")
+    events = mb.decode_stream(_record_stream(spark, sf_dir, STATE_DAYS_PER_BATCH)).select(*EVENT_COLUMNS)
     mb.start_live(events, "counters", f"{out}/counters", f"{out}/checkpoint", available_now=True,
                   ttl_seconds=LIVE_TTL).awaitTermination()
     return mb.read_live(spark, f"{out}/counters").select("user_id", "kind", "field", "count")
@@ -897,8 +897,8 @@ def q_stream_recent_live(spark, sf_dir):
     from pyspark.sql import functions as F
     from ..functions import format_time
     late = F.when(F.col("offset") % 5 == 0, 1).otherwise(0)
-    src, out = _record_dir(spark, sf_dir, late_days=late), _scratch(spark, "recent")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH), delay="2 days")
+    out = _scratch(spark, "recent")
+    events = mb.decode_stream(_record_stream(spark, sf_dir, STATE_DAYS_PER_BATCH, late_days=late), delay="2 days")
     mb.start_live(events, "recent_behaviors", f"{out}/recent", f"{out}/checkpoint", available_now=True,
                   ttl_seconds=LIVE_TTL, n=10, tie_break="offset").awaitTermination()
     return mb.read_live(spark, f"{out}/recent").select(
@@ -912,8 +912,8 @@ def q_stream_sessions_live(spark, sf_dir):
     """Session records with a 1-hour sliding expiry in keyed state; the
     newest emission per session is the record."""
     from ..functions import format_time
-    src, out = _record_dir(spark, sf_dir), _scratch(spark, "sessions")
-    events = mb.decode_stream(rec_files.read_record_stream(spark, src, max_files=STATE_DAYS_PER_BATCH)).select(*EVENT_COLUMNS)
+    out = _scratch(spark, "sessions")
+    events = mb.decode_stream(_record_stream(spark, sf_dir, STATE_DAYS_PER_BATCH)).select(*EVENT_COLUMNS)
     mb.start_live(events, "sessions", f"{out}/sessions", f"{out}/checkpoint", available_now=True,
                   ttl_seconds=3600).awaitTermination()
     return mb.read_live(spark, f"{out}/sessions", "session_id").select(

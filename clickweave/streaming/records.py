@@ -5,13 +5,20 @@ with ``maxFilesPerTrigger=1`` replays the days in time order."""
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import EVENT_COLUMNS
+from ..session import scratch_path
 from ..sources.kafka import DEFAULT_TOPIC, ENCODE_OPTIONS
 
+ROWS_PER_FILE = 50_000  # some 25 MB of JSON
+SMALL_DAY = 1000  # rows per file, below which a day is dealt out by one task
+
 RECORD_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("value", T.StringType()),
@@ -35,6 +42,55 @@ def to_records(events: DataFrame, partitions: int = 12, offset_col: str = "event
         F.col("timestamp").alias("timestamp"))
 
 
+@dataclass
+class StagedDays:
+    """Events in a table with one folder per day of arrival, and their number."""
+    path: str
+    offset_col: str
+    rows: dict[str, int]
+
+
+def stage_days(events: DataFrame, offset_col: str = "event_id", late_days: Column | None = None) -> StagedDays:
+    """Reads the events once and lays them by day of arrival, so that the files
+    of a day are made from that day's rows alone."""
+    arrival = F.col("timestamp") if late_days is None else F.col("timestamp") + F.make_dt_interval(
+        late_days.cast("int"), F.lit(0), F.lit(0), F.lit(0))
+    spark = events.sparkSession
+    path = scratch_path(spark, f"days-{uuid.uuid4().hex}")
+    columns = list(dict.fromkeys([*EVENT_COLUMNS, offset_col]))
+    events.select(*columns).withColumn("offset", F.col(offset_col).cast("long")) \
+        .withColumn("_day", F.date_format(arrival, "'d'yyyyMMdd")).select(*columns, "_day").write.partitionBy("_day").parquet(path)
+    # the number of days is bounded by the time span
+    rows = {r[0]: r[1] for r in spark.read.parquet(path).groupBy("_day").count().collect()}
+    return StagedDays(path, offset_col, rows)
+
+
+def even_files(staged: StagedDays, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Files per day so that a file has about ``rows_per_file`` rows on the largest
+    day; no more than the smallest day has rows, as every day gets as many."""
+    most = max(staged.rows.values(), default=1)
+    return max(1, min(-(-most // rows_per_file), min(staged.rows.values(), default=1)))
+
+
+def write_days(spark: SparkSession, staged: StagedDays, path: str, partitions: int = 12, topic: str = DEFAULT_TOPIC,
+               files_per_day: int | None = 1, suffix: str = "") -> list[str]:
+    """The records of staged days as JSON, days in ascending order; every day with
+    at least ``files_per_day`` rows has exactly that many files."""
+    out = []
+    schema = spark.read.parquet(staged.path).drop("_day").schema
+    for d in sorted(staged.rows):
+        folder = f"{path.rstrip('/')}/{d}{suffix}"
+        day = spark.read.schema(schema).parquet(f"{staged.path}/_day={d}")
+        if files_per_day == 1:
+            day = day.coalesce(1)
+        elif files_per_day:
+            # dealt in turn from one task, a small day leaves no file out
+            day = (day.coalesce(1) if staged.rows[d] < SMALL_DAY * files_per_day else day).repartition(files_per_day)
+        to_records(day, partitions, staged.offset_col, topic).sortWithinPartitions("timestamp").write.mode("overwrite").json(folder)
+        out.append(folder)
+    return out
+
+
 def write_record_files(events: DataFrame, path: str, partitions: int = 12,
                        offset_col: str = "event_id", topic: str = DEFAULT_TOPIC,
                        files_per_day: int | None = 1, suffix: str = "", late_days: Column | None = None) -> list[str]:
@@ -43,21 +99,7 @@ def write_record_files(events: DataFrame, path: str, partitions: int = 12,
     and ``maxFilesPerTrigger=1`` each micro-batch is exactly one day.
     ``late_days`` (of an event's ``offset_col``): days after which a record is
     delivered."""
-    arrival = F.col("timestamp") if late_days is None else F.col("timestamp") + F.make_dt_interval(
-        late_days.cast("int"), F.lit(0), F.lit(0), F.lit(0))
-    rec = to_records(events, partitions, offset_col, topic) \
-        .withColumn("_day", F.date_format(arrival, "yyyyMMdd"))
-    # one folder per day; the number of days is bounded by the time span
-    days = sorted(r[0] for r in rec.select("_day").distinct().collect())
-    out = []
-    for d in days:
-        folder = f"{path.rstrip('/')}/d{d}{suffix}"
-        day = rec.where(F.col("_day") == d).drop("_day")
-        if files_per_day:
-            day = day.coalesce(files_per_day)
-        day.sortWithinPartitions("timestamp").write.mode("overwrite").json(folder)
-        out.append(folder)
-    return out
+    return write_days(events.sparkSession, stage_days(events, offset_col, late_days), path, partitions, topic, files_per_day, suffix)
 
 
 def read_record_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
