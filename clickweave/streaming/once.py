@@ -5,7 +5,8 @@ must drop late rows. Here keyed state holds, for each range of ``SPAN`` offsets
 of a topic's partition, the offsets seen, as intervals. Offsets come nearly
 without gaps, so a range is an interval or two once it has been delivered,
 whatever the number of its records; a range in order costs one state update a
-batch. Rows are judged chunk by chunk as they arrive.
+batch. Rows are judged chunk by chunk as they arrive. The intervals of a range
+are one binary value: where a producer's offsets have gaps, they are many.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-SPAN = 1_000_000
+SPAN = 1 << 17  # a task handles a range at a time; the state of one in no order at all is 1 MB
 
 
 def merge_offsets(lo: np.ndarray, hi: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -46,18 +47,18 @@ class SeenOffsets(StatefulProcessor):
         self.columns = columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getListState("seen", "lo long, hi long")
+        self.seen = handle.getValueState("intervals", "bounds binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = np.array([tuple(r) for r in self.seen.get()] if self.seen.exists() else [], "int64").reshape(-1, 2)
-        lo, hi = known[:, 0], known[:, 1]
+        held = self.seen.get()
+        lo, hi = np.frombuffer(bytes(held[0]) if held is not None else b"", "<i8").reshape(2, -1)
         for chunk in rows:
             offsets = chunk["offset"].to_numpy("int64")
             new = unseen(lo, hi, offsets)
             if new.any():
                 lo, hi = merge_offsets(lo, hi, offsets[new])
                 yield chunk.loc[new, self.columns]
-        self.seen.put([(int(a), int(b)) for a, b in zip(lo, hi)])
+        self.seen.update((np.concatenate([lo, hi]).astype("<i8").tobytes(),))
 
     def close(self) -> None:
         pass
@@ -70,7 +71,7 @@ def each_record_once(events: DataFrame, span: int = SPAN) -> DataFrame:
     missing = [c for c in ("topic", "partition", "offset") if c not in events.columns]
     if missing:
         raise ValueError(f"late='once' needs the record columns {missing}")
-    ranged = events.where("offset is not null").withColumn("_range", F.floor(F.col("offset") / span))
+    ranged = events.where("offset is not null").withColumn("_range", F.expr(f"(offset - pmod(offset, {int(span)})) div {int(span)}"))
     return ranged.groupBy("topic", "partition", "_range").transformWithStateInPandas(
         statefulProcessor=SeenOffsets(events.columns), outputStructType=T.StructType(list(events.schema.fields)),
         outputMode="Append", timeMode="None")
