@@ -122,10 +122,15 @@ class BatchSink:
             jobs = []
             if self.features_path and self.feature_mode == "lookback":
                 def features():
-                    feats = lookback_features(batch.select(*EVENTS_AND_RECORD), self.lake_path, self.features_path,
-                                              self.run_id, batch_id, **self.feature_args)
-                    write_batch(feats.withColumn("event_date", event_date("timestamp")), self.features_path, self.run_id,
-                                batch_id, ["event_date"])
+                    held = []
+                    try:
+                        feats = lookback_features(batch.select(*EVENTS_AND_RECORD), self.lake_path, self.features_path,
+                                                  self.run_id, batch_id, held=held, **self.feature_args)
+                        write_batch(feats.withColumn("event_date", event_date("timestamp")), self.features_path, self.run_id,
+                                    batch_id, ["event_date"])
+                    finally:
+                        for rows in held:
+                            rows.unpersist()
                 jobs.append(features)
             elif self.features_path:
                 # undecodable records have no user and would share one window
