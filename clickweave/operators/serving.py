@@ -18,7 +18,7 @@ the key's newest ``n`` overall that fall in its newest run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import behavior_json, format_time, price_band, serving_key
@@ -100,21 +100,25 @@ def recent_behaviors(events: DataFrame, n: int = RECENT_BEHAVIORS_KEEP,
     )
 
 
-def counter_runs(events: DataFrame, field, ttl_seconds: int) -> DataFrame:
-    """Events per (user, run, field): ``user_id, run_start, field, count,
-    _last``. ``field`` may explode into several fields of an event."""
-    fields = events.select("user_id", "timestamp", field.alias("field"))
-    part = fields.groupBy("user_id", second_of().alias("_sec"), "field").agg(
+def counter_runs(events: DataFrame, fields: dict[str, Column], ttl_seconds: int) -> DataFrame:
+    """Events per (user, run, kind, field) of the ``fields`` by kind: ``user_id,
+    run_start, kind, field, count, _last``. An event is one row until its second has
+    its run; only then it is taken apart into kinds."""
+    names = [f"_f{i}" for i in range(len(fields))]
+    wide = events.select("user_id", "timestamp", *[c.alias(n) for n, c in zip(names, fields.values())])
+    part = wide.groupBy("user_id", second_of().alias("_sec"), *names).agg(
         F.count(F.lit(1)).alias("_n"), F.max("timestamp").alias("_last"))
     runs = second_runs(events, "user_id", ttl_seconds).select("user_id", "_sec", "run_start")
-    return part.join(runs, ["user_id", "_sec"], "left").groupBy("user_id", "run_start", "field").agg(
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(n).alias("field")) for k, n in zip(fields, names)])
+    apart = part.join(runs, ["user_id", "_sec"], "left").select("user_id", "run_start", F.inline(kinds), "_n", "_last")
+    return apart.groupBy("user_id", "run_start", "kind", "field").agg(
         F.sum("_n").alias("count"), F.max("_last").alias("_last"))
 
 
 def _counter(events: DataFrame, field, ttl_seconds, as_of) -> DataFrame:
     if ttl_seconds is None:
         return events.groupBy("user_id", field.alias("field")).agg(F.count(F.lit(1)).alias("count"))
-    per_run = counter_runs(events, field, ttl_seconds)
+    per_run = counter_runs(events, {"": field}, ttl_seconds)
     return _newest_run(per_run, "user_id", ttl_seconds, as_of).select("user_id", "field", "count")
 
 

@@ -686,7 +686,7 @@ def _record_stream(spark, sf_dir, days: int, copies: int = 1, change=None, late_
     staged = rec_files.stage_days(events, late_days=late_days)
     files = rec_files.even_files(staged)
     for i in range(copies):
-        rec_files.write_days(spark, staged, path, files_per_day=files, suffix="" if i == 0 else f"r{i}")
+        rec_files.write_days(spark, staged, path, files_per_day=files, suffix="" if i == 0 else f"r{i}", at_once=days)
     return rec_files.read_record_stream(spark, path, max_files=days * files)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import format_time, price_band
 from ..operators import serving
-from ..operators.runs import newest_merged_run, run_summary, ttl_interval
+from ..operators.runs import newest_merged_run, second_runs, ttl_interval
 from ..schema import (RECENT_BEHAVIORS_KEEP, TTL_ACTION_COUNTS, TTL_CATEGORY_INTERESTS, TTL_PRICE_PREFERENCES,
                       TTL_RECENT_BEHAVIORS, TTL_SESSION)
 from .lake import write_batch
@@ -42,19 +42,18 @@ def batch_tables(events: DataFrame, ttls: dict[str, int] | None = None,
     """Summary deltas of one batch of storable events, merged when read."""
     ttl = TABLES | (ttls or {})
     # kinds of one lifetime share their runs and are counted in one pass
-    by_ttl: dict[int, list] = {}
+    by_ttl: dict[int, dict] = {}
     for kind, by in COUNTED.items():
-        field = F.col(by) if isinstance(by, str) else by()
-        by_ttl.setdefault(ttl[kind], []).append(F.struct(F.lit(kind).alias("kind"), field.alias("field")))
-    counted = [serving.counter_runs(events, F.explode(F.array(*kinds)), seconds) for seconds, kinds in by_ttl.items()]
+        by_ttl.setdefault(ttl[kind], {})[kind] = F.col(by) if isinstance(by, str) else by()
+    counted = [serving.counter_runs(events, kinds, seconds) for seconds, kinds in by_ttl.items()]
     out = {COUNTERS: reduce(DataFrame.unionByName, counted).select(
-        "user_id", "run_start", "field.kind", "field.field", "count", "_last")}
+        "user_id", "run_start", "kind", "field", "count", "_last")}
     out["session_summary"] = serving.session_runs(events, ttl["session_summary"])
     # ties in time are cut by content, the same way on a replay
     tie = events.withColumn("_tie", F.xxhash64("session_id", "product_id", "action_type", "product_price"))
     out["recent_behaviors"] = serving.recent_behaviors(tie, n, ttl_seconds=None, tie_break="_tie", keep_time=True)
-    out[RECENT_RUNS] = run_summary(events, "user_id", ttl["recent_behaviors"]).select(
-        "user_id", "run_start", F.col("last_write").alias("_last"))
+    out[RECENT_RUNS] = second_runs(events, "user_id", ttl["recent_behaviors"]).groupBy("user_id", "run_start").agg(
+        F.timestamp_micros(F.max("_lastu")).alias("_last"))
     return out
 
 

@@ -6,8 +6,10 @@ with ``maxFilesPerTrigger=1`` replays the days in time order."""
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,12 +75,13 @@ def even_files(staged: StagedDays, rows_per_file: int = ROWS_PER_FILE) -> int:
 
 
 def write_days(spark: SparkSession, staged: StagedDays, path: str, partitions: int = 12, topic: str = DEFAULT_TOPIC,
-               files_per_day: int | None = 1, suffix: str = "") -> list[str]:
+               files_per_day: int | None = 1, suffix: str = "", at_once: int = 1) -> list[str]:
     """The records of staged days as JSON, days in ascending order; every day with
-    at least ``files_per_day`` rows has exactly that many files."""
-    out = []
+    at least ``files_per_day`` rows has exactly that many files. ``at_once`` days, those
+    of a micro-batch, are written side by side before the next begin."""
     schema = spark.read.parquet(staged.path).drop("_day").schema
-    for d in sorted(staged.rows):
+
+    def write(d: str) -> str:
         folder = f"{path.rstrip('/')}/{d}{suffix}"
         day = spark.read.schema(schema).parquet(f"{staged.path}/_day={d}")
         if files_per_day == 1:
@@ -87,7 +90,12 @@ def write_days(spark: SparkSession, staged: StagedDays, path: str, partitions: i
             # dealt in turn from one task, a small day leaves no file out
             day = (day.coalesce(1) if staged.rows[d] < SMALL_DAY * files_per_day else day).repartition(files_per_day)
         to_records(day, partitions, staged.offset_col, topic).sortWithinPartitions("timestamp").write.mode("overwrite").json(folder)
-        out.append(folder)
+        return folder
+
+    days, out = sorted(staged.rows), []
+    with ThreadPoolExecutor(at_once) as pool:
+        for i in range(0, len(days), at_once):
+            out += pool.map(inheritable_thread_target(spark)(write), days[i:i + at_once])
     return out
 
 
