@@ -8,9 +8,8 @@ their folders and to five columns), cut to the batch's users, and summed per
 (user, second) and (user, session, second) before they meet the batch's rows.
 
 A row that comes late also changes the features of rows behind it that are
-written already: events of its user, in the days read, that are not before it
-and in its session, or a frame behind it. They are computed anew, in one pass with the
-batch's rows, and where a feature differs from the one written,
+written already. Such rows (events of its user that are not before it, in the
+days read) are computed anew, in one pass with the batch's rows, and where a feature differs from the one written,
 two rows are added to the features table: the old one with ``sign`` -1 and the
 new one with ``sign`` 1. Every row's signs sum to one for its present features,
 so a consumer can add up changes; ``current_features`` reads the present state.
@@ -25,7 +24,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import epoch_seconds, event_date
@@ -95,8 +94,9 @@ def lookback_features(batch: DataFrame, lake_path: str, features_path: str | Non
         return rows
 
     # merged: a scan is planned by the size of its files, and rows of the lake are no table to broadcast
-    past = past.hint("merge").join(_reach(batch, end if any_late else None, recent_seconds), "user_id")
-    changed = _behind(recent_seconds) if any_late else F.lit(False)
+    past = past.hint("merge").join(batch.groupBy("user_id").agg(F.min(sec).alias("_from")), "user_id")
+    # rows not before the batch's first of their user: behind a late row, or in its second
+    changed = sec >= F.col("_from") if any_late else F.lit(False)
     before = keep(past.where(~changed).select("user_id", "session_id", "action_type", "product_price", "timestamp"))
     if not any_late:
         return process_user_behavior(batch, recent_seconds, tie_break, earlier=before).withColumn("sign", F.lit(1))
@@ -135,37 +135,6 @@ def _few_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, was)
 
 
-def _bit(value: Column) -> Column:
-    """One bit of 64, by a hash of ``value``."""
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(value), F.lit(64)).cast("int"))
-
-
-def _bucket(recent_seconds: int) -> Column:
-    return F.floor(epoch_seconds("timestamp") / F.lit(max(int(recent_seconds), 1)))
-
-
-def _reach(batch: DataFrame, end: int | None, recent_seconds: int) -> DataFrame:
-    """A row per user of the batch. If the lake goes on to second ``end``, with
-    what the user's rows up to there may change: the first of them, and bits of
-    their sessions and of the times a frame behind them (a few too many at most)."""
-    users = batch.groupBy("user_id")
-    if end is None:
-        return users.agg(F.count(F.lit(1)).alias("_rows"))
-    late = epoch_seconds("timestamp") <= end
-    at = _bucket(recent_seconds)
-    return users.agg(F.min(F.when(late, epoch_seconds("timestamp"))).alias("_from"),
-                     F.bit_or(F.when(late, _bit(F.col("session_id")))).alias("_sessions"),
-                     F.bit_or(F.when(late, _bit(at).bitwiseOR(_bit(at + 1)))).alias("_times"))
-
-
-def _behind(recent_seconds: int) -> Column:
-    """Rows of the lake whose features the batch may change: not before its first
-    late row of their user, and in the session of such a row or a frame behind one."""
-    met = (F.col("_sessions").bitwiseAND(_bit(F.col("session_id"))) != 0) \
-        | (F.col("_times").bitwiseAND(_bit(_bucket(recent_seconds))) != 0)
-    return F.coalesce((epoch_seconds("timestamp") >= F.col("_from")) & met, F.lit(False))
-
-
 def _features_of(spark: SparkSession, path: str, days: list, run_id: str, batch_id: int) -> DataFrame | None:
     from pyspark.errors import AnalysisException
     try:
