@@ -1,0 +1,8 @@
+import pytest
+
+
+@pytest.fixture(scope="module", autouse=True)
+def nothing_stays_persisted(spark):
+    """What a module's tests persist is released behind them."""
+    yield
+    spark.catalog.clearCache()
