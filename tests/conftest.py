@@ -19,6 +19,15 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_stays_persisted():
+    """What a module's tests persist is released behind them."""
+    yield
+    from pyspark.sql import SparkSession
+    if (s := SparkSession.getActiveSession()) is not None:
+        s.catalog.clearCache()
+
+
 def ev(user="u1", product="p1", action="view", ts="2024-01-05 10:00:00", session="s1",
        category="Books", price=10.0, agent=None, ip="10.0.0.1", referrer=None, event_id=None):
     t = datetime.fromisoformat(ts) if isinstance(ts, str) else ts
